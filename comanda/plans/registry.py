@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from comanda.operators import boards, cubes, facts, marts
+from comanda.operators import basket, boards, catalog, cubes, facts, graph, influence, marts, paths, quality, routing
 from comanda.plans.star import LazyStar
+from comanda.session import cut_lineage
+from comanda.sources.operational import Tables
 from comanda.sources.testdata import operational_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,5 +49,120 @@ def warehouse_queries() -> dict[str, Query]:
     return out
 
 
+
+# The test tables have no line id: of repeated lines the one with the largest amount is the last.
+LAST_LINE = ("line_total", "quantity", "unit_price")
+
+
+def _on_tables(function) -> Query:
+    return lambda spark, sf_dir: function(operational_tables(spark, sf_dir))
+
+
+def _edges(t: Tables) -> DataFrame:
+    return graph.contains(t, LAST_LINE)
+
+
+def _recommends(t: Tables) -> DataFrame:
+    return graph.recommends(graph.recommendations(t))
+
+
+def zone_network(zones: DataFrame) -> DataFrame:
+    """Edges of the zone network."""
+    return graph.zone_routes(zones).select(
+        F.col("from_zone").alias("src"), F.col("to_zone").alias("dst"), F.col("distance_km").alias("km")
+    )
+
+
+def zone_distances(zones: DataFrame) -> DataFrame:
+    zones = cut_lineage(zones)  # read several times: for nodes, for edges and for the direct distances
+    return paths.zone_distance(zones, zone_network(zones), graph.direct_distances(zones))
+
+
+def flat_path(route: DataFrame, km_list: str, km: str) -> DataFrame:
+    """A path with its lists as text."""
+    two_digits = F.transform(km_list, lambda x: F.format_string("%.2f", x))
+    return route.select(
+        F.array_join("route", ">").alias("route"),
+        F.array_join(two_digits, ">").alias(km_list),
+        F.round(km, 2).alias("total_km"),
+    )
+
+
+# The two zones whose connection is asked for: from the first to the second.
+HOPS_BETWEEN = ("NATION_1", "NATION_7")
+KM_BETWEEN = ("NATION_1", "NATION_13")
+
+
+def _shortest_hops(t: Tables) -> DataFrame:
+    return flat_path(paths.fewest_hops(zone_network(cut_lineage(t.zones)), *HOPS_BETWEEN), "legs_km", "total_km")
+
+
+def _shortest_weighted(t: Tables) -> DataFrame:
+    start, end = KM_BETWEEN
+    zones = cut_lineage(t.zones)
+    sources = zones.filter(F.col("zone") == start).select(F.col("zone").alias("src"))
+    best = paths.lightest_paths(zone_network(zones), sources)
+    return flat_path(best.filter(F.col("dst") == end), "costs", "km")
+
+
+def _pending(t: Tables) -> DataFrame:
+    return routing.pending_orders(
+        graph.orders(t), graph.placed(t), graph.delivered_to(t), graph.users(t), graph.locations(t)
+    )
+
+
+def _fleet(t: Tables) -> DataFrame:
+    return routing.couriers_at_base(graph.couriers(t), graph.locations(t))
+
+
+def _routes(t: Tables) -> DataFrame:
+    return routing.assign_routes(_pending(t), _fleet(t), zone_distances(t.zones))
+
+
+def graph_queries() -> dict[str, Query]:
+    out = {f"graph_{name}": _on_tables(function) for name, function in {
+        "users": graph.users, "restaurants": graph.restaurants, "products": graph.products,
+        "couriers": graph.couriers, "locations": graph.locations, "orders": graph.orders,
+        "placed": graph.placed, "from_restaurant": graph.from_restaurant, "contains": _edges,
+        "delivered_to": graph.delivered_to, "assigned": graph.assigned, "recommends": graph.recommendations,
+    }.items()}
+    out["graph_label_counts"] = _on_tables(
+        lambda t: graph.label_counts({label: nodes(t) for label, nodes in graph.NODES.items()}))
+    out["zone_routes"] = _on_tables(lambda t: graph.zone_routes(t.zones))
+    out["copurchase_top5"] = _on_tables(lambda t: basket.copurchase(_edges(t), graph.products(t)))
+    out["influencers_degree"] = _on_tables(lambda t: influence.degree(_recommends(t), graph.users(t)))
+    out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(_recommends(t), graph.users(t)))
+    out["shortest_hops"] = _on_tables(_shortest_hops)
+    out["shortest_weighted"] = _on_tables(_shortest_weighted)
+    out["top3_per_category"] = _on_tables(lambda t: basket.top_products(_edges(t), graph.products(t)))
+    out["courier_top_zone"] = _on_tables(
+        lambda t: basket.courier_top_zone(graph.assigned(t), graph.delivered_to(t), graph.couriers(t)))
+    return out
+
+
+def routing_queries() -> dict[str, Query]:
+    return {
+        "routing_couriers": _on_tables(_fleet),
+        "routing_pending": _on_tables(_pending),
+        "zone_distance": _on_tables(lambda t: zone_distances(t.zones)),
+        "route_assignment": _on_tables(_routes),
+        "route_summary": _on_tables(lambda t: routing.route_summary(_routes(t))),
+    }
+
+
+def quality_queries() -> dict[str, Query]:
+    return {
+        "dq_row_counts": _on_star(lambda s: quality.report(
+            quality.row_count_checks({name: build(s) for name, build in marts.MARTS.items()}))),
+        "dq_min_orders": _on_star(lambda s: quality.report([quality.min_orders_check(marts.executive_summary(s))])),
+        "dq_null_revenue": _on_star(lambda s: quality.report([quality.null_revenue_check(marts.trends(s))])),
+        "dq_referential": _on_tables(quality.referential),
+        "catalog_fingerprint": _on_tables(lambda t: catalog.fingerprint(t.products)),
+        "search_documents": _on_tables(lambda t: catalog.search_documents(t.products, t.categories)),
+        "orders_per_status": _on_tables(lambda t: quality.orders_per_status(t.orders)),
+        "orders_per_month": _on_tables(lambda t: quality.orders_per_month(t.orders)),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return warehouse_queries()
+    return {**warehouse_queries(), **graph_queries(), **routing_queries(), **quality_queries()}

@@ -5,16 +5,27 @@ Every frame is lazy, and takes only the columns a query asks for.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.geo import haversine_km
-from comanda.sources.operational import Tables
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Columns of the test tables. Stated here, so that opening a table starts no job.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
 def _places(nation: DataFrame) -> DataFrame:
@@ -137,7 +148,7 @@ def _couriers(orders: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def _order_items(lineitem: DataFrame) -> DataFrame:
+def _items_with_id(lineitem: DataFrame) -> DataFrame:
     """Lines with a unique ``id``: file number, then the row's position in its file."""
     position = lineitem.select(
         "*",
@@ -163,29 +174,59 @@ def _item_columns():
     ]
 
 
-def order_items_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_items(_read(spark, sf_dir, "lineitem"))
-
-
-def operational_tables(spark: SparkSession, sf_dir: str, item_ids: bool = False) -> Tables:
-    """All mapped tables. Line ids need the row positions of the files, so they are read only on request."""
-    lineitem = _read(spark, sf_dir, "lineitem")
-    customer = _read(spark, sf_dir, "customer")
-    places = _places(_read(spark, sf_dir, "nation"))
-    users = _users(customer, places)
-    restaurants = _restaurants(_read(spark, sf_dir, "supplier"), places)
-    part = _read(spark, sf_dir, "part")
-    categories = _categories(part)
-    orders = _orders(_read(spark, sf_dir, "orders"), lineitem)
-    populated = customer.select(F.col("c_nationkey").alias("nation_key"))
-    return Tables(
-        categories=categories,
-        restaurants=restaurants,
-        products=_products(part, categories),
-        users=users,
-        couriers=_couriers(orders, places),
-        orders=orders,
-        order_items=_order_items(lineitem) if item_ids else lineitem.select(*_item_columns()),
-        deliveries=_deliveries(orders, users, restaurants),
-        zones=places.join(populated, "nation_key", "left_semi").drop("nation_key"),
-    )
+class TestTables:
+    """The mapped tables by name, with the attributes of ``Tables``; a table is set up when it is first used.
+
+    Line ids need the row positions of the files, so they are only there on request.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, item_ids: bool = False):
+        self._read = lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        self._item_ids = item_ids
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return _places(self._read("nation"))
+
+    @cached_property
+    def zones(self) -> DataFrame:
+        """The zones of the catalogue in which some user lives."""
+        populated = self._read("customer").select(F.col("c_nationkey").alias("nation_key"))
+        return self.places.join(populated, "nation_key", "left_semi").drop("nation_key")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return _users(self._read("customer"), self.places)
+
+    @cached_property
+    def restaurants(self) -> DataFrame:
+        return _restaurants(self._read("supplier"), self.places)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return _categories(self._read("part"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return _products(self._read("part"), self.categories)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return _orders(self._read("orders"), self._read("lineitem"))
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        lineitem = self._read("lineitem")
+        return _items_with_id(lineitem) if self._item_ids else lineitem.select(*_item_columns())
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        return _deliveries(self.orders, self.users, self.restaurants)
+
+    @cached_property
+    def couriers(self) -> DataFrame:
+        return _couriers(self.orders, self.places)
+
+
+def operational_tables(spark: SparkSession, sf_dir: str, item_ids: bool = False) -> TestTables:
+    return TestTables(spark, sf_dir, item_ids)

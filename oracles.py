@@ -266,5 +266,230 @@ def warehouse_oracles() -> dict[str, str]:
     return out
 
 
+
+CONTAINS = """
+contains AS (
+  SELECT order_id, product_id AS prod_id, quantity, unit_price, line_total
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id, product_id
+                                     ORDER BY line_total DESC, quantity DESC, unit_price DESC) AS rn FROM items)
+  WHERE rn=1 AND order_id IN (SELECT id FROM o_orders) AND product_id IN (SELECT id FROM products)),
+nodes_product AS (
+  SELECT p.id AS prod_id, p.name, p.price, p.available, c.name AS category
+  FROM products p JOIN categories c ON c.id=p.category_id),
+delivered_to AS (
+  SELECT order_id, dest_zone AS zone, distance_km, eta_min::DOUBLE AS eta_min, status
+  FROM deliveries WHERE dest_zone IN (SELECT zone FROM zones)),
+visits AS (SELECT DISTINCT user_id, restaurant_id FROM o_orders WHERE restaurant_id IS NOT NULL),
+recommended AS (
+  SELECT DISTINCT a.user_id AS from_user, b.user_id AS to_user, a.restaurant_id AS via_restaurant
+  FROM visits a JOIN visits b ON a.restaurant_id=b.restaurant_id AND a.user_id<b.user_id
+  ORDER BY to_user, from_user, via_restaurant LIMIT 300),
+recommends AS (SELECT DISTINCT from_user, to_user FROM recommended)
+"""
+
+NETWORK = f"""
+network AS (
+  SELECT a.zone AS src, b.zone AS dst, round({haversine('least_a.lat', 'least_a.lon', 'least_b.lat', 'least_b.lon')},2) AS km
+  FROM zones a JOIN zones b ON a.zone<>b.zone
+  JOIN zones least_a ON least_a.location_key=least(a.location_key,b.location_key)
+  JOIN zones least_b ON least_b.location_key=greatest(a.location_key,b.location_key)),
+steps AS (
+  SELECT src AS node, dst AS nxt, km AS leg FROM network UNION ALL SELECT zone, zone, NULL FROM zones),
+relaxed AS (
+  SELECT zone AS src, zone AS dst, {{'km': 0.0::DOUBLE, 'hops': 0, 'route': [zone], 'costs': [0.0::DOUBLE]}} AS p, 0 AS k
+  FROM zones
+  UNION ALL
+  SELECT s.src, e.nxt,
+         min(CASE WHEN e.leg IS NULL THEN s.p ELSE
+             {{'km': s.p.km+e.leg, 'hops': s.p.hops+1, 'route': list_append(s.p.route, e.nxt),
+              'costs': list_append(s.p.costs, s.p.km+e.leg)}} END), s.k+1
+  FROM relaxed s JOIN steps e ON e.node=s.dst WHERE s.k<24 GROUP BY s.src, e.nxt, s.k),
+best AS (SELECT src, dst, p FROM relaxed WHERE k=24)
+"""
+
+# Breadth-first levels from one zone: fewest edges, then the first route by names.
+HOPS = """
+levels AS (
+  SELECT zone AS node, {'hops': 0, 'route': [zone], 'legs': []::DOUBLE[]} AS p, 0 AS k FROM zones WHERE zone='NATION_1'
+  UNION ALL
+  SELECT e.nxt, min(CASE WHEN e.leg IS NULL THEN s.p ELSE
+         {'hops': s.p.hops+1, 'route': list_append(s.p.route, e.nxt), 'legs': list_append(s.p.legs, e.leg)} END), s.k+1
+  FROM levels s JOIN steps e ON e.node=s.node WHERE s.k<24 GROUP BY e.nxt, s.k)
+"""
+
+PAGERANK = """
+weighted AS (
+  SELECT from_user AS src, to_user AS dst, 1.0::DOUBLE/count(*) OVER (PARTITION BY from_user) AS w FROM recommends
+  UNION ALL SELECT id, id, 0.0 FROM users),
+pagerank AS (
+  SELECT id, 0.15::DOUBLE AS score, 0 AS k FROM users
+  UNION ALL
+  SELECT e.dst, 0.15::DOUBLE+0.85::DOUBLE*sum(p.score*e.w), p.k+1
+  FROM pagerank p JOIN weighted e ON e.src=p.id WHERE p.k<20 GROUP BY e.dst, p.k)
+"""
+
+DISPATCH = f"""
+fleet AS (
+  SELECT c.id AS courier_id, c.name, c.vehicle, c.base_zone, coalesce(z.lat, 14.60::DOUBLE) AS base_lat,
+         coalesce(z.lon, -90.51::DOUBLE) AS base_lon
+  FROM couriers c LEFT JOIN zones z ON z.zone=c.base_zone),
+turns AS (SELECT *, row_number() OVER (ORDER BY courier_id)-1 AS turn, count(*) OVER () AS size FROM fleet),
+pending AS (
+  SELECT o.id AS order_id, z.zone AS dest_zone, z.lat AS dest_lat, z.lon AS dest_lon, u.name AS customer, o.total,
+         (row_number() OVER (ORDER BY o.id)-1)//60+1 AS batch
+  FROM o_orders o JOIN deliveries d ON d.order_id=o.id JOIN zones z ON z.zone=d.dest_zone JOIN users u ON u.id=o.user_id
+  WHERE o.status IN ('pending','preparing','delivering')),
+quotas AS (
+  SELECT batch, ceil(count(*)::DOUBLE/(SELECT count(*) FROM fleet))::BIGINT AS quota FROM pending GROUP BY batch),
+walk AS (
+  SELECT batch, quota, 0::BIGINT AS step, []::BIGINT[] AS used, NULL::BIGINT AS courier_id, NULL::BIGINT AS seq,
+         NULL::VARCHAR AS from_zone, {{'km': 0.0::DOUBLE, 'order_id': -1::BIGINT, 'zone': '', 'lat': 0.0::DOUBLE,
+         'lon': 0.0::DOUBLE}} AS stop
+  FROM quotas
+  UNION ALL
+  SELECT batch, quota, step+1, list_append(used, m.order_id), courier_id, seq, from_zone, m
+  FROM (
+    SELECT w.batch, w.quota, w.step, w.used, t.courier_id, w.step%w.quota+1 AS seq,
+           CASE WHEN w.step%w.quota=0 THEN t.base_zone ELSE w.stop.zone END AS from_zone,
+           min({{'km': {haversine("CASE WHEN w.step%w.quota=0 THEN t.base_lat ELSE w.stop.lat END",
+                                  "CASE WHEN w.step%w.quota=0 THEN t.base_lon ELSE w.stop.lon END",
+                                  "p.dest_lat", "p.dest_lon")},
+                'order_id': p.order_id, 'zone': p.dest_zone, 'lat': p.dest_lat, 'lon': p.dest_lon}}) AS m
+    FROM walk w JOIN turns t ON t.turn=w.step//w.quota
+    JOIN pending p ON p.batch=w.batch AND NOT list_contains(w.used, p.order_id)
+    GROUP BY ALL)),
+routes AS (
+  SELECT w.batch, w.stop.order_id AS order_id, p.dest_zone, p.customer, p.total, w.courier_id, w.seq::INT AS seq,
+         w.from_zone, CASE WHEN w.from_zone=p.dest_zone THEN 0.0::DOUBLE ELSE coalesce(b.p.km, 999.0::DOUBLE) END
+           AS distance_km
+  FROM walk w JOIN pending p ON p.order_id=w.stop.order_id
+  LEFT JOIN best b ON b.src=w.from_zone AND b.dst=p.dest_zone WHERE w.step>0)
+"""
+
+
+def graph_oracles() -> dict[str, str]:
+    graph = lambda body: _sql(body, CONTAINS)
+    out = {
+        "graph_users": _sql("SELECT id AS user_id, name, email, role, zone, lat, lon FROM users"),
+        "graph_restaurants": _sql("SELECT id AS rest_id, name, address, zone, lat, lon, rating FROM restaurants"),
+        "graph_products": graph("SELECT * FROM nodes_product"),
+        "graph_couriers": _sql("SELECT id AS courier_id, name, vehicle, base_zone FROM couriers"),
+        "graph_locations": _sql("SELECT zone, zone_name, lat, lon FROM zones"),
+        "graph_orders": _sql(
+            "SELECT id AS order_id, status, total, payment_method, strftime(order_ts,'%Y-%m-%d %H:%M:%S') AS order_ts "
+            "FROM o_orders"),
+        "graph_placed": _sql("SELECT DISTINCT user_id, o.id AS order_id FROM o_orders o JOIN users u ON u.id=user_id"),
+        "graph_from_restaurant": _sql(
+            "SELECT DISTINCT o.id AS order_id, restaurant_id AS rest_id "
+            "FROM o_orders o JOIN restaurants r ON r.id=restaurant_id"),
+        "graph_contains": graph("SELECT * FROM contains"),
+        "graph_delivered_to": graph("SELECT * FROM delivered_to"),
+        "graph_assigned": _sql("SELECT DISTINCT courier_id, order_id FROM deliveries WHERE courier_id IS NOT NULL"),
+        "graph_recommends": graph("SELECT * FROM recommended"),
+        "graph_label_counts": graph(
+            "SELECT * FROM (SELECT 'User' AS label, count(*) AS nodes FROM users "
+            "UNION ALL SELECT 'Restaurant', count(*) FROM restaurants "
+            "UNION ALL SELECT 'Product', count(*) FROM nodes_product "
+            "UNION ALL SELECT 'Courier', count(*) FROM couriers UNION ALL SELECT 'Location', count(*) FROM zones "
+            "UNION ALL SELECT 'Order', count(*) FROM o_orders)"),
+        "zone_routes": _sql(
+            "SELECT src AS from_zone, dst AS to_zone, km AS distance_km, round(km/30*60,1) AS time_min FROM network",
+            NETWORK),
+        "copurchase_top5": graph(
+            "SELECT a.name AS product_1, b.name AS product_2, count(DISTINCT x.order_id) AS orders_together "
+            "FROM contains x JOIN contains y ON x.order_id=y.order_id AND x.prod_id<y.prod_id "
+            "JOIN nodes_product a ON a.prod_id=x.prod_id JOIN nodes_product b ON b.prod_id=y.prod_id "
+            "GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 5"),
+        "influencers_degree": graph(
+            "SELECT u.name AS user_name, u.zone, count(DISTINCT to_user) AS recommended_users "
+            "FROM recommends JOIN users u ON u.id=from_user GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 10"),
+        "influencers_pagerank": _sql(
+            "SELECT name AS user_name, zone, round(score,4) AS pagerank_score FROM pagerank JOIN users USING (id) "
+            "WHERE k=20 ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, PAGERANK),
+        "shortest_hops": _sql(
+            "SELECT array_to_string(p.route,'>') AS route, "
+            "array_to_string([printf('%.2f',x) FOR x IN p.legs],'>') AS legs_km, round(list_sum(p.legs),2) AS total_km "
+            "FROM levels WHERE k=24 AND node='NATION_7'", NETWORK, HOPS),
+        "shortest_weighted": _sql(
+            "SELECT array_to_string(p.route,'>') AS route, "
+            "array_to_string([printf('%.2f',x) FOR x IN p.costs],'>') AS costs, round(p.km,2) AS total_km "
+            "FROM best WHERE src='NATION_1' AND dst='NATION_13'", NETWORK),
+        "top3_per_category": graph(
+            "SELECT * FROM (SELECT category, product, units, orders, "
+            "row_number() OVER (PARTITION BY category ORDER BY units DESC, product)::INT AS place FROM "
+            "(SELECT category, name AS product, sum(quantity)::BIGINT AS units, count(DISTINCT order_id) AS orders "
+            "FROM contains JOIN nodes_product USING (prod_id) GROUP BY 1,2)) WHERE place<=3"),
+        "courier_top_zone": graph(
+            "SELECT courier_name, vehicle, total_deliveries, top_zone FROM ("
+            "SELECT courier_name, vehicle, sum(n) OVER w::BIGINT AS total_deliveries, zone AS top_zone, "
+            "row_number() OVER (PARTITION BY courier_name, vehicle ORDER BY n DESC, zone) AS rn FROM "
+            "(SELECT c.name AS courier_name, c.vehicle, t.zone, count(*) AS n FROM deliveries d "
+            "JOIN delivered_to t USING (order_id) JOIN couriers c ON c.id=d.courier_id GROUP BY 1,2,3) "
+            "WINDOW w AS (PARTITION BY courier_name, vehicle)) WHERE rn=1").replace(
+                "sum(n) OVER w::BIGINT", "(sum(n) OVER w)::BIGINT"),
+    }
+    return out
+
+
+def routing_oracles() -> dict[str, str]:
+    routes = lambda body: _sql(body, NETWORK, DISPATCH)
+    return {
+        "routing_couriers": _sql("SELECT * FROM fleet", DISPATCH.split("turns AS")[0].rstrip().rstrip(",")),
+        "routing_pending": routes("SELECT * FROM pending"),
+        "zone_distance": _sql("SELECT src AS from_zone, dst AS to_zone, p.km AS distance_km FROM best", NETWORK),
+        "route_assignment": routes("SELECT * FROM routes"),
+        "route_summary": routes(
+            "SELECT batch, courier_id, count(*) AS orders, round(sum(distance_km),2) AS total_km, "
+            "(sum(count(*)) OVER (PARTITION BY batch))::BIGINT AS batch_orders FROM routes GROUP BY batch, courier_id"),
+    }
+
+
+def quality_oracles() -> dict[str, str]:
+    mart = lambda body: _sql(body, STAR, CUBES, MARTS)
+
+    def check(name: str, value: str, threshold: int, passed: str, message: str, source: str) -> str:
+        return (f"SELECT '{name}' AS check_name, {value}::BIGINT AS value, {threshold}::BIGINT AS threshold, "
+                f"{value} {passed} {threshold} AS passed, '{message}' AS message FROM {source}")
+
+    def relation(name: str, child: str, key: str, parent: str, parent_key: str) -> str:
+        return (f"SELECT '{name}' AS relation, count(*) AS rows, count(*) FILTER ({key} IS NULL) AS null_keys, "
+                f"count(*) FILTER ({key} IS NOT NULL AND {key} NOT IN (SELECT {parent_key} FROM {parent})) AS orphans "
+                f"FROM {child}")
+
+    buyers = "(SELECT id FROM users WHERE role='customer')"
+    hashed = (
+        "SELECT md5(length(id::VARCHAR)||':'||id||length(name)||':'||name"
+        "||length(cents)||':'||cents||length(category_id::VARCHAR)||':'||category_id"
+        "||length(available::VARCHAR)||':'||available::VARCHAR) AS h "
+        "FROM (SELECT *, (round(price*100)::BIGINT)::VARCHAR AS cents FROM products)"
+    )
+    return {
+        "dq_row_counts": mart(" UNION ALL ".join(
+            check(name, "count(*)", 1, ">=", "no rows", name)
+            for name in ("mart_trends", "mart_peak_hours", "mart_monthly_growth"))),
+        "dq_min_orders": mart(check("mart_executive_summary", "total_orders", 1000, ">=", "fewer than 1000 orders",
+                                    "mart_executive_summary")),
+        "dq_null_revenue": mart(check("no_nulls_trends", "(count(*) FILTER (revenue IS NULL))", 1, "<", "null revenue",
+                                      "mart_trends")),
+        "dq_referential": _sql(" UNION ALL ".join([
+            relation("orders.customer", "o_orders", "user_id", buyers, "id"),
+            relation("orders.restaurant", "o_orders", "restaurant_id", "restaurants", "id"),
+            relation("order_items.order", "items", "order_id", "o_orders", "id"),
+            relation("order_items.product", "items", "product_id", "products", "id"),
+            relation("deliveries.order", "deliveries", "order_id", "o_orders", "id"),
+            relation("deliveries.courier", "deliveries", "courier_id", "couriers", "id"),
+            relation("deliveries.zone", "deliveries", "dest_zone", "zones", "zone"),
+            relation("products.category", "products", "category_id", "categories", "id"),
+        ])),
+        "catalog_fingerprint": _sql(
+            "SELECT count(*) AS products, md5(concat_ws('|', count(*), sum(('0x'||substr(h,1,15))::BIGINT)::HUGEINT, "
+            f"sum(('0x'||substr(h,17,15))::BIGINT)::HUGEINT)) AS digest FROM ({hashed})"),
+        "search_documents": _sql("SELECT prod_id AS id, name, price, available, category FROM nodes_product", CONTAINS),
+        "orders_per_status": _sql("SELECT status, count(*) AS orders FROM o_orders GROUP BY 1"),
+        "orders_per_month": _sql("SELECT date_trunc('month', order_ts)::DATE AS month, count(*) AS orders "
+                                 "FROM o_orders GROUP BY 1"),
+    }
+
+
 def all_oracles() -> dict[str, str]:
-    return warehouse_oracles()
+    return {**warehouse_oracles(), **graph_oracles(), **routing_oracles(), **quality_oracles()}
