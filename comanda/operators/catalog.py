@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,18 +48,16 @@ def fingerprint(products: DataFrame) -> DataFrame:
     return sums.select("products", F.md5(text).alias("digest"))
 
 
-def catalog_changed(spark: SparkSession, current: DataFrame, state_path: str) -> bool:
-    """Compare with the digest of the run before and keep the new one; True on the first run."""
-    new = current.first()["digest"]
-    old = [row["digest"] for row in _read_state(spark, state_path).collect()]
-    if old != [new]:
-        spark.createDataFrame([(new,)], "digest string").coalesce(1).write.mode("overwrite").parquet(state_path)
-    return old != [new]
+def stored_digest(spark: SparkSession, state_path: str) -> str | None:
+    """The digest kept by the run before; None when there is none."""
+    try:
+        row = spark.read.schema("digest string").parquet(state_path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return row["digest"] if row else None
 
 
-def _read_state(spark: SparkSession, state_path: str) -> DataFrame:
-    """The one-row state; no rows when there was no run yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(state_path)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], "digest string")
-    return spark.read.schema("digest string").parquet(state_path).limit(1)
+def keep_digest(spark: SparkSession, digest: str, state_path: str) -> None:
+    spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.mode("overwrite").parquet(state_path)

@@ -95,7 +95,7 @@ def contains(t: Tables, last_by: tuple[str, ...] = ("id",)) -> DataFrame:
     edges = t.order_items.groupBy("order_id", F.col("product_id").alias("prod_id")).agg(last.alias("last"))
     return (
         edges.join(_ids(t.orders, "order_id"), "order_id", "left_semi")
-        .join(_ids(t.products, "prod_id"), "prod_id", "left_semi")
+        .join(_ids(products(t), "prod_id", "prod_id"), "prod_id", "left_semi")
         .select("order_id", "prod_id", "last.quantity", "last.unit_price", "last.line_total")
     )
 

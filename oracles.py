@@ -268,14 +268,14 @@ def warehouse_oracles() -> dict[str, str]:
 
 
 CONTAINS = """
+nodes_product AS (
+  SELECT p.id AS prod_id, p.name, p.price, p.available, c.name AS category
+  FROM products p JOIN categories c ON c.id=p.category_id),
 contains AS (
   SELECT order_id, product_id AS prod_id, quantity, unit_price, line_total
   FROM (SELECT *, row_number() OVER (PARTITION BY order_id, product_id
                                      ORDER BY line_total DESC, quantity DESC, unit_price DESC) AS rn FROM items)
-  WHERE rn=1 AND order_id IN (SELECT id FROM o_orders) AND product_id IN (SELECT id FROM products)),
-nodes_product AS (
-  SELECT p.id AS prod_id, p.name, p.price, p.available, c.name AS category
-  FROM products p JOIN categories c ON c.id=p.category_id),
+  WHERE rn=1 AND order_id IN (SELECT id FROM o_orders) AND product_id IN (SELECT prod_id FROM nodes_product)),
 delivered_to AS (
   SELECT order_id, dest_zone AS zone, distance_km, eta_min::DOUBLE AS eta_min, status
   FROM deliveries WHERE dest_zone IN (SELECT zone FROM zones)),
