@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.functions.money import units
 from comanda.session import cut_lineage
 
 ROUNDS_PER_CHECKPOINT = 4
@@ -82,9 +83,34 @@ def lightest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     return best.drop("hops")
 
 
+def all_distances(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(src, dst, km) of the shortest path between all pairs of ``nodes(node)``; edges have km with two decimals.
+
+    Paths are joined with paths, so their greatest number of edges doubles in each round. Lengths are added as
+    whole hundredths: the result does not depend on the order of the legs.
+    """
+    none = F.lit(0).cast("bigint")
+    known = edges.select("src", "dst", units("km").alias("length")).unionByName(
+        nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"), none.alias("length"))
+    ).groupBy("src", "dst").agg(F.min("length").alias("length"))
+    known = cut_lineage(known)
+    improved = True
+    while improved:
+        onward = known.select(F.col("src").alias("via"), F.col("dst").alias("end"), F.col("length").alias("onward"))
+        total = F.col("length") + F.col("onward")
+        joined = known.join(onward, F.col("dst") == F.col("via")).groupBy("src", F.col("end").alias("dst")).agg(
+            F.min(total).alias("length"),
+            F.min(F.when(F.col("via") == F.col("src"), total)).alias("before"),  # no step, then the known path
+        )
+        state = cut_lineage(joined)
+        known = state.select("src", "dst", "length")
+        improved = not state.filter("before IS NULL OR length < before").isEmpty()
+    return known.select("src", "dst", (F.col("length") / 100).alias("km"))
+
+
 def zone_distance(zones: DataFrame, edges: DataFrame, fallback: DataFrame) -> DataFrame:
     """km between every two zones: the shortest path, else ``fallback`` (from_zone, to_zone, km); 0 inside a zone."""
-    paths = lightest_paths(edges, zones.select(F.col("zone").alias("src"))).select(
+    paths = all_distances(zones.select(F.col("zone").alias("node")), edges).select(
         F.col("src").alias("from_zone"), F.col("dst").alias("to_zone"), F.col("km").alias("path_km")
     )
     return paths.join(fallback, ["from_zone", "to_zone"], "full").select(

@@ -54,30 +54,41 @@ def pending_orders(
     return numbered.withColumn("batch", batch.cast("bigint")).drop("no")
 
 
-def _km(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
-    dlat, dlon = np.radians(lats - lat) / 2, np.radians(lons - lon) / 2
-    chord = np.sin(dlat) ** 2 + math.cos(math.radians(lat)) * np.cos(np.radians(lats)) * np.sin(dlon) ** 2
+def _km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """Great-circle km from every first to every second position."""
+    lat1, lon1, lat2, lon2 = (np.radians(np.asarray(x, dtype=float)) for x in (lat1, lon1, lat2, lon2))
+    dlat, dlon = (lat2 - lat1[:, None]) / 2, (lon2 - lon1[:, None]) / 2
+    chord = np.sin(dlat) ** 2 + np.cos(lat1)[:, None] * np.cos(lat2) * np.sin(dlon) ** 2
     return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord))
 
 
-def _dispatch(batch: pd.DataFrame, fleet: list[tuple], fleet_size: int) -> pd.DataFrame:
-    """Nearest neighbour inside one batch: each courier in turn takes the closest order left until its quota."""
+def _dispatch(batch: pd.DataFrame, fleet: pd.DataFrame, fleet_size: int) -> pd.DataFrame:
+    """Nearest neighbour inside one batch: each courier in turn takes the closest order left until its quota.
+
+    Of equally near orders the one with the lowest id is taken.
+    """
     batch = batch.sort_values("order_id", ignore_index=True)
-    quota = math.ceil(len(batch) / fleet_size)
-    lats, lons = batch["dest_lat"].to_numpy(), batch["dest_lon"].to_numpy()
-    free = np.ones(len(batch), dtype=bool)
-    taken = []
-    for courier_id, zone, lat, lon in fleet:
-        for seq in range(1, min(quota, int(free.sum())) + 1):
-            nearest = int(np.where(free, _km(lat, lon, lats, lons), np.inf).argmin())
-            free[nearest] = False
-            taken.append((nearest, courier_id, seq, zone))
-            zone, lat, lon = batch["dest_zone"].iat[nearest], lats[nearest], lons[nearest]
-    rows = [t[0] for t in taken]
-    out = batch.iloc[rows][["batch", "order_id", "dest_zone", "customer", "total"]].reset_index(drop=True)
-    out["courier_id"] = [t[1] for t in taken]
-    out["seq"] = [t[2] for t in taken]
-    out["from_zone"] = [t[3] for t in taken]
+    n = len(batch)
+    quota = math.ceil(n / fleet_size)
+    lat, lon = batch["dest_lat"].to_numpy(), batch["dest_lon"].to_numpy()
+    used_fleet = fleet.iloc[: math.ceil(n / quota)]
+    from_base = _km(used_fleet["base_lat"], used_fleet["base_lon"], lat, lon)
+    from_order = _km(lat, lon, lat, lon)
+
+    taken = np.zeros(n, dtype=bool)
+    stops = []
+    for turn in range(n):
+        courier, seq = divmod(turn, quota)
+        here = from_base[courier] if seq == 0 else from_order[stops[-1]]
+        stops.append(int(np.where(taken, np.inf, here).argmin()))
+        taken[stops[-1]] = True
+
+    turns = np.arange(n)
+    courier, seq = turns // quota, turns % quota
+    out = batch.iloc[stops][["batch", "order_id", "dest_zone", "customer", "total"]].reset_index(drop=True)
+    out["courier_id"] = used_fleet["courier_id"].to_numpy()[courier]
+    out["seq"] = seq + 1
+    out["from_zone"] = np.where(seq == 0, used_fleet["base_zone"].to_numpy()[courier], out["dest_zone"].shift())
     return out
 
 
@@ -89,18 +100,22 @@ def assign_routes(
     A batch has at most ``batch_size`` orders, and each courier in turn takes at least one while there are any, so
     no more than the first ``batch_size`` couriers can get one: only those go to the tasks.
     """
-    first = couriers.orderBy("courier_id").limit(batch_size).select("courier_id", "base_zone", "base_lat", "base_lon")
-    fleet = [tuple(row) for row in first.collect()]
-    fleet_size = couriers.count() if len(fleet) == batch_size else len(fleet)
+    columns = ["courier_id", "base_zone", "base_lat", "base_lon"]
+    first = [tuple(row) for row in couriers.orderBy("courier_id").limit(batch_size).select(*columns).collect()]
+    fleet_size = couriers.count() if len(first) == batch_size else len(first)
     legs = "batch long, order_id long, dest_zone string, customer string, total double, " \
            "courier_id long, seq int, from_zone string"
-    if not fleet:
-        return pending.sparkSession.createDataFrame([], legs + ", distance_km double")
+    spark = pending.sparkSession
+    if not first:
+        return spark.createDataFrame([], legs + ", distance_km double")
+    fleet = pd.DataFrame(first, columns=columns)
 
     def dispatch(pdf: pd.DataFrame) -> pd.DataFrame:
         return _dispatch(pdf, fleet, fleet_size)
 
-    chosen = pending.groupBy("batch").applyInPandas(dispatch, legs)
+    # Few bytes, much work: keep AQE from putting all batches into one task.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    chosen = pending.repartition(tasks, "batch").groupBy("batch").applyInPandas(dispatch, legs)
     km = distances.select("from_zone", F.col("to_zone").alias("dest_zone"), "distance_km")
     leg = F.when(F.col("from_zone") == F.col("dest_zone"), 0.0).otherwise(
         F.coalesce("distance_km", F.lit(UNKNOWN_KM))

@@ -360,7 +360,7 @@ walk AS (
     GROUP BY ALL)),
 routes AS (
   SELECT w.batch, w.stop.order_id AS order_id, p.dest_zone, p.customer, p.total, w.courier_id, w.seq::INT AS seq,
-         w.from_zone, CASE WHEN w.from_zone=p.dest_zone THEN 0.0::DOUBLE ELSE coalesce(b.p.km, 999.0::DOUBLE) END
+         w.from_zone, CASE WHEN w.from_zone=p.dest_zone THEN 0.0::DOUBLE ELSE coalesce(round(b.p.km*100)/100, 999.0::DOUBLE) END
            AS distance_km
   FROM walk w JOIN pending p ON p.order_id=w.stop.order_id
   LEFT JOIN best b ON b.src=w.from_zone AND b.dst=p.dest_zone WHERE w.step>0)
@@ -436,7 +436,7 @@ def routing_oracles() -> dict[str, str]:
     return {
         "routing_couriers": _sql("SELECT * FROM fleet", DISPATCH.split("turns AS")[0].rstrip().rstrip(",")),
         "routing_pending": routes("SELECT * FROM pending"),
-        "zone_distance": _sql("SELECT src AS from_zone, dst AS to_zone, p.km AS distance_km FROM best", NETWORK),
+        "zone_distance": _sql("SELECT src AS from_zone, dst AS to_zone, round(p.km*100)/100 AS distance_km FROM best", NETWORK),
         "route_assignment": routes("SELECT * FROM routes"),
         "route_summary": routes(
             "SELECT batch, courier_id, count(*) AS orders, round(sum(distance_km),2) AS total_km, "

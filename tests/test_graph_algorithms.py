@@ -137,6 +137,16 @@ def test_lightest_paths(spark, seed):
         assert r.route[0] == r.src and r.route[-1] == r.dst and r.costs[-1] == r.km and len(r.costs) == len(r.route)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_distances(spark, seed):
+    nodes, edges = random_network(seed)
+    df = paths.both_ways(spark.createDataFrame([(a, b, km) for (a, b), km in edges.items()],
+                                               "src string, dst string, km double"))
+    got = paths.all_distances(spark.createDataFrame([(n,) for n in nodes], "node string"), df).collect()
+    for n in nodes:
+        assert {r.dst: r.km for r in got if r.src == n} == {m: round(km, 2) for m, km in dijkstra(nodes, edges, n).items()}
+
+
 def test_fewest_hops(spark):
     edges = [("a", "b", 1.0), ("b", "d", 1.0), ("a", "c", 1.0), ("c", "d", 5.0), ("d", "e", 2.0), ("x", "y", 1.0)]
     df = paths.both_ways(spark.createDataFrame(edges, "src string, dst string, km double"))

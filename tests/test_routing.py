@@ -68,7 +68,7 @@ def greedy(orders, couriers, position, km):
         for seq in range(1, quota + 1):
             if not left:
                 break
-            pick = min(left, key=lambda o: (float(routing._km(lat, lon, *position[o[1]])), o[0]))
+            pick = min(left, key=lambda o: (routing._km([lat], [lon], *[[x] for x in position[o[1]]])[0, 0], o[0]))
             left.remove(pick)
             out.append((c, seq, *pick, round(0.0 if zone == pick[1] else km.get((zone, pick[1]), 999.0), 6)))
             zone, (lat, lon) = pick[1], position[pick[1]]
