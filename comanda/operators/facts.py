@@ -46,6 +46,9 @@ def fact_orders(t: Tables, dims, columns: Sequence[str] = FACT_ORDERS) -> DataFr
     ts = F.col("order_ts")
     fact = t.orders.withColumnRenamed("id", "order_id")
 
+    # Lookups by order id come first, as they can share one shuffle of the orders.
+    if "item_count" in want:
+        fact = fact.join(items_per_order(t.order_items), "order_id", "left")
     if want & FROM_DELIVERY:
         delivery = t.deliveries.select("order_id", "courier_id", "dest_zone", "distance_km", "eta_min", "delivered_ts")
         fact = fact.join(delivery, "order_id", "left")
@@ -58,9 +61,6 @@ def fact_orders(t: Tables, dims, columns: Sequence[str] = FACT_ORDERS) -> DataFr
         fact = fact.join(zones, "dest_zone", "left")
     if "courier_key" in want:
         fact = fact.join(dims.courier.select("courier_id", "courier_key"), "courier_id", "left")
-    if "item_count" in want:
-        fact = fact.join(items_per_order(t.order_items), "order_id", "left")
-
     values = {
         "order_key": F.col("order_id").cast("bigint"),
         "date_key": date_key(ts),

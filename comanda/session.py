@@ -12,6 +12,7 @@ SESSION_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -30,7 +31,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    shared = sc.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not shared:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
