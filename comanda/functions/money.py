@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WIDE = "decimal(38,0)"
+
 
 def units(col: Column | str, per_one: int = 100) -> Column:
     """The amount in whole units, e.g. cents. ``rint`` only removes the binary error of the product."""
@@ -17,21 +19,29 @@ def units(col: Column | str, per_one: int = 100) -> Column:
 
 
 def half_up(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator rounded half away from zero, as whole number; NULL for denominator 0."""
-    den = F.nullif(denominator, F.lit(0).cast("bigint"))
-    magnitude = F.call_function("div", F.abs(numerator) * 2 + den, den * 2)
-    return F.when(numerator < 0, -magnitude).otherwise(magnitude)
+    """numerator / denominator rounded half away from zero, as whole number; NULL for denominator 0.
+
+    This runs on aggregated rows, so it can afford decimals: a scaled total may be beyond 64 bits.
+    """
+    num, den = numerator.cast(WIDE), F.nullif(denominator.cast(WIDE), F.lit(0).cast(WIDE))
+    magnitude = F.call_function("div", F.abs(num) * 2 + den, den * 2)
+    return F.when(num < 0, -magnitude).otherwise(magnitude)
+
+
+def amount(whole: Column, per_one: int = 100) -> Column:
+    """Whole units back as a double, also where the units exceed the 53 bits of a double."""
+    return (whole.cast(WIDE) / per_one).cast("double")
 
 
 def exact_sum(col: Column | str, per_one: int = 100) -> Column:
-    return F.sum(units(col, per_one)) / per_one
+    return amount(F.sum(units(col, per_one)), per_one)
 
 
 def exact_mean(col: Column | str, digits: int, per_one: int = 100) -> Column:
     """AVG(col) rounded to ``digits``; NULLs are not counted."""
     scale = 10**digits
     c = units(col, per_one)
-    return half_up(F.sum(c) * scale, F.count(c) * per_one) / scale
+    return amount(half_up(F.sum(c).cast(WIDE) * scale, F.count(c) * per_one), scale)
 
 
 def pct_change(value: Column, previous: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from comanda.functions.money import half_up, units
+from comanda.functions.money import amount, half_up, units
 
 DEFAULT_ROW_LIMIT = 50_000
 
@@ -27,7 +27,7 @@ class Metric:
         c = units(self.column, self.per_one)
         if self.agg == "SUM":
             total = F.sum(c)
-            return (total if self.per_one == 1 else total / self.per_one).alias(self.label)
+            return (total if self.per_one == 1 else amount(total, self.per_one)).alias(self.label)
         if self.agg == "AVG":
             return F.try_divide(F.sum(c).cast("double"), (F.count(c) * self.per_one).cast("double")).alias(self.label)
         raise ValueError(f"unsupported aggregate {self.agg}")
@@ -81,7 +81,7 @@ def status_over_time(cube: DataFrame) -> DataFrame:
 def status_distribution(cube: DataFrame) -> DataFrame:
     by_status = chart(cube, ["status"], [Metric("order_count", "SUM", "orders")])
     everything = F.sum("orders").over(W.partitionBy())
-    return by_status.withColumn("percent", half_up(F.col("orders") * 10_000, everything) / 100)
+    return by_status.withColumn("percent", amount(half_up(F.col("orders") * 10_000, everything)))
 
 
 def revenue_by_status_month(cube: DataFrame) -> DataFrame:

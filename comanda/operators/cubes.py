@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.calendar import year_month
-from comanda.functions.money import exact_mean, exact_sum, half_up, units
+from comanda.functions.money import amount, exact_mean, exact_sum, half_up, units
 
 DAY = ["date_key", "year", "month"]
 
@@ -100,7 +100,7 @@ def product_ranking(star) -> DataFrame:
             F.sum("quantity").alias("units_sold"),
             exact_sum("line_total").alias("total_revenue"),
             F.round(F.avg("unit_price"), 2).alias("avg_sold_price"),
-            (half_up(F.sum(units("line_total")), F.sum("quantity")) / 100).alias("revenue_per_unit"),
+            amount(half_up(F.sum(units("line_total")), F.sum("quantity"))).alias("revenue_per_unit"),
         )
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.calendar import year_month
-from comanda.functions.money import exact_mean, exact_sum, pct_change, units
+from comanda.functions.money import amount, exact_mean, exact_sum, pct_change, units
 from comanda.operators.cubes import DAY, by_month_and_category, peak_hours
 
 
@@ -22,7 +22,7 @@ def trends(star) -> DataFrame:
     in_month = W.partitionBy("year", "month").orderBy(F.desc("revenue"))
     return base.select(
         "*",
-        (F.sum(units("revenue")).over(so_far) / 100).alias("cumulative_revenue"),
+        amount(F.sum(units("revenue")).over(so_far)).alias("cumulative_revenue"),
         F.rank().over(in_month).alias("revenue_rank_in_month"),
     )
 
@@ -59,7 +59,7 @@ def monthly_growth(star) -> DataFrame:
         "order_count", "revenue", "avg_ticket", "avg_items_per_order", "unique_customers",
         pct_change(F.col("order_count"), before["order_count"]).alias("order_count_pct_change"),
         pct_change(F.col("revenue"), before["revenue"]).alias("revenue_pct_change"),
-        (F.sum(units("revenue")).over(months.rowsBetween(W.unboundedPreceding, W.currentRow)) / 100)
+        amount(F.sum(units("revenue")).over(months.rowsBetween(W.unboundedPreceding, W.currentRow)))
         .alias("cumulative_revenue"),
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.geo import EARTH_RADIUS_KM
 from comanda.operators.keys import dense_key
+from comanda.session import cut_lineage
 
 # Statuses that wait for dispatch, and the position of a courier without a known base zone.
 PENDING = ["pending", "preparing", "delivering"]
@@ -48,7 +49,7 @@ def pending_orders(
         .join(users.select("user_id", F.col("name").alias("customer")), "user_id")
         .select("order_id", "dest_zone", "dest_lat", "dest_lon", "customer", "total")
     )
-    numbered = dense_key(waiting, "order_id", "no")
+    numbered = dense_key(cut_lineage(waiting), "order_id", "no")  # read twice: for the numbers and their offsets
     # A range of a dense number: integer arithmetic, at most batch_size rows per batch.
     batch = F.floor((F.col("no") - 1) / batch_size) + 1
     return numbered.withColumn("batch", batch.cast("bigint")).drop("no")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from comanda.operators import catalog, cubes, dims, facts, marts, quality
 from comanda.plans.star import LazyStar, StoredStar
 from comanda.sinks.files import write_json, write_parquet
+from comanda.sinks.jdbc import write_mart
 from comanda.sinks.tables import write_table
+from comanda.sources.jdbc import JdbcConfig, read_jdbc, read_table_by_id
 from comanda.sources.operational import OPERATIONAL_TABLES, staged_path, staged_tables
 
 # Cube -> name of its export.
@@ -33,9 +35,9 @@ class PipelineConfig:
     read_source: Callable[[str], DataFrame]
     write_serving: Callable[[DataFrame, str], object]
     read_serving: Callable[[str], DataFrame]
-    zones: DataFrame
     staging_dir: str
     state_dir: str
+    zones: DataFrame | None = None
     database: str = "order_dw"
     tables: list[str] = field(default_factory=lambda: list(OPERATIONAL_TABLES))
     min_orders: int = quality.MIN_ORDERS
@@ -43,6 +45,19 @@ class PipelineConfig:
     parallel_steps: int = 4
 
 
+def jdbc_config(
+    spark: SparkSession, source: JdbcConfig, serving: JdbcConfig, staging_dir: str, state_dir: str,
+    connections: int = 8, **options,
+) -> PipelineConfig:
+    """Operational tables and serving store over JDBC; each table is read through several connections."""
+    return PipelineConfig(
+        read_source=lambda name: read_table_by_id(spark, source, name, connections),
+        write_serving=lambda df, name: write_mart(df, serving, name),
+        read_serving=lambda name: read_jdbc(spark, serving, table=name),
+        staging_dir=staging_dir, state_dir=state_dir, **options,
+    )
+
+
 def extract(config: PipelineConfig) -> dict[str, int]:
     """Copy the operational tables to the staging folder; rows per table."""
     return {name: write_parquet(config.read_source(name), staged_path(config.staging_dir, name))

@@ -180,7 +180,7 @@ class TestTables:
     @cached_property
     def zones(self) -> DataFrame:
         """The zones of the catalogue in which some user lives."""
-        populated = self._read("customer").select(F.col("c_nationkey").alias("nation_key"))
+        populated = self._read("customer").select(F.col("c_nationkey").alias("nation_key")).distinct()
         return self.places.join(populated, "nation_key", "left_semi").drop("nation_key")
 
     @cached_property

@@ -1,16 +1,5 @@
 """A dispatch of 60 orders to 12 couriers over seven zones, and the km of each leg."""
 
-# zone, centre
-ZONES = [
-    ("zona_1", 14.6407, -90.5133),
-    ("zona_4", 14.6257, -90.5218),
-    ("zona_9", 14.6032, -90.5172),
-    ("zona_10", 14.5994, -90.5069),
-    ("zona_11", 14.6050, -90.5333),
-    ("zona_13", 14.5775, -90.5283),
-    ("antigua", 14.5586, -90.7295),
-]
-
 # courier, base zone, total km, stops (order, zone, km)
 ROUTES = [
     (1, "zona_10", 0.0, [

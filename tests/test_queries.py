@@ -22,30 +22,22 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    text, same = compare(spark, con, SF_DIR, name, QUERIES[name], ORACLES[name])
+    text, same, df = compare(spark, con, SF_DIR, name, QUERIES[name], ORACLES[name])
     assert same and "type of" not in text, text
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry(spark):
     assert entry(spark).limit(1).count() == 1
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-LAZY = [n for n in QUERIES if n not in ("influencers_pagerank", "shortest_hops", "shortest_weighted", "zone_distance",
-                                        "route_assignment", "route_summary", "copurchase_top5")]
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_nested_loops(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_scans_read_only_their_columns(spark):
     plan = plan_of(QUERIES["cube_order_status"](spark, SF_DIR))
     assert "lineitem" not in plan  # restaurant lookup is not needed, so its scan is gone

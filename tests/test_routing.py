@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from comanda.operators import graph, paths, routing
-from tests.golden_routes import ROUTES, ZONES
+from comanda.sinks.files import write_json
+from comanda.sources.operational import ZONES, default_zones
+from tests.golden_routes import ROUTES
 
 
 @pytest.fixture(scope="module")
 def zones(spark):
-    rows = [(i, z, z, lat, lon) for i, (z, lat, lon) in enumerate(ZONES, 1)]
-    return spark.createDataFrame(rows, "location_key int, zone string, zone_name string, lat double, lon double")
+    return default_zones(spark)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_zone_network(zones, distances):
     assert round(km["zona_1", "zona_11"], 2) == 4.51  # shorter by way of another zone, as edges are rounded
     assert km["antigua", "antigua"] == 0.0
     assert all(abs(km[a, b] - km[b, a]) < 1e-9 for a, b in km)
-    names = [z for z, _, _ in ZONES]
+    names = [zone for _, zone, *_ in ZONES]
     assert all(km[a, c] <= km[a, b] + km[b, c] + 1e-9 for a in names for b in names for c in names)
 
 
@@ -43,7 +44,7 @@ def fleet(spark, rows, zones):
     return routing.couriers_at_base(df, zones)
 
 
-def test_known_dispatch(spark, zones, distances):
+def test_known_dispatch(spark, zones, distances, tmp_path):
     orders = sorted((order, zone, 1) for *_, stops in ROUTES for order, zone, _ in stops)
     couriers = fleet(spark, [(c, f"c{c}", "moto", base) for c, base, _, _ in ROUTES], zones)
     routes = routing.assign_routes(pending(spark, orders, zones), couriers, distances)
@@ -58,6 +59,9 @@ def test_known_dispatch(spark, zones, distances):
     nested = routing.routes_nested(routes, couriers).collect()
     assert len(nested) == 12 and all([o.order_id for o in n.orders] == [o for o, _, _ in got[n.courier_id]]
                                      for n in nested)
+    assert write_json(routing.routes_nested(routes, couriers), str(tmp_path / "routes")) == 12
+    stored = {r.courier_id: r for r in spark.read.json(str(tmp_path / "routes")).collect()}
+    assert all(len(r.orders) == 5 and r.total_distance_km == summary[c].total_km for c, r in stored.items())
 
 
 def greedy(orders, couriers, position, km):
@@ -80,8 +84,8 @@ def test_batches_are_independent(spark, zones, distances):
     import random
 
     rng = random.Random(5)
-    names = [z for z, _, _ in ZONES]
-    position = {z: (np.float64(lat), np.float64(lon)) for z, lat, lon in ZONES}
+    names = [zone for _, zone, *_ in ZONES]
+    position = {zone: (np.float64(lat), np.float64(lon)) for _, zone, _, lat, lon in ZONES}
     km = {(r.from_zone, r.to_zone): r.distance_km for r in distances.collect()}
     orders = [(i, rng.choice(names), i // 9) for i in range(60)]
     bases = [(1, "zona_9"), (2, "unknown"), (4, "antigua"), (7, "zona_1")]
