@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from comanda.session import cut_lineage
 
 
-def _names_in_orders(edges: DataFrame, products: DataFrame) -> DataFrame:
+def _names_in_orders(lines: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order and product name, with the span of the product ids behind the name."""
-    named = edges.select("order_id", "prod_id").join(products.select("prod_id", "name"), "prod_id")
+    named = lines.select("order_id", "prod_id").join(products.select("prod_id", "name"), "prod_id")
     return named.groupBy("order_id", "name").agg(F.min("prod_id").alias("lo"), F.max("prod_id").alias("hi"))
 
 
@@ -30,15 +30,16 @@ def _pair_orders(baskets: DataFrame) -> DataFrame:
     )
 
 
-def copurchase(edges: DataFrame, products: DataFrame, limit: int = 5, probe: int = 12) -> DataFrame:
+def copurchase(lines: DataFrame, products: DataFrame, limit: int = 5, probe: int = 12) -> DataFrame:
     """The ``limit`` pairs of product names found together in most orders, ties by name.
 
+    ``lines`` has (order_id, prod_id), and may repeat a pair: edges need not be reduced for this.
     A pair is in at most as many orders as the rarer of its names. The pairs of the ``probe`` most frequent names are
     counted first; names in fewer orders than the last of the best ``limit`` of them cannot be part of the answer
     and are dropped before pairs are formed. That keeps a basket with very many products from being squared, and
     changes no result.
     """
-    baskets = cut_lineage(_names_in_orders(edges, products))  # read by the probe, the counts and the pairs
+    baskets = cut_lineage(_names_in_orders(lines, products))  # read by the probe, the counts and the pairs
     frequency = baskets.groupBy("name").agg(F.count(F.lit(1)).alias("orders"))
     frequent = frequency.orderBy(F.desc("orders"), "name").limit(probe).select("name")
     best = _pair_orders(baskets.join(frequent, "name", "left_semi")).orderBy(F.desc("orders_together")).limit(limit)

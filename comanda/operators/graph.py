@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -85,18 +85,28 @@ def from_restaurant(t: Tables) -> DataFrame:
     return pairs.join(_ids(t.restaurants, "rest_id"), "rest_id", "left_semi").select("order_id", "rest_id")
 
 
-def contains(t: Tables, last_by: tuple[str, ...] = ("id",)) -> DataFrame:
+def lines_between(t: Tables) -> DataFrame:
+    """(order_id, prod_id) of every line whose order and product exist; a product repeated in an order is repeated."""
+    ends = t.order_items.select("order_id", F.col("product_id").alias("prod_id"))
+    return ends.join(_ids(t.orders, "order_id"), "order_id", "left_semi").join(
+        _ids(products(t), "prod_id", "prod_id"), "prod_id", "left_semi"
+    )
+
+
+def contains(t: Tables, last_by: Column | None = None) -> DataFrame:
     """Order -> Product. A product repeated in an order has one edge, with the values of its last line.
 
-    ``last_by`` states which line is the last. Lines are reduced before the shuffle, so a product or an order with
-    very many lines does not end up in one task.
+    ``last_by`` is a number that tells which line is the last, by default the line id. One number, not a list of
+    columns, as that keeps the aggregation in hash tables. Lines are reduced before the shuffle, so a product or an
+    order with very many lines does not end up in one task.
     """
-    last = F.max(F.struct(*last_by, *[c for c in ("quantity", "unit_price", "line_total") if c not in last_by]))
-    edges = t.order_items.groupBy("order_id", F.col("product_id").alias("prod_id")).agg(last.alias("last"))
+    place = F.col("id") if last_by is None else last_by
+    last = [F.max_by(c, place).alias(c) for c in ("quantity", "unit_price", "line_total")]
+    edges = t.order_items.groupBy("order_id", F.col("product_id").alias("prod_id")).agg(*last)
     return (
         edges.join(_ids(t.orders, "order_id"), "order_id", "left_semi")
         .join(_ids(products(t), "prod_id", "prod_id"), "prod_id", "left_semi")
-        .select("order_id", "prod_id", "last.quantity", "last.unit_price", "last.line_total")
+        .select("order_id", "prod_id", "quantity", "unit_price", "line_total")
     )
 
 

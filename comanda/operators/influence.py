@@ -10,7 +10,7 @@ from comanda.session import cut_lineage
 DAMPING = 0.85
 MAX_ITERATIONS = 20
 TOLERANCE = 1e-7
-ROUNDS_PER_CHECKPOINT = 4
+ROUNDS_PER_CHECKPOINT = 5
 
 
 def degree(edges: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:

@@ -12,7 +12,7 @@ from comanda.operators import catalog, cubes, dims, facts, marts, quality
 from comanda.plans.star import LazyStar, StoredStar
 from comanda.sinks.files import write_json, write_parquet
 from comanda.sinks.jdbc import write_mart
-from comanda.sinks.tables import write_table
+from comanda.sinks.tables import create_views, write_table
 from comanda.sources.jdbc import JdbcConfig, read_jdbc, read_table_by_id
 from comanda.sources.operational import OPERATIONAL_TABLES, staged_path, staged_tables
 
@@ -60,8 +60,11 @@ def jdbc_config(
 
 def extract(config: PipelineConfig) -> dict[str, int]:
     """Copy the operational tables to the staging folder; rows per table."""
-    return {name: write_parquet(config.read_source(name), staged_path(config.staging_dir, name))
-            for name in config.tables}
+    def copy(name: str) -> int:
+        return write_parquet(config.read_source(name), staged_path(config.staging_dir, name))
+
+    with ThreadPoolExecutor(config.parallel_steps) as pool:
+        return dict(zip(config.tables, pool.map(copy, config.tables), strict=True))
 
 
 def build_warehouse(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
@@ -97,6 +100,12 @@ def _write_all(plans: dict[str, DataFrame], config: PipelineConfig) -> dict[str,
         return dict(zip(plans, pool.map(write, plans), strict=True))
 
 
+def register_cubes(spark: SparkSession, config: PipelineConfig) -> None:
+    """The cubes as session views over the stored tables, for use from SQL."""
+    star = StoredStar(spark, config.database)
+    create_views({name: build(star) for name, build in cubes.CUBES.items()})
+
+
 def build_marts(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
     star = StoredStar(spark, config.database)
     return _write_all({name: build(star) for name, build in marts.MARTS.items()}, config)
@@ -150,6 +159,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, objec
     try:
         result["extracted"] = extract(config)
         result["warehouse"] = build_warehouse(spark, config)
+        register_cubes(spark, config)
         with ThreadPoolExecutor(2) as pool:
             documents = pool.submit(refresh_documents, spark, config)
             result["marts"] = build_marts(spark, config)

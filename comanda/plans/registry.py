@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comanda.functions.money import units
 from comanda.operators import basket, boards, catalog, cubes, facts, graph, influence, marts, paths, quality, routing
 from comanda.plans.star import LazyStar
 from comanda.session import cut_lineage
@@ -50,8 +51,13 @@ def warehouse_queries() -> dict[str, Query]:
 
 
 
-# The test tables have no line id: of repeated lines the one with the largest amount is the last.
-LAST_LINE = ("line_total", "quantity", "unit_price")
+
+def _last_line() -> Column:
+    """The test tables have no line id: the last of repeated lines is the one with the largest amount, then quantity.
+
+    Both in one number: cents above, quantity in the low 20 bits.
+    """
+    return F.shiftleft(units("line_total"), 20) + F.col("quantity")
 
 
 def _on_tables(function) -> Query:
@@ -59,7 +65,7 @@ def _on_tables(function) -> Query:
 
 
 def _edges(t: Tables) -> DataFrame:
-    return graph.contains(t, LAST_LINE)
+    return graph.contains(t, _last_line())
 
 
 def _recommends(t: Tables) -> DataFrame:
@@ -129,7 +135,7 @@ def graph_queries() -> dict[str, Query]:
     out["graph_label_counts"] = _on_tables(
         lambda t: graph.label_counts({label: nodes(t) for label, nodes in graph.NODES.items()}))
     out["zone_routes"] = _on_tables(lambda t: graph.zone_routes(t.zones))
-    out["copurchase_top5"] = _on_tables(lambda t: basket.copurchase(_edges(t), graph.products(t)))
+    out["copurchase_top5"] = _on_tables(lambda t: basket.copurchase(graph.lines_between(t), graph.products(t)))
     out["influencers_degree"] = _on_tables(lambda t: influence.degree(_recommends(t), graph.users(t)))
     out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(_recommends(t), graph.users(t)))
     out["shortest_hops"] = _on_tables(_shortest_hops)

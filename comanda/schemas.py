@@ -33,7 +33,8 @@ class Table:
         def column(c: Column) -> str:
             return f"`{c.name}` {c.type}" + (f" COMMENT '{c.comment}'" if c.comment else "")
 
-        text = f"CREATE TABLE IF NOT EXISTS `{database}`.`{self.name}` ({', '.join(map(column, self.columns))}) USING ORC"
+        columns = ", ".join(map(column, self.columns))
+        text = f"CREATE TABLE IF NOT EXISTS `{database}`.`{self.name}` ({columns}) USING ORC"
         if self.partitioned_by:
             text += f" PARTITIONED BY ({', '.join(self.partitioned_by)})"
         return text + f" COMMENT '{self.comment}' TBLPROPERTIES ('orc.compress'='SNAPPY')"

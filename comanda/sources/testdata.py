@@ -163,7 +163,7 @@ def _item_columns():
     ]
 
 
-class TestTables:
+class MappedTables:
     """The mapped tables by name, with the attributes of ``Tables``; a table is set up when it is first used.
 
     The lines of the test tables have no id; one is made up on request only.
@@ -217,5 +217,5 @@ class TestTables:
         return _couriers(self.orders, self.places)
 
 
-def operational_tables(spark: SparkSession, sf_dir: str, item_ids: bool = False) -> TestTables:
-    return TestTables(spark, sf_dir, item_ids)
+def operational_tables(spark: SparkSession, sf_dir: str, item_ids: bool = False) -> MappedTables:
+    return MappedTables(spark, sf_dir, item_ids)

@@ -40,7 +40,8 @@ def test_copurchase(spark, seed):
     for o, ps in orders.items():
         count.update({(names[a], names[b]) for a, b in itertools.combinations(sorted(ps), 2)})
     expected = sorted(((a, b, n) for (a, b), n in count.items()), key=lambda x: (-x[2], x[0], x[1]))
-    edges = spark.createDataFrame(sorted(lines), "order_id long, prod_id long")
+    rows = sorted(lines) + rng.sample(sorted(lines), 20)  # repeated lines change nothing
+    edges = spark.createDataFrame(rows, "order_id long, prod_id long")
     products = spark.createDataFrame(list(names.items()), "prod_id long, name string")
     for probe in (2, 5, 12):
         assert [tuple(r) for r in basket.copurchase(edges, products, probe=probe).collect()] == expected[:5]
@@ -144,7 +145,8 @@ def test_all_distances(spark, seed):
                                                "src string, dst string, km double"))
     got = paths.all_distances(spark.createDataFrame([(n,) for n in nodes], "node string"), df).collect()
     for n in nodes:
-        assert {r.dst: r.km for r in got if r.src == n} == {m: round(km, 2) for m, km in dijkstra(nodes, edges, n).items()}
+        expected = {m: round(km, 2) for m, km in dijkstra(nodes, edges, n).items()}
+        assert {r.dst: r.km for r in got if r.src == n} == expected
 
 
 def test_fewest_hops(spark):

@@ -4,7 +4,7 @@ from comanda.operators import catalog, cubes, marts, quality
 from comanda.plans import graph_export
 from comanda.plans.pipeline import PipelineConfig, run_pipeline
 from comanda.plans.registry import star
-from comanda.plans.star import LazyStar, StoredStar
+from comanda.plans.star import StoredStar
 from comanda.sinks import tables as sink
 from comanda.sinks.files import write_parquet
 from comanda.sinks.jdbc import write_options
@@ -97,9 +97,9 @@ def test_ddl(spark, tmp_path):
     assert spark.sql("SHOW TABLES IN empty_dw").count() == 9
 
 
-def test_views(spark, small):
-    sink.create_views({"cube_order_status": cubes.order_status(LazyStar(spark, small))})
-    assert spark.sql("SELECT sum(order_count) AS n FROM cube_order_status").first().n == 6
+def test_cubes_are_views_for_sql(spark, run):
+    assert spark.sql("SELECT sum(order_count) AS n FROM cube_order_status").first().n == 1500
+    assert spark.sql("SELECT * FROM cube_peak_hours WHERE hour = 9").count() == 7
 
 
 def test_quality_runs_after_a_failure(spark, small, tmp_path):

@@ -35,7 +35,7 @@ def test_zone_network(zones, distances):
 
 def pending(spark, orders, zones):
     df = spark.createDataFrame(orders, "order_id long, dest_zone string, batch long")
-    place = zones.select(F.col("zone").alias("dest_zone"), F.col("lat").alias("dest_lat"), F.col("lon").alias("dest_lon"))
+    place = zones.selectExpr("zone AS dest_zone", "lat AS dest_lat", "lon AS dest_lon")
     return df.join(place, "dest_zone").withColumns({"customer": F.lit("c"), "total": F.lit(1.0)})
 
 
