@@ -191,17 +191,21 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(*[F.col(swapped.get(c, c)).alias(c) for c in pairs.columns]))
 
 
-def zone_routes(zones: DataFrame) -> DataFrame:
-    """The zone network, each pair in both directions: rounded km, and minutes at 30 km/h."""
-    rounded = _zone_pairs(zones).select("from_zone", "to_zone", F.round("km", 2).alias("distance_km"))
-    return _both_ways(rounded.withColumn("time_min", F.round(F.col("distance_km") / SPEED_KM_PER_HOUR * 60, 1)))
-
-
 def direct_distances(zones: DataFrame) -> DataFrame:
     """Unrounded great-circle km between every two zones, in both directions."""
     return _both_ways(_zone_pairs(zones))
 
 
+def routes_of(direct: DataFrame) -> DataFrame:
+    """The zone network of direct distances: rounded km, and minutes at 30 km/h."""
+    rounded = direct.select("from_zone", "to_zone", F.round("km", 2).alias("distance_km"))
+    return rounded.withColumn("time_min", F.round(F.col("distance_km") / SPEED_KM_PER_HOUR * 60, 1))
+
+
+def zone_routes(zones: DataFrame) -> DataFrame:
+    return routes_of(direct_distances(zones))
+
+
 # ---- upsert ------------------------------------------------------------------------------------------------
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: list[str], last_by: list[str]) -> DataFrame:

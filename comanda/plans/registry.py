@@ -72,16 +72,17 @@ def _recommends(t: Tables) -> DataFrame:
     return graph.recommends(graph.recommendations(t))
 
 
-def zone_network(zones: DataFrame) -> DataFrame:
+def network_of(direct: DataFrame) -> DataFrame:
     """Edges of the zone network."""
-    return graph.zone_routes(zones).select(
+    return graph.routes_of(direct).select(
         F.col("from_zone").alias("src"), F.col("to_zone").alias("dst"), F.col("distance_km").alias("km")
     )
 
 
 def zone_distances(zones: DataFrame) -> DataFrame:
-    zones = cut_lineage(zones)  # read several times: for nodes, for edges and for the direct distances
-    return paths.zone_distance(zones, zone_network(zones), graph.direct_distances(zones))
+    zones = cut_lineage(zones)
+    direct = cut_lineage(graph.direct_distances(zones))  # edges of the network, and fallback without a path
+    return paths.zone_distance(zones, network_of(direct), direct)
 
 
 def flat_path(route: DataFrame, km_list: str, km: str) -> DataFrame:
@@ -100,14 +101,15 @@ KM_BETWEEN = ("NATION_1", "NATION_13")
 
 
 def _shortest_hops(t: Tables) -> DataFrame:
-    return flat_path(paths.fewest_hops(zone_network(cut_lineage(t.zones)), *HOPS_BETWEEN), "legs_km", "total_km")
+    network = network_of(graph.direct_distances(cut_lineage(t.zones)))
+    return flat_path(paths.fewest_hops(network, *HOPS_BETWEEN), "legs_km", "total_km")
 
 
 def _shortest_weighted(t: Tables) -> DataFrame:
     start, end = KM_BETWEEN
     zones = cut_lineage(t.zones)
     sources = zones.filter(F.col("zone") == start).select(F.col("zone").alias("src"))
-    best = paths.lightest_paths(zone_network(zones), sources)
+    best = paths.lightest_paths(network_of(graph.direct_distances(zones)), sources)
     return flat_path(best.filter(F.col("dst") == end), "costs", "km")
 
 
