@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ DEFAULT_LAT, DEFAULT_LON = 14.60, -90.51
 UNKNOWN_KM = 999.0
 BATCH_SIZE = 60
 
+# The group function travels to the workers as code, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def couriers_at_base(couriers: DataFrame, locations: DataFrame) -> DataFrame:
     base = locations.select(F.col("zone").alias("base_zone"), "lat", "lon")

@@ -115,3 +115,30 @@ def test_pending_batches(spark, small):
     waiting = routing.pending_orders(graph.orders(small), graph.placed(small), graph.delivered_to(small),
                                      graph.users(small), graph.locations(small), batch_size=1)
     assert [(r.order_id, r.batch, r.customer) for r in waiting.collect()] == [(102, 1, "Eva")]
+
+
+def test_group_function_needs_no_package_on_the_workers(tmp_path):
+    """The pickled function runs in a process that cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from comanda.operators import routing
+from pyspark import cloudpickle
+open("function.pkl", "wb").write(cloudpickle.dumps(routing._dispatch))
+"""
+    load = """
+import pickle, pandas as pd
+dispatch = pickle.load(open("function.pkl", "rb"))
+batch = pd.DataFrame({"batch": [1, 1], "order_id": [2, 1], "dest_zone": ["a", "b"], "dest_lat": [1.0, 2.0],
+                      "dest_lon": [1.0, 2.0], "customer": ["x", "y"], "total": [1.0, 2.0]})
+fleet = pd.DataFrame({"courier_id": [7], "base_zone": ["a"], "base_lat": [1.0], "base_lon": [1.0]})
+print(dispatch(batch, fleet, 1)["order_id"].tolist())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True)
+    out = subprocess.run([sys.executable, "-c", load], cwd=tmp_path, env=env, check=True, capture_output=True, text=True)
+    assert out.stdout.strip() == "[2, 1]"
