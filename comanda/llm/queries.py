@@ -5,19 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from comanda.llm import simhash_dedup
+from comanda.llm import quality_rules, simhash_dedup
 from comanda.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("rejected_by", ",").alias("rejected_by"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op2_quality_rules": op2_quality_rules,
         "op6_simhash_dedup": op6_simhash_dedup,
     }
 
