@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from comanda.llm.text import fresh, let, remainder, words
+from comanda.llm.text import fresh, let, remainder, small, words
 from comanda.session import cut_lineage
 
 # Base rule, fixed values.
@@ -19,8 +19,6 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
-BROADCAST_ROWS = 100_000  # rows of cutoffs, about 60 bytes each
-
 #: The signals that get a cutoff, and whether large or small values are bad.
 SIGNALS = {
     "symbol_rate": "high",      # symbols per character of a word
@@ -99,11 +97,6 @@ def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     })
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table of counted size; a larger one is joined by shuffle, with skewed keys split."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _log_factorial(n: Column) -> Column:
     """ln n!, by Stirling's series shifted by eight (error below 1e-13)."""
     x = n.cast("double") + 9.0
@@ -157,7 +150,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str, stratum_col: st
     rows = proposed.count()
     tests = proposed.select("stratum", "signal").distinct().count()
     share = risk.false_rejects / len(SIGNALS)
-    tried = known.join(_small(proposed, rows), ["stratum", "signal"]).groupBy("stratum", "signal", "cutoff").agg(
+    tried = known.join(small(proposed, rows), ["stratum", "signal"]).groupBy("stratum", "signal", "cutoff").agg(
         F.count_if(F.expr("good and holdout")).alias("n"),
         F.count_if(F.expr("good and holdout and value > cutoff")).alias("k"),
         F.count_if(F.expr("not good and not holdout")).alias("bad"),
@@ -186,7 +179,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         lambda x: x.isNotNull())
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit(""))
     return (
-        measured.join(_small(rules, rules.count()), stratum == F.col("_stratum"), "left")
+        measured.join(small(rules, rules.count()), stratum == F.col("_stratum"), "left")
         .withColumn("rejected_by", F.coalesce(broken, F.array().cast("array<string>")))
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
         .drop("_stratum", "_cutoffs")

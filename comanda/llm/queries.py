@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import quality_rules, simhash_dedup
+from comanda.llm import decontaminate, quality_rules, simhash_dedup
 from comanda.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,16 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "shared", F.col("item_shingles").cast("long").alias("item_shingles"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
         "op6_simhash_dedup": op6_simhash_dedup,
+        "op7_decontaminate": op7_decontaminate,
     }
 
 

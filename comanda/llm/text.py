@@ -39,6 +39,11 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
+def small(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
+    """Broadcast a table of narrow rows that were counted; a larger one is joined by shuffle, skewed keys split."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 def fresh(df: DataFrame, wanted: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}
