@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, quality_rules, simhash_dedup
+from comanda.llm import decontaminate, quality_rules, secret_scan, simhash_dedup
 from comanda.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    kinds = {kind: i for i, kind in enumerate(secret_scan.KINDS)}
+    base = F.filter("spans", lambda s: s["kind"] != kinds["random"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kinds[kind])).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in kinds),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +43,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op5_secret_scan": op5_secret_scan,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_decontaminate": op7_decontaminate,
     }
