@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, quality_rules, secret_scan, simhash_dedup
+from comanda.llm import decontaminate, mixing, quality_rules, secret_scan, simhash_dedup
 from comanda.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "n_tokens", *(f"p_{name}" for name in mixing.DOMAINS), "rate")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     kinds = {kind: i for i, kind in enumerate(secret_scan.KINDS)}
@@ -43,6 +48,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op4_mixing": op4_mixing,
         "op5_secret_scan": op5_secret_scan,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_decontaminate": op7_decontaminate,
