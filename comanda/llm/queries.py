@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, lm_scoring, mixing, quality_rules, secret_scan, simhash_dedup
-from comanda.llm.text import table
+from comanda.llm import decontaminate, lm_scoring, mixing, quality_rules, secret_scan, simhash_dedup, toxicity
+from comanda.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "windows", "worst_word")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -51,6 +58,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_quality_rules": op2_quality_rules,
         "op4_mixing": op4_mixing,
         "op5_secret_scan": op5_secret_scan,
