@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, lm_scoring, mixing, quality_rules, secret_scan, simhash_dedup, toxicity
+from comanda.llm import decontaminate, lm_scoring, mixing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
 from comanda.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "shared", F.col("item_shingles").cast("long").alias("item_shingles"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf_dir, "documents"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def all_queries() -> dict[str, Query]:
         "op5_secret_scan": op5_secret_scan,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_decontaminate": op7_decontaminate,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
     }
 
