@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, lm_scoring, mixing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
+from comanda.llm import decontaminate, lm_scoring, mixing, pii, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
 from comanda.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,18 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "shared", F.col("item_shingles").cast("long").alias("item_shingles"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array(*(F.lit(k) for k in pii.KINDS))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda i: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == i))).cast("long")
+    return found.select(
+        "doc_id", *(count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(table(spark, sf_dir, "documents"))
 
@@ -68,6 +80,7 @@ def all_queries() -> dict[str, Query]:
         "op5_secret_scan": op5_secret_scan,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_decontaminate": op7_decontaminate,
+        "op8_pii": op8_pii,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
     }
