@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, lm_scoring, mixing, pii, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
+from comanda.llm import decontaminate, license_scan, lm_scoring, mixing, pii, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
 from comanda.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.recognise(table(spark, sf_dir, "documents"), license_scan.known_sentences(spark))
+    rules = F.array_join(F.sort_array(F.transform("rules", lambda r: r.cast("string"))), ",")
+    return found.select("doc_id", "licence", rules.alias("rules"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "n_tokens", *(f"p_{name}" for name in mixing.DOMAINS), "rate")
@@ -76,6 +82,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_quality_rules": op2_quality_rules,
+        "op3_license_scan": op3_license_scan,
         "op4_mixing": op4_mixing,
         "op5_secret_scan": op5_secret_scan,
         "op6_simhash_dedup": op6_simhash_dedup,
@@ -87,4 +94,6 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op3_license_scan": license_scan.oracle_sql(),
+    }
