@@ -43,6 +43,10 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return words.withColumn("width", F.least(F.lit(WIDTH), F.size("words")))
 
 
+def _up_to(hashes: Column, most: int) -> Column:
+    return F.filter(hashes, lambda h: h <= most)
+
+
 def _by_width(words: Column, width: Column, widths: Sequence[int], hashed: bool) -> Column:
     out = F.array().cast("array<bigint>" if hashed else "array<string>")
     for w in widths:
@@ -75,7 +79,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: st
     key_rows = keys.count()
 
     words = plain.select("doc_id", "text_hash", _tokens(F.col("_text")).alias("words"))
-    probes = [F.filter(_shingles(F.col("words"), w, True), lambda h, most=bounds[w]: h <= most) for w in widths]
+    probes = [_up_to(_shingles(F.col("words"), w, True), bounds[w]) for w in widths]
     probe = F.concat(*probes) if probes else F.array().cast("array<bigint>")
     hits = words.select("doc_id", "text_hash", F.explode(probe).alias("h")).join(small(keys, key_rows), "h")
     candidates = cut_lineage(hits.select(
