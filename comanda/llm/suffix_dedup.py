@@ -114,10 +114,10 @@ def entries(docs: DataFrame, bits: int) -> DataFrame:
         texts = volume = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
+            if not held:  # no text is as long as a string
+                return
             own_ids, own_hashes = np.concatenate(ids), np.concatenate(hashes)
             first, length, owner, key, content = (np.concatenate(x) for x in zip(*held))
-            if not len(key):
-                return
             order = np.lexsort((own_ids[owner], content, key))
             first, length, owner, key, content = (x[order] for x in (first, length, owner, key, content))
             new = np.ones(len(key), bool)
