@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.text import small
+from comanda.llm.text import fresh, small
 from comanda.session import cut_lineage
 
 WIDTH = 5
@@ -111,7 +111,8 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: st
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that contain an item; all other rows and columns as they are."""
+    found_id, found_text = fresh(docs, "found_id"), fresh(docs, "found_text")
     found = cut_lineage(find(docs, items, doc_id, text_col, item_id, item_text, percent).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_text")).distinct())
-    return docs.join(small(found, found.count()), F.col(doc_id).eqNullSafe(F.col("_found_id"))
-                     & (F.xxhash64(text_col) == F.col("_found_text")), "left_anti")
+        F.col("doc_id").alias(found_id), F.col("text_hash").alias(found_text)).distinct())
+    return docs.join(small(found, found.count()), F.col(doc_id).eqNullSafe(F.col(found_id))
+                     & (F.xxhash64(text_col) == F.col(found_text)), "left_anti")

@@ -164,12 +164,12 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str, stratum_col: st
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           stratum_col: str = "lang", risk: Risk = Risk()) -> DataFrame:
-    """The rows of ``docs`` without text, with counts, signals, ``base_failed``, ``rejected_by`` (signals) and ``kept``.
+    """Id and stratum of each row of ``docs``, with counts, signals, ``base_failed``, ``rejected_by`` and ``kept``.
 
     Repeated rows are judged each on their own; rows labelled both good and bad, or not at all, teach nothing; with an
     empty label table only the base rule rejects. A null stratum is the stratum ''.
     """
-    measured = cut_lineage(signals(docs, text_col))
+    measured = cut_lineage(signals(docs.select(id_col, text_col, stratum_col), text_col))
     rules = cut_lineage(cutoffs(measured, labels, id_col, stratum_col, risk).groupBy(
         F.col("stratum").alias("_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("signal", "cutoff"))).alias("_cutoffs")))
@@ -190,6 +190,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               stratum_col: str = "lang", risk: Risk = Risk()) -> DataFrame:
     """The documents that ``judge`` keeps, with their own columns. Rows are matched by id: repeated ids share their
     fate if any of them is rejected; rows with a null id are matched by null."""
-    rejected = judge(docs.select(id_col, text_col, stratum_col), labels, id_col, text_col, stratum_col, risk).filter(
-        "not kept").select(F.col(id_col).alias("_rejected")).distinct()
-    return docs.join(rejected, F.col(id_col).eqNullSafe(F.col("_rejected")), "left_anti")
+    mark = fresh(docs, "rejected_id")
+    rejected = judge(docs, labels, id_col, text_col, stratum_col, risk).filter("not kept").select(
+        F.col(id_col).alias(mark)).distinct()
+    return docs.join(rejected, F.col(id_col).eqNullSafe(F.col(mark)), "left_anti")

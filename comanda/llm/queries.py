@@ -34,12 +34,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "n_tokens", *(f"p_{name}" for name in mixing.DOMAINS), "rate")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = {kind: i for i, kind in enumerate(secret_scan.KINDS)}
     base = F.filter("spans", lambda s: s["kind"] != kinds["random"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kinds[kind])).cast("long")

@@ -169,11 +169,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (of equal rows, one)."""
-    fp = fresh(docs, "fp")
+    fp, own, root, first_id = (fresh(docs, c) for c in ("fp", "class_fp", "class_root", "class_first"))
     keyed = cut_lineage(fingerprints(
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", "fp", width).select("_id", "fp"))
     classes = components(keyed, "_id", radius).select(
-        F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_first"))
+        F.col("fp").alias(own), F.col("root").alias(root), F.col("component_id").alias(first_id))
     tagged = fingerprints(docs, text_col, fp, width)
-    first = tagged.join(classes, (F.col(fp) == F.col("_fp")) & F.col(id_col).eqNullSafe(F.col("_first")))
-    return first.dropDuplicates(["_root"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = tagged.join(classes, (F.col(fp) == F.col(own)) & F.col(id_col).eqNullSafe(F.col(first_id)))
+    return first.dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in docs.columns])

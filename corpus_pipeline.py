@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.llm import decontaminate, mixing, quality_rules, secret_scan, simhash_dedup
-from comanda.llm.text import table
+from comanda.llm.text import fresh, table
 from comanda.session import ensure_checkpoint_dir
 
 
@@ -29,16 +29,17 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text is replaced by a mark; n_chars is that of the new text where it was that of the old."""
-    counted = F.col("n_chars").eqNullSafe(F.length("text").cast("long")).alias("_counted")
-    masked = secret_scan.mask(docs.select("*", counted))
-    return masked.withColumn("n_chars", F.when(F.col("_counted"), F.length("text").cast("long")).otherwise(
+    mark = fresh(docs, "counted")
+    masked = secret_scan.mask(docs.withColumn(mark, F.col("n_chars").eqNullSafe(F.length("text").cast("long"))))
+    return masked.withColumn("n_chars", F.when(F.col(mark), F.length("text").cast("long")).otherwise(
         F.col("n_chars"))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its rate, so that domains have their target shares; those with rate 0 go."""
     mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), keep_text=True)
-    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns), "rate").filter("rate > 0")
+    rate = mixed.columns[-1]  # "rate", unless the documents have such a column
+    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns), rate).filter(F.col(rate) > 0)
 
 
 STAGES = [
