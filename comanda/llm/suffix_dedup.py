@@ -29,8 +29,8 @@ from comanda.session import ensure_checkpoint_dir
 LENGTH = 50
 KMER = 20
 SHALLOW = 24  # bytes that multikey quicksort looks at, in symbols of eight
-BLOCK = 1 << 21  # bytes of text whose runs are found at once
-COMBINE_BYTES = 32 << 20  # bytes of text whose equal runs are combined before they are sent
+BLOCK = 1 << 20  # bytes of text whose runs are found at once
+COMBINE_BYTES = 12 << 20  # bytes of text whose equal runs are combined before they are sent
 SHARD_BYTES = 16 << 20  # bytes of text for each shard of runs
 LONGEST_RUN = 50_000
 CROWD = 20_000  # different runs under one hash from which their strings are dealt one by one
@@ -83,7 +83,7 @@ class Runs:
         first = valid[cut]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(word) * self.up[:size], dtype=np.uint64)])
         content = (sums[first + length + LENGTH - 8] - sums[first]) * self.down[first] + length.astype(np.uint64) * _D
-        return first, length, text[cut], key[cut], _mix(content)
+        return first, length.astype(np.int32), text[cut].astype(np.int32), key[cut], _mix(content)
 
     @staticmethod
     def _pieces(word: np.ndarray) -> np.ndarray:
@@ -118,6 +118,7 @@ def entries(docs: DataFrame, bits: int) -> DataFrame:
                 return
             own_ids, own_hashes = np.concatenate(ids), np.concatenate(hashes)
             first, length, owner, key, content = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             order = np.lexsort((own_ids[owner], content, key))
             first, length, owner, key, content = (x[order] for x in (first, length, owner, key, content))
             new = np.ones(len(key), bool)
@@ -135,7 +136,7 @@ def entries(docs: DataFrame, bits: int) -> DataFrame:
                 if len(at):
                     used, number = np.unique(owner[at], return_inverse=True)
                     low = lambda x, n: x[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
-                    rows.append((s, own_ids[used].tobytes(), own_hashes[used].tobytes(), number.astype(np.uint16).tobytes(),
+                    rows.append((s, own_ids[used].tobytes(), own_hashes[used].astype(np.uint32).tobytes(), number.astype(np.uint16).tobytes(),
                                  low(key, 4), low(content, 6), (first[at] & 0xFFFF).astype(np.uint16).tobytes()
                                  + (first[at] >> 16).astype(np.uint32).tobytes(), length[at].astype(np.uint16).tobytes()))
             yield pa.RecordBatch.from_arrays(
@@ -190,7 +191,7 @@ def _runs_of(runs: Runs, data: memoryview, offsets: np.ndarray, number: int) ->
         valid = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(starts, count) - at
         block = bytes(data[at:min(stop + LENGTH, end)]) + b"\0" * (LENGTH + 8)
         place, length, owner, key, content = runs.find(block[:stop - at + LENGTH + 8], valid, text)
-        out.append((place + at - offsets[owner], length, owner + number, key, content))
+        out.append((place + at - offsets[owner], length, (owner + number).astype(np.int32), key, content))
     return out
 
 
@@ -225,7 +226,7 @@ def settle(dealt: DataFrame, bits: int) -> DataFrame:
                 continue
             ids, owners = column("ids", np.int64), column("owner", np.uint16)
             shift = np.cumsum([0, *(len(x) for x in ids)])[:-1]
-            ids, hashes = np.concatenate(ids), np.concatenate(column("hashes", np.int64))
+            ids, hashes = np.concatenate(ids), np.concatenate(column("hashes", np.uint32)).astype(np.int64)
             owner = np.concatenate([o.astype(np.int64) + s for o, s in zip(owners, shift)])
             key = np.concatenate(column("key", np.uint32)).astype(np.int64)
             low = np.concatenate([c.reshape(-1, 6) for c in column("content", np.uint8)])
@@ -471,7 +472,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     """
     plain = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash"),  # rows of one id
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     volume = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, volume / SHARD_BYTES)))))
