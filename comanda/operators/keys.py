@@ -1,26 +1,53 @@
-"""Dense surrogate keys without a single-task sort."""
+"""Dense surrogate keys and running sums without a single-task sort."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 17  # 131,072 ids in a bucket
+ID_BITS = 64
+
+
+def _range(id_col: str, bits: int) -> Column:
+    """Number of the id's range, from 0 for the smallest long."""
+    return F.shiftright(F.col(id_col).cast("bigint"), bits) + F.lit(1 << (ID_BITS - 1 - bits))
+
+
+def _before(*partition: str) -> WindowSpec:
+    return W.partitionBy(*partition).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+
+
+def _offsets(counts: DataFrame, bits: int, by: list[str]) -> DataFrame:
+    """``counts`` (by, _range, _rows) -> (by, _range, _below): the sum of the ranges below, within ``by``.
+
+    In levels: ranges are summed inside ranges of 2^bits ranges, those inside the next larger ones. Every window is
+    partitioned and sees at most 2^bits rows, however far the ids lie apart.
+    """
+    level = counts.withColumn("_up", F.shiftright("_range", bits))
+    inside = level.withColumn("_below", F.coalesce(F.sum("_rows").over(_before(*by, "_up")), F.lit(0)))
+    covered = 2 * bits
+    while covered < ID_BITS:
+        above = level.groupBy(*by, F.col("_up").alias("_range")).agg(F.sum("_rows").alias("_rows")).withColumn(
+            "_next", F.shiftright("_range", bits))
+        shift = above.withColumn("_shift", F.coalesce(F.sum("_rows").over(_before(*by, "_next")), F.lit(0)))
+        inside = inside.join(shift.select(*by, F.col("_range").alias("_up"), "_next", "_shift"), [*by, "_up"]).select(
+            *by, "_range", (F.col("_below") + F.col("_shift")).alias("_below"), F.col("_next").alias("_up"))
+        level = above.withColumn("_up", F.col("_next"))
+        covered += bits
+    return inside.select(*by, "_range", "_below")
 
 
 def dense_key(df: DataFrame, id_col: str, key_name: str, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """Add ``key_name`` = 1..n in the order of the unique integer ``id_col``.
 
     Ids are cut into fixed ranges, so a range never holds more rows than its width. Rows are numbered inside
-    their range, and shifted by the number of rows in the ranges below; that running count sees one row per
-    range. The result depends on the ids alone, so a recomputed task repeats the same keys.
+    their range, and shifted by the number of rows in the ranges below, which are added up in levels of ranges. The
+    result depends on the ids alone, so a recomputed task repeats the same keys. The input is read twice.
     """
-    ranged = df.withColumn("_range", F.shiftright(F.col(id_col).cast("bigint"), bucket_bits))
-    below = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_range", F.coalesce(F.sum("_rows").over(below), F.lit(0)).alias("_below")
-    )
+    ranged = df.withColumn("_range", _range(id_col, bucket_bits))
+    offsets = _offsets(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")), bucket_bits, [])
     place = F.row_number().over(W.partitionBy("_range").orderBy(id_col))
     return (
         ranged.withColumn("_place", place)
@@ -28,3 +55,26 @@ def dense_key(df: DataFrame, id_col: str, key_name: str, bucket_bits: int = BUCK
         .withColumn(key_name, (F.col("_below") + F.col("_place")).cast("bigint"))
         .drop("_range", "_place", "_below")
     )
+
+
+def running_sum(df: DataFrame, group: str, id_col: str, value: str, before: str, total: str | None = None,
+                bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """Add ``before``: the sum of ``value`` over the rows of the group with a smaller ``id_col`` (unique in the group),
+    and ``total``: that of the whole group.
+
+    A group with very many rows is added up by ranges of ids, so no window holds more than a range. Sums by range and
+    by group are combined before the shuffle.
+    """
+    ranged = df.withColumn("_range", _range(id_col, bucket_bits))
+    zero = F.lit(0).cast(dict(df.dtypes)[value])
+    parts = ranged.groupBy(group, "_range").agg(F.sum(value).alias("_rows"))
+    parts = parts.withColumn("_below", F.coalesce(F.sum("_rows").over(_before(group)), zero))
+    if total:
+        parts = parts.withColumn(total, F.sum("_rows").over(W.partitionBy(group)))
+    inside = F.sum(value).over(W.partitionBy(group, "_range").orderBy(id_col).rowsBetween(W.unboundedPreceding, -1))
+    return (
+        ranged.withColumn(before, F.coalesce(inside, zero))
+        .join(parts.drop("_rows"), [group, "_range"])
+        .withColumn(before, F.col(before) + F.col("_below"))
+        .drop("_range", "_below")
+    )

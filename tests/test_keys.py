@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,6 +16,17 @@ def test_equals_row_number_for_any_partitioning(spark):
         assert got.columns == ["id", "name", "k"]
 
 
+def test_ids_far_apart(spark):
+    """Every id is a range of its own; no window sees more than one range of ranges."""
+    ids = [(1 << 18) * i for i in range(3000)] + [-(1 << 62), 1 << 62]
+    got = dense_key(spark.createDataFrame([(i,) for i in ids], "id long").repartition(7), "id", "k")
+    assert [r["id"] for r in got.orderBy("k").collect()] == sorted(ids)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all(re.search(r"\], \[_?\w+#", line) for line in windows), plan
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_line_keys_are_dense(spark):
     from comanda.plans.registry import star
     from tests.conftest import SF_DIR
