@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from comanda.functions.money import amount, half_up, units
 
-DEFAULT_ROW_LIMIT = 50_000
-
 
 @dataclass(frozen=True)
 class Metric:
@@ -50,8 +48,8 @@ def revenue_by_month_category(cube: DataFrame) -> DataFrame:
     return chart(cube, ["year_month", "category_name"], [Metric("revenue", "SUM", "revenue", 100)])
 
 
-def revenue_by_category(cube: DataFrame) -> DataFrame:
-    return chart(cube, ["category_name"], [Metric("revenue", "SUM", "revenue", 100)], limit=50)
+def revenue_by_category(cube: DataFrame, limit: int | None = None) -> DataFrame:
+    return chart(cube, ["category_name"], [Metric("revenue", "SUM", "revenue", 100)], limit)
 
 
 def orders_units_by_month(cube: DataFrame) -> DataFrame:
@@ -60,18 +58,18 @@ def orders_units_by_month(cube: DataFrame) -> DataFrame:
     return chart(cube, ["year_month"], metrics)
 
 
-def orders_by_zone(cube: DataFrame) -> DataFrame:
-    return chart(cube, ["zone_name"], [Metric("order_count", "SUM", "orders")], limit=20)
+def orders_by_zone(cube: DataFrame, limit: int | None = None) -> DataFrame:
+    return chart(cube, ["zone_name"], [Metric("order_count", "SUM", "orders")], limit)
 
 
-def revenue_by_zone(cube: DataFrame) -> DataFrame:
-    return chart(cube, ["zone_name"], [Metric("total_revenue", "SUM", "revenue", 100)], limit=20)
+def revenue_by_zone(cube: DataFrame, limit: int | None = None) -> DataFrame:
+    return chart(cube, ["zone_name"], [Metric("total_revenue", "SUM", "revenue", 100)], limit)
 
 
-def delivery_by_zone(cube: DataFrame) -> DataFrame:
+def delivery_by_zone(cube: DataFrame, limit: int | None = None) -> DataFrame:
     """Unweighted means of the monthly means."""
     metrics = [Metric("avg_distance_km", "AVG", "avg_km", 100), Metric("avg_delivery_min", "AVG", "avg_min", 10)]
-    return chart(cube, ["zone_name"], metrics, limit=20)
+    return chart(cube, ["zone_name"], metrics, limit)
 
 
 def status_over_time(cube: DataFrame) -> DataFrame:
