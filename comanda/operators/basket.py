@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from comanda.session import cut_lineage
 
+BLOCK_NAMES = 64  # names of an order in a block
+
 
 def _names_in_orders(lines: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order and product name, with the span of the product ids behind the name."""
@@ -18,12 +20,20 @@ def _names_in_orders(lines: DataFrame, products: DataFrame) -> DataFrame:
 def _pair_orders(baskets: DataFrame) -> DataFrame:
     """Orders that hold a product named product_1 with a smaller id than one named product_2.
 
-    (order, name) is unique, so an order counts once for a pair of names and no distinct count is needed.
+    (order, name) is unique, so an order counts once for a pair of names and no distinct count is needed. An order of
+    k names has about k^2 / 2 pairs to be counted, whatever the plan; they are formed block by block, by as many tasks
+    as there are blocks, and added up before the shuffle by names.
     """
-    one = baskets.select("order_id", F.col("name").alias("product_1"), "lo")
-    two = baskets.select("order_id", F.col("name").alias("product_2"), "hi")
+    # blocks of about BLOCK_NAMES names, and every block with every block: the number of rows under a key is bounded
+    sizes = baskets.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NAMES).cast("int").alias("blocks"))
+    blocked = baskets.join(sizes, "order_id").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    one = blocked.select("order_id", F.col("name").alias("product_1"), "lo", F.col("block").alias("block_1"),
+                         others.alias("block_2"))
+    two = blocked.select("order_id", F.col("name").alias("product_2"), "hi", F.col("block").alias("block_2"),
+                         others.alias("block_1"))
     return (
-        one.join(two, "order_id")
+        one.join(two, ["order_id", "block_1", "block_2"])
         .filter(F.col("lo") < F.col("hi"))
         .groupBy("product_1", "product_2")
         .agg(F.count(F.lit(1)).alias("orders_together"))
@@ -36,8 +46,7 @@ def copurchase(lines: DataFrame, products: DataFrame, limit: int = 5, probe: int
     ``lines`` has (order_id, prod_id), and may repeat a pair: edges need not be reduced for this.
     A pair is in at most as many orders as the rarer of its names. The pairs of the ``probe`` most frequent names are
     counted first; names in fewer orders than the last of the best ``limit`` of them cannot be part of the answer
-    and are dropped before pairs are formed. That keeps a basket with very many products from being squared, and
-    changes no result.
+    and are dropped before pairs are formed. That helps where frequencies differ, and changes no result.
     """
     baskets = cut_lineage(_names_in_orders(lines, products))  # read by the probe, the counts and the pairs
     frequency = baskets.groupBy("name").agg(F.count(F.lit(1)).alias("orders"))
@@ -76,12 +85,11 @@ def top_products_nested(edges: DataFrame, products: DataFrame, limit: int = 3) -
     )
 
 
-def courier_top_zone(assigned: DataFrame, delivered_to: DataFrame, couriers: DataFrame) -> DataFrame:
-    """Deliveries of each courier, and the zone of most of them; of equal zones the first by name."""
+def courier_top_zone(deliveries: DataFrame, couriers: DataFrame) -> DataFrame:
+    """Deliveries (courier_id, zone) of each courier, and the zone of most of them; of equal zones the first by name."""
     who = couriers.select("courier_id", F.col("name").alias("courier_name"), "vehicle")
     by_zone = (
-        assigned.join(delivered_to.select("order_id", "zone"), "order_id")
-        .groupBy("courier_id", "zone")
+        deliveries.groupBy("courier_id", "zone")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(who, "courier_id")
         .groupBy("courier_name", "vehicle", "zone")

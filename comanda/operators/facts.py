@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from comanda.functions.calendar import date_key, minutes_between
 from comanda.operators import dims as D
 from comanda.operators.keys import dense_key
+from comanda.session import cut_lineage
 from comanda.sources.operational import Tables
 
 FACT_ORDERS = (
@@ -40,8 +41,16 @@ def _check(columns: Sequence[str], known: Sequence[str]) -> set[str]:
     return set(columns)
 
 
-def fact_orders(t: Tables, dims, columns: Sequence[str] = FACT_ORDERS) -> DataFrame:
-    """One row per order. ``dims`` offers the keyed dimensions customer, restaurant, location and courier."""
+def _own_key(members: DataFrame, natural: str, surrogate: str) -> DataFrame:
+    return members.select(F.col("id").alias(natural), F.col("id").alias(surrogate))
+
+
+def fact_orders(t: Tables, dims, columns: Sequence[str] = FACT_ORDERS, natural_keys: bool = False) -> DataFrame:
+    """One row per order. ``dims`` offers the keyed dimensions customer, restaurant, location and courier.
+
+    With ``natural_keys`` the customer's and restaurant's keys are their ids: enough for counting, and no surrogates are
+    made for it.
+    """
     want = _check(columns, FACT_ORDERS)
     ts = F.col("order_ts")
     fact = t.orders.withColumnRenamed("id", "order_id")
@@ -53,9 +62,11 @@ def fact_orders(t: Tables, dims, columns: Sequence[str] = FACT_ORDERS) -> DataFr
         delivery = t.deliveries.select("order_id", "courier_id", "dest_zone", "distance_km", "eta_min", "delivered_ts")
         fact = fact.join(delivery, "order_id", "left")
     if "customer_key" in want:
-        fact = fact.join(dims.customer.select("user_id", "customer_key"), "user_id", "left")
+        customer = _own_key(D.customers(t.users), "user_id", "customer_key") if natural_keys else dims.customer
+        fact = fact.join(customer.select("user_id", "customer_key"), "user_id", "left")
     if "restaurant_key" in want:
-        fact = fact.join(dims.restaurant.select("restaurant_id", "restaurant_key"), "restaurant_id", "left")
+        restaurant = _own_key(t.restaurants, "restaurant_id", "restaurant_key") if natural_keys else dims.restaurant
+        fact = fact.join(restaurant.select("restaurant_id", "restaurant_key"), "restaurant_id", "left")
     if "location_key" in want:
         zones = dims.location.select(F.col("zone").alias("dest_zone"), "location_key")
         fact = fact.join(zones, "dest_zone", "left")
@@ -108,7 +119,7 @@ def fact_order_items(t: Tables, dims, columns: Sequence[str] = FACT_ORDER_ITEMS)
 
     lines = t.order_items.join(orders, "order_id").join(product, "product_id")
     if "item_key" in want:
-        lines = dense_key(lines, "id", "item_key")
+        lines = dense_key(cut_lineage(lines), "id", "item_key")  # read twice: for the numbers and their offsets
     values = {
         "date_key": date_key(ts),
         "time_key": F.hour(ts),

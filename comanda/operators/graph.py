@@ -9,11 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.geo import haversine_km
-from comanda.operators.keys import dense_key
-from comanda.sources.operational import Tables
+from comanda.operators.keys import dense_key, running_sum
+from comanda.sources.operational import GRAPH_ZONE_NAMES, Tables
 
 SPEED_KM_PER_HOUR = 30
-MAX_RECOMMENDATIONS = 300
 
 
 # ---- nodes -----------------------------------------------------------------------------------------------
@@ -38,7 +37,11 @@ def couriers(t: Tables) -> DataFrame:
 
 
 def locations(t: Tables) -> DataFrame:
-    return t.zones.select("zone", "zone_name", "lat", "lon")
+    """Zones under the names that the graph has for them."""
+    name = F.col("zone_name")
+    for short, long in GRAPH_ZONE_NAMES.items():
+        name = F.when(F.col("zone_name") == short, long).otherwise(name)
+    return t.zones.select("zone", name.alias("zone_name"), "lat", "lon")
 
 
 def orders(t: Tables) -> DataFrame:
@@ -96,9 +99,9 @@ def lines_between(t: Tables) -> DataFrame:
 def contains(t: Tables, last_by: Column | None = None) -> DataFrame:
     """Order -> Product. A product repeated in an order has one edge, with the values of its last line.
 
-    ``last_by`` is a number that tells which line is the last, by default the line id. One number, not a list of
-    columns, as that keeps the aggregation in hash tables. Lines are reduced before the shuffle, so a product or an
-    order with very many lines does not end up in one task.
+    ``last_by`` tells which line is the last, by default the line id (a number keeps the aggregation in hash tables; a
+    struct of columns is right for any values). Lines are reduced before the shuffle, so a product or an order with very
+    many lines does not end up in one task.
     """
     place = F.col("id") if last_by is None else last_by
     last = [F.max_by(c, place).alias(c) for c in ("quantity", "unit_price", "line_total")]
@@ -132,22 +135,49 @@ def assigned(t: Tables) -> DataFrame:
     )
 
 
-def recommendations(t: Tables, max_edges: int = MAX_RECOMMENDATIONS) -> DataFrame:
-    """Pairs of users who ordered at the same restaurant: the first ``max_edges`` by (to, from, via).
-
-    The relation is defined with that limit, so the pairs of a restaurant are never listed. Call the n-th user of a
-    restaurant, by user id, its place n. A user at place n has an edge from each of the n-1 users before. The
-    wanted edges end at the ``max_edges`` smallest (user, restaurant) visits with a predecessor, and those are at the
-    first ``max_edges`` + 1 places of their restaurants; everybody before them is at such a place, too. Spark cuts
-    each restaurant to these places before the shuffle (while they are within its window group limit of 1000).
-    """
-    visits = (
+def visits(t: Tables) -> DataFrame:
+    """(user_id, via_restaurant): who ordered where, each pair once."""
+    return (
         t.orders.filter(F.col("user_id").isNotNull() & F.col("restaurant_id").isNotNull())
         .select("user_id", F.col("restaurant_id").alias("via_restaurant"))
         .distinct()
     )
+
+
+def zones_of_couriers(t: Tables) -> DataFrame:
+    """(courier_id, order_id, zone) of the deliveries whose courier, order and zone exist, in one pass over them."""
+    return (
+        t.deliveries.filter(F.col("courier_id").isNotNull())
+        .select("courier_id", "order_id", F.col("dest_zone").alias("zone"))
+        .join(_ids(t.couriers, "courier_id"), "courier_id", "left_semi")
+        .join(_ids(t.zones, "zone", "zone"), "zone", "left_semi")
+        .join(_ids(t.orders, "order_id"), "order_id", "left_semi")
+    )
+
+
+def recommendations(t: Tables) -> DataFrame:
+    """User -> User over a shared restaurant, one row for each visit instead of one for each pair.
+
+    Of two users of a restaurant the one with the smaller id recommends the other. So a visit stands for edges from the
+    ``recommended_by`` visitors with smaller ids, and to the ``recommends`` ones with larger ids; the pairs themselves,
+    whose number grows with the square of the visitors, are never listed.
+    """
+    numbered = running_sum(visits(t).withColumn("_one", F.lit(1).cast("bigint")), "via_restaurant", "user_id", "_one",
+                           "recommended_by", "_all")
+    return numbered.select("user_id", "via_restaurant", "recommended_by",
+                           (F.col("_all") - F.col("recommended_by") - 1).alias("recommends"))
+
+
+def first_recommendations(t: Tables, max_edges: int) -> DataFrame:
+    """The first ``max_edges`` pairs (from_user, to_user, via_restaurant) by (to, from, via), for a listing of that length.
+
+    Call the n-th user of a restaurant, by user id, its place n; it has an edge from each of the n-1 before. The wanted
+    edges end at the ``max_edges`` smallest (user, restaurant) visits with a predecessor, and those are at the first
+    ``max_edges`` + 1 places of their restaurants; everybody before them is at such a place, too. Spark cuts each
+    restaurant to these places before the shuffle (while they are within its window group limit of 1000).
+    """
     by_user = W.partitionBy("via_restaurant").orderBy("user_id")
-    first = visits.withColumn("place", F.row_number().over(by_user)).filter(F.col("place") <= max_edges + 1)
+    first = visits(t).withColumn("place", F.row_number().over(by_user)).filter(F.col("place") <= max_edges + 1)
 
     with_predecessor = first.filter(F.col("place") > 1)
     last_end = with_predecessor.select("user_id").orderBy("user_id").limit(max_edges).agg(F.max("user_id"))
@@ -164,11 +194,6 @@ def recommendations(t: Tables, max_edges: int = MAX_RECOMMENDATIONS) -> DataFram
     )
 
 
-def recommends(recommended: DataFrame) -> DataFrame:
-    """User -> User, one edge per pair whatever the number of shared restaurants."""
-    return recommended.select("from_user", "to_user").distinct()
-
-
 def _zone_pairs(zones: DataFrame) -> DataFrame:
     """Every unordered pair of zones with its great-circle km.
 

@@ -1,46 +1,50 @@
-"""Influential users: out-degree and PageRank."""
+"""Influential users: out-degree and PageRank, over visits instead of pairs of visitors."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.operators.keys import running_sum
 from comanda.session import cut_lineage
 
 DAMPING = 0.85
 MAX_ITERATIONS = 20
 TOLERANCE = 1e-7
-ROUNDS_PER_CHECKPOINT = 5
+ROUNDS_PER_CHECKPOINT = 2
 
 
-def degree(edges: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
-    """Users who recommend most others, ties by name and zone."""
-    named = users.select(F.col("user_id").alias("from_user"), F.col("name").alias("user_name"), "zone")
+def degree(recommendations: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
+    """Users who recommend most often, ties by name and zone. Two users are counted once for each shared restaurant."""
+    named = users.select("user_id", F.col("name").alias("user_name"), "zone")
+    by_user = recommendations.groupBy("user_id").agg(F.sum("recommends").alias("recommends"))
     return (
-        edges.join(named, "from_user")
+        by_user.join(named, "user_id")
         .groupBy("user_name", "zone")
-        .agg(F.countDistinct("to_user").alias("recommended_users"))
+        .agg(F.sum("recommends").alias("recommended_users"))
         .orderBy(F.desc("recommended_users"), "user_name", "zone")
         .limit(limit)
     )
 
 
 def pagerank(
-    edges: DataFrame,
+    recommendations: DataFrame,
     max_iterations: int = MAX_ITERATIONS,
     damping: float = DAMPING,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """(id, score) of every node with an incoming edge, for ``edges(src, dst)``; score = 1-d + d * sum(score/degree).
+    """(id, score) of every visitor; score = 1-d + d * sum(score/degree) over those who recommend the user.
 
-    A node without incoming edges keeps the base score 1-d in all rounds, so it is left out of the iteration: the
-    rounds move one row per edge target instead of one per user. Contributions are added up before the shuffle.
+    What a user gets over a restaurant is what all visitors with smaller ids give each, which is a running sum over the
+    restaurant's visits. So a round costs a sum over the visits, not over their pairs, and a restaurant with very many
+    visitors is summed by ranges of ids.
     """
     base = 1 - damping
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    # Weighted edges are read in every round: store them once.
-    weighted = cut_lineage(edges.join(degrees, "src").select("src", "dst", (1 / F.col("out_degree")).alias("weight")))
-    scores = weighted.select(F.col("dst").alias("id")).distinct().withColumn("score", F.lit(base))
+    visits = cut_lineage(recommendations.select("user_id", "via_restaurant"))  # read in every round
+    gives = cut_lineage(
+        recommendations.groupBy(F.col("user_id").alias("id")).agg(F.sum("recommends").alias("edges")).select(
+            "id", F.when(F.col("edges") > 0, 1 / F.col("edges")).otherwise(0.0).alias("weight")))
+    scores = gives.withColumn("score", F.lit(base))
 
     done = 0
     while done < max_iterations:
@@ -48,23 +52,22 @@ def pagerank(
         before = scores
         for _ in range(rounds):
             before = scores
-            sent = weighted.join(scores, F.col("src") == F.col("id"), "left").select(
-                "dst", (F.coalesce("score", F.lit(base)) * F.col("weight")).alias("part")
-            )
-            scores = sent.groupBy(F.col("dst").alias("id")).agg(
-                (F.lit(base) + F.lit(damping) * F.sum("part")).alias("score")
-            )
+            sent = visits.join(
+                scores.select(F.col("id").alias("user_id"), (F.col("score") * F.col("weight")).alias("part")), "user_id")
+            got = running_sum(sent, "via_restaurant", "user_id", "part", "got").groupBy(
+                F.col("user_id").alias("id")).agg(F.sum("got").alias("got"))
+            scores = gives.join(got, "id").select("id", "weight", (F.lit(base) + F.lit(damping) * F.col("got")).alias("score"))
         done += rounds
-        step = cut_lineage(scores.join(before.withColumnRenamed("score", "old"), "id"))
-        scores = step.select("id", "score")
+        step = cut_lineage(scores.join(before.select("id", F.col("score").alias("old")), "id"))
+        scores = step.select("id", "weight", "score")
         if step.filter(F.abs(F.col("score") - F.col("old")) >= tolerance).isEmpty():
             break
-    return scores
+    return scores.select("id", "score")
 
 
-def top_pagerank(edges: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
-    """Users with the highest score, users without any edge included; ties by name and zone."""
-    scores = pagerank(edges.select(F.col("from_user").alias("src"), F.col("to_user").alias("dst")))
+def top_pagerank(recommendations: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
+    """Users with the highest score, users without any visit included; ties by name and zone."""
+    scores = pagerank(recommendations)
     ranked = users.select(F.col("user_id").alias("id"), F.col("name").alias("user_name"), "zone")
     score = F.round(F.coalesce("score", F.lit(1 - DAMPING)), 4)
     return (

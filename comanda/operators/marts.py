@@ -39,7 +39,7 @@ def busiest_hours(mart_peak_hours: DataFrame, limit: int = 10) -> DataFrame:
 
 def monthly_growth(star) -> DataFrame:
     """Completed orders by month, with the change against the month before."""
-    fact = star.orders(*DAY, "status", "total", "item_count", "customer_key").filter(F.col("status") == "completed")
+    fact = star.orders_to_count(*DAY, "status", "total", "item_count", "customer_key").filter(F.col("status") == "completed")
     monthly = (
         fact.join(star.dim_date.select(*DAY, "month_name"), DAY)
         .groupBy("year", "month", "month_name")
@@ -66,7 +66,7 @@ def monthly_growth(star) -> DataFrame:
 
 def executive_summary(star) -> DataFrame:
     """One row of totals. ``completed_orders`` is NULL, not 0, when nothing is completed."""
-    return star.orders("status", "total", "customer_key", "restaurant_key").agg(
+    return star.orders_to_count("status", "total", "customer_key", "restaurant_key").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum(F.when(F.col("status") == "completed", 1)).alias("completed_orders"),
         exact_sum("total").alias("total_revenue"),

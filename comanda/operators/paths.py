@@ -9,6 +9,7 @@ from comanda.functions.money import units
 from comanda.session import cut_lineage
 
 ROUNDS_PER_CHECKPOINT = 4
+UNKNOWN_KM = 999.0  # fixed value: the length of a way that does not exist
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -83,36 +84,31 @@ def lightest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     return best.drop("hops")
 
 
-def all_distances(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(src, dst, km) of the shortest path between all pairs of ``nodes(node)``; edges have km with two decimals.
+def distances_from(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """(src, dst, km) of the shortest path from each of ``sources(src)`` to every node; edges have km with two decimals.
 
-    Paths are joined with paths, so their greatest number of edges doubles in each round. Lengths are added as
-    whole hundredths: the result does not depend on the order of the legs.
+    A round extends only the paths that the round before made shorter, by one edge. In a network where every two nodes
+    have an edge that is mostly one round, and sources x edges rows. Lengths are added as whole hundredths: the result
+    does not depend on the order of the legs.
     """
-    none = F.lit(0).cast("bigint")
-    known = edges.select("src", "dst", units("km").alias("length")).unionByName(
-        nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"), none.alias("length"))
-    ).groupBy("src", "dst").agg(F.min("length").alias("length"))
-    known = cut_lineage(known)
-    improved = True
-    while improved:
-        onward = known.select(F.col("src").alias("via"), F.col("dst").alias("end"), F.col("length").alias("onward"))
-        total = F.col("length") + F.col("onward")
-        joined = known.join(onward, F.col("dst") == F.col("via")).groupBy("src", F.col("end").alias("dst")).agg(
-            F.min(total).alias("length"),
-            F.min(F.when(F.col("via") == F.col("src"), total)).alias("before"),  # no step, then the known path
-        )
-        state = cut_lineage(joined)
-        known = state.select("src", "dst", "length")
-        improved = not state.filter("before IS NULL OR length < before").isEmpty()
+    legs = cut_lineage(edges.select(F.col("src").alias("via"), F.col("dst").alias("next"), units("km").alias("leg")))
+    known = cut_lineage(sources.select("src", F.col("src").alias("dst"), F.lit(0).cast("bigint").alias("length")).distinct())
+    moved = known
+    while not moved.isEmpty():
+        further = moved.join(legs, F.col("dst") == F.col("via")).groupBy("src", F.col("next").alias("dst")).agg(
+            F.min(F.col("length") + F.col("leg")).alias("found"))
+        state = cut_lineage(known.join(further, ["src", "dst"], "full").select(
+            "src", "dst", F.least("length", "found").alias("length"),
+            (F.col("found").isNotNull() & (F.col("length").isNull() | (F.col("found") < F.col("length")))).alias("moved")))
+        known, moved = state.select("src", "dst", "length"), state.filter("moved").select("src", "dst", "length")
     return known.select("src", "dst", (F.col("length") / 100).alias("km"))
 
 
-def zone_distance(zones: DataFrame, edges: DataFrame, fallback: DataFrame) -> DataFrame:
-    """km between every two zones: the shortest path, else ``fallback`` (from_zone, to_zone, km); 0 inside a zone."""
-    paths = all_distances(zones.select(F.col("zone").alias("node")), edges).select(
-        F.col("src").alias("from_zone"), F.col("dst").alias("to_zone"), F.col("km").alias("path_km")
-    )
-    return paths.join(fallback, ["from_zone", "to_zone"], "full").select(
-        "from_zone", "to_zone", F.coalesce("path_km", "km").alias("distance_km")
-    )
+def zone_distance(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """(from_zone, to_zone, distance_km) of the asked ``pairs``: the shortest path, 0 inside a zone, ``UNKNOWN_KM``
+    without a path. Paths are searched from the zones that a pair starts from only."""
+    asked = pairs.select("from_zone", "to_zone").distinct()
+    paths = distances_from(asked.select(F.col("from_zone").alias("src")), edges).select(
+        F.col("src").alias("from_zone"), F.col("dst").alias("to_zone"), F.col("km").alias("path_km"))
+    km = F.when(F.col("from_zone") == F.col("to_zone"), 0.0).otherwise(F.coalesce("path_km", F.lit(UNKNOWN_KM)))
+    return asked.join(paths, ["from_zone", "to_zone"], "left").select("from_zone", "to_zone", km.alias("distance_km"))

@@ -81,38 +81,63 @@ def gate(checked: DataFrame) -> None:
         raise QualityError("data quality checks failed:\n" + "\n".join(failed))
 
 
-def orphans(relation: str, child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows of ``child``, rows with a NULL key, and rows whose key the parent does not have.
+@dataclass(frozen=True)
+class Relation:
+    name: str
+    child: str  # table and its key
+    key: str
+    parent: str
+    parent_key: str = "id"
+
+
+# Foreign keys that the facts are joined over.
+RELATIONS = [
+    Relation("orders.customer", "orders", "user_id", "customers"),
+    Relation("orders.restaurant", "orders", "restaurant_id", "restaurants"),
+    Relation("order_items.order", "order_items", "order_id", "orders"),
+    Relation("order_items.product", "order_items", "product_id", "products"),
+    Relation("deliveries.order", "deliveries", "order_id", "orders"),
+    Relation("deliveries.courier", "deliveries", "courier_id", "couriers"),
+    Relation("deliveries.zone", "deliveries", "dest_zone", "zones", "zone"),
+    Relation("products.category", "products", "category_id", "categories"),
+]
+
+
+def _keys(table: DataFrame, named: list[tuple[str, str]]) -> DataFrame:
+    """(relation, k): the keys of all relations of a table, in one pass over it."""
+    return table.select(F.explode(F.array(*(
+        F.struct(F.lit(relation).alias("relation"), F.col(key).cast("string").alias("k")) for relation, key in named
+    ))).alias("r")).select("r.*")
+
 
-    Children are counted per key first, so a key with very many rows is one row in the join.
+def referential(t: Tables, relations: list[Relation] | None = None) -> DataFrame:
+    """For each relation the rows of the child, those with a NULL key, and those whose key the parent does not have.
+
+    Each table is read once as child and once as parent, whatever the number of its relations. Children are counted per
+    key before anything is joined, so a key with very many rows is one row in the join.
     """
-    per_key = child.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key).alias("k"), F.lit(True).alias("found"))
-    zero = F.lit(0).cast("bigint")
+    relations = RELATIONS if relations is None else relations
+
+    def table(name: str) -> DataFrame:
+        return dims.customers(t.users) if name == "customers" else getattr(t, name)
 
-    def total(condition: Column | None = None) -> Column:
-        return F.coalesce(F.sum("n" if condition is None else F.when(condition, F.col("n"))), zero)
-
-    return per_key.join(known, "k", "left").agg(
-        total().alias("rows"),
-        total(F.col("k").isNull()).alias("null_keys"),
-        total(F.col("k").isNotNull() & F.col("found").isNull()).alias("orphans"),
-    ).select(F.lit(relation).alias("relation"), "rows", "null_keys", "orphans")
-
-
-def referential(t: Tables) -> DataFrame:
-    """Foreign keys without a parent row, for each relation that the facts are joined over."""
-    relations = [
-        ("orders.customer", t.orders, "user_id", dims.customers(t.users), "id"),
-        ("orders.restaurant", t.orders, "restaurant_id", t.restaurants, "id"),
-        ("order_items.order", t.order_items, "order_id", t.orders, "id"),
-        ("order_items.product", t.order_items, "product_id", t.products, "id"),
-        ("deliveries.order", t.deliveries, "order_id", t.orders, "id"),
-        ("deliveries.courier", t.deliveries, "courier_id", t.couriers, "id"),
-        ("deliveries.zone", t.deliveries, "dest_zone", t.zones, "zone"),
-        ("products.category", t.products, "category_id", t.categories, "id"),
-    ]
-    return reduce(DataFrame.unionByName, [orphans(*relation) for relation in relations])
+    def all_keys(side: str, key: str) -> DataFrame:
+        by_table: dict[str, list[tuple[str, str]]] = {}
+        for r in relations:
+            by_table.setdefault(getattr(r, side), []).append((r.name, getattr(r, key)))
+        return reduce(DataFrame.unionByName, [_keys(table(name), named) for name, named in by_table.items()])
+
+    children = all_keys("child", "key").groupBy("relation", "k").agg(F.count(F.lit(1)).alias("n"))
+    parents = all_keys("parent", "parent_key").withColumn("found", F.lit(True))
+    zero = F.lit(0).cast("bigint")
+    found = children.join(parents, ["relation", "k"], "left").groupBy("relation").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("null_keys"),
+        F.sum(F.when(F.col("k").isNotNull() & F.col("found").isNull(), F.col("n"))).alias("orphans"),
+    )
+    asked = t.orders.sparkSession.createDataFrame([(r.name,) for r in relations], "relation string")
+    return asked.join(found, "relation", "left").select(
+        "relation", *(F.coalesce(c, zero).alias(c) for c in ("rows", "null_keys", "orphans")))
 
 
 def orders_per_status(orders: DataFrame) -> DataFrame:

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from comanda.functions.geo import EARTH_RADIUS_KM
 from comanda.operators.keys import dense_key
+from comanda.operators.paths import zone_distance
 from comanda.session import cut_lineage
 
 # Statuses that wait for dispatch, and the position of a courier without a known base zone.
 PENDING = ["pending", "preparing", "delivering"]
 DEFAULT_LAT, DEFAULT_LON = 14.60, -90.51
-UNKNOWN_KM = 999.0
 BATCH_SIZE = 60
 
 # The group function travels to the workers as code, so they need not have this package installed.
@@ -98,35 +98,39 @@ def _dispatch(batch: pd.DataFrame, fleet: pd.DataFrame, fleet_size: int) -> pd.D
     return out
 
 
-def assign_routes(
-    pending: DataFrame, couriers: DataFrame, distances: DataFrame, batch_size: int = BATCH_SIZE
-) -> DataFrame:
-    """Each batch on its own: quota = orders / couriers rounded up, couriers by id, then the nearest order each time.
+def assign_stops(pending: DataFrame, couriers: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Each batch on its own: quota = orders / couriers rounded up, couriers in turn, then the nearest order each time.
 
-    A batch has at most ``batch_size`` orders, and each courier in turn takes at least one while there are any, so
-    no more than the first ``batch_size`` couriers can get one: only those go to the tasks.
+    A batch has at most ``batch_size`` orders, and each courier in turn takes at least one while there are any, so no
+    more than ``batch_size`` couriers can get one. A larger fleet takes turns: a batch starts with the courier after the
+    last one that the batch before could use, so everybody gets work. Only a batch's couriers meet its orders.
     """
-    columns = ["courier_id", "base_zone", "base_lat", "base_lon"]
-    first = [tuple(row) for row in couriers.orderBy("courier_id").limit(batch_size).select(*columns).collect()]
-    fleet_size = couriers.count() if len(first) == batch_size else len(first)
     legs = "batch long, order_id long, dest_zone string, customer string, total double, " \
            "courier_id long, seq int, from_zone string"
-    spark = pending.sparkSession
-    if not first:
-        return spark.createDataFrame([], legs + ", distance_km double")
-    fleet = pd.DataFrame(first, columns=columns)
-
-    def dispatch(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _dispatch(pdf, fleet, fleet_size)
-
-    # Few bytes, much work: keep AQE from putting all batches into one task.
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    chosen = pending.repartition(tasks, "batch").groupBy("batch").applyInPandas(dispatch, legs)
-    km = distances.select("from_zone", F.col("to_zone").alias("dest_zone"), "distance_km")
-    leg = F.when(F.col("from_zone") == F.col("dest_zone"), 0.0).otherwise(
-        F.coalesce("distance_km", F.lit(UNKNOWN_KM))
-    )
-    return chosen.join(km, ["from_zone", "dest_zone"], "left").withColumn("distance_km", leg)
+    fleet_size = couriers.count()
+    if not fleet_size:
+        return pending.sparkSession.createDataFrame([], legs)
+    numbered = dense_key(couriers.select("courier_id", "base_zone", "base_lat", "base_lon"), "courier_id", "no")
+    turns = min(fleet_size, batch_size)
+    first = F.lit(0) if fleet_size <= batch_size else (F.col("of_batch") - 1) * batch_size
+    slots = pending.select(F.col("batch").alias("of_batch")).distinct().withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    fleets = slots.withColumn("no", F.pmod(first + F.col("turn"), F.lit(fleet_size)) + 1).join(numbered, "no").drop("no")
+
+    def dispatch(batch: pd.DataFrame, fleet: pd.DataFrame) -> pd.DataFrame:
+        return _dispatch(batch, fleet.sort_values("turn", ignore_index=True), fleet_size)
+
+    return pending.groupBy("batch").cogroup(fleets.groupBy("of_batch")).applyInPandas(dispatch, legs)
+
+
+def assign_routes(
+    pending: DataFrame, couriers: DataFrame, network: DataFrame, batch_size: int = BATCH_SIZE
+) -> DataFrame:
+    """The stops of ``assign_stops`` with the km of each leg over ``network`` (src, dst, km): stops are chosen by
+    position, and only then paths are searched, from the zones where legs start."""
+    chosen = cut_lineage(assign_stops(pending, couriers, batch_size))
+    legs = chosen.select("from_zone", F.col("dest_zone").alias("to_zone"))
+    km = zone_distance(legs, network).select("from_zone", F.col("to_zone").alias("dest_zone"), "distance_km")
+    return chosen.join(km, ["from_zone", "dest_zone"], "left")
 
 
 def route_summary(routes: DataFrame) -> DataFrame:

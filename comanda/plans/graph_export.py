@@ -10,6 +10,16 @@ from comanda.sinks.files import write_csv
 from comanda.sources.graph_csv import GRAPH_FILES, read_graph_file
 from comanda.sources.operational import Tables
 
+# Fixed value: pairs in the file of recommendations. The file is a listing; analyses use graph.recommendations.
+LISTED_RECOMMENDATIONS = 300
+
+# What makes a row of a file the same node or edge.
+MERGE_KEYS = {
+    "users": ["user_id"], "restaurants": ["rest_id"], "products": ["prod_id"], "couriers": ["courier_id"],
+    "locations": ["zone"], "orders": ["order_id"], "order_items": ["order_id", "prod_id"], "deliveries": ["order_id"],
+    "user_recommendations": ["from_user", "to_user"], "zone_routes": ["from_zone", "to_zone"],
+}
+
 
 def extracts(t: Tables) -> dict[str, DataFrame]:
     """The ten files of the graph. Orders, lines and deliveries carry the ends of several relationship types."""
@@ -33,7 +43,7 @@ def extracts(t: Tables) -> dict[str, DataFrame]:
         "orders": orders,
         "order_items": lines,
         "deliveries": deliveries,
-        "user_recommendations": graph.recommendations(t),
+        "user_recommendations": graph.first_recommendations(t, LISTED_RECOMMENDATIONS),
         "zone_routes": graph.zone_routes(t.zones),
     }
 
@@ -43,5 +53,17 @@ def export_graph(t: Tables, folder: str) -> dict[str, int]:
     return {name: write_csv(df, f"{folder.rstrip('/')}/{name}") for name, df in extracts(t).items()}
 
 
-def load_graph(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_graph_file(spark, folder, name) for name in GRAPH_FILES}
+def load_graph(spark: SparkSession, folder: str, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The graph after its files are merged into it: rows of the files replace those with the same keys.
+
+    Lines that repeat a key in a file are merged as well. Files have no order once they are read in parallel: of such
+    lines the one with the largest values counts.
+    """
+    def merged(name: str) -> DataFrame:
+        updates = read_graph_file(spark, folder, name)
+        before = (existing or {}).get(name)
+        keys = MERGE_KEYS[name]
+        return graph.upsert(before if before is not None else spark.createDataFrame([], updates.schema), updates, keys,
+                            [c for c in updates.columns if c not in keys])
+
+    return {name: merged(name) for name in GRAPH_FILES}

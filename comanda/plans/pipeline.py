@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators import catalog, cubes, dims, facts, marts, quality
 from comanda.plans.star import LazyStar, StoredStar
+from comanda.plans.dispatch import export_routes
 from comanda.sinks.files import write_json, write_parquet
 from comanda.sinks.jdbc import write_mart
 from comanda.sinks.tables import create_views, write_table
@@ -143,6 +144,11 @@ def export_marts(spark: SparkSession, config: PipelineConfig) -> list[str]:
     return list(frames)
 
 
+def dispatch_pending(spark: SparkSession, config: PipelineConfig) -> int:
+    """The routes of the waiting orders as nested records; how many there are."""
+    return export_routes(staged_tables(spark, config.staging_dir, config.zones), f"{config.state_dir.rstrip('/')}/routes")
+
+
 def check_quality(config: PipelineConfig) -> DataFrame:
     """The report on the serving store; raises when a check failed."""
     names = [*quality.NOT_EMPTY, "mart_executive_summary"]
@@ -165,6 +171,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, objec
             result["marts"] = build_marts(spark, config)
             result["documents_refreshed"] = documents.result()
         result["exported"] = export_marts(spark, config)
+        result["routes"] = dispatch_pending(spark, config)
     except Exception as error:
         failure = error
     try:

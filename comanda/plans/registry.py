@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.functions.money import units
 from comanda.operators import basket, boards, catalog, cubes, facts, graph, influence, marts, paths, quality, routing
+from comanda.plans import dispatch
 from comanda.plans.star import LazyStar
 from comanda.session import cut_lineage
 from comanda.sources.operational import Tables
@@ -40,7 +40,7 @@ def warehouse_queries() -> dict[str, Query]:
         "dim_courier": _on_star(lambda s: s.dim_courier),
         "items_per_order": _on_star(lambda s: facts.items_per_order(s.tables.order_items)),
         "fact_orders": _on_star(lambda s: s.orders()),
-        "fact_order_items": _on_star(lambda s: s.items(*facts.FACT_ORDER_ITEMS[1:])),
+        "fact_order_items": lambda spark, sf_dir: star(spark, sf_dir, item_ids=True).items(),
     }
     out |= {name: _on_star(function) for name, function in cubes.CUBES.items()}
     out |= {name: _on_star(function) for name, function in marts.MARTS.items()}
@@ -53,11 +53,9 @@ def warehouse_queries() -> dict[str, Query]:
 
 
 def _last_line() -> Column:
-    """The test tables have no line id: the last of repeated lines is the one with the largest amount, then quantity.
-
-    Both in one number: cents above, quantity in the low 20 bits.
-    """
-    return F.shiftleft(units("line_total"), 20) + F.col("quantity")
+    """The test tables have no line id: the last of repeated lines is the one with the largest amount, then quantity,
+    then price."""
+    return F.struct("line_total", "quantity", "unit_price")
 
 
 def _on_tables(function) -> Query:
@@ -68,21 +66,13 @@ def _edges(t: Tables) -> DataFrame:
     return graph.contains(t, _last_line())
 
 
-def _recommends(t: Tables) -> DataFrame:
-    return graph.recommends(graph.recommendations(t))
-
-
-def network_of(direct: DataFrame) -> DataFrame:
-    """Edges of the zone network."""
-    return graph.routes_of(direct).select(
-        F.col("from_zone").alias("src"), F.col("to_zone").alias("dst"), F.col("distance_km").alias("km")
-    )
-
-
 def zone_distances(zones: DataFrame) -> DataFrame:
+    """All pairs of zones: the network has an edge between every two, by definition."""
     zones = cut_lineage(zones)
-    direct = cut_lineage(graph.direct_distances(zones))  # edges of the network, and fallback without a path
-    return paths.zone_distance(zones, network_of(direct), direct)
+    direct = cut_lineage(graph.direct_distances(zones))
+    pairs = direct.select("from_zone", "to_zone").unionByName(
+        zones.select(F.col("zone").alias("from_zone"), F.col("zone").alias("to_zone")))
+    return paths.zone_distance(pairs, dispatch.network_of(direct))
 
 
 def flat_path(route: DataFrame, km_list: str, km: str) -> DataFrame:
@@ -101,7 +91,7 @@ KM_BETWEEN = ("NATION_1", "NATION_13")
 
 
 def _shortest_hops(t: Tables) -> DataFrame:
-    network = network_of(graph.direct_distances(cut_lineage(t.zones)))
+    network = dispatch.network_of(graph.direct_distances(cut_lineage(t.zones)))
     return flat_path(paths.fewest_hops(network, *HOPS_BETWEEN), "legs_km", "total_km")
 
 
@@ -109,24 +99,10 @@ def _shortest_weighted(t: Tables) -> DataFrame:
     start, end = KM_BETWEEN
     zones = cut_lineage(t.zones)
     sources = zones.filter(F.col("zone") == start).select(F.col("zone").alias("src"))
-    best = paths.lightest_paths(network_of(graph.direct_distances(zones)), sources)
+    best = paths.lightest_paths(dispatch.network_of(graph.direct_distances(zones)), sources)
     return flat_path(best.filter(F.col("dst") == end), "costs", "km")
 
 
-def _pending(t: Tables) -> DataFrame:
-    return routing.pending_orders(
-        graph.orders(t), graph.placed(t), graph.delivered_to(t), graph.users(t), graph.locations(t)
-    )
-
-
-def _fleet(t: Tables) -> DataFrame:
-    return routing.couriers_at_base(graph.couriers(t), graph.locations(t))
-
-
-def _routes(t: Tables) -> DataFrame:
-    return routing.assign_routes(_pending(t), _fleet(t), zone_distances(t.zones))
-
-
 def graph_queries() -> dict[str, Query]:
     out = {f"graph_{name}": _on_tables(function) for name, function in {
         "users": graph.users, "restaurants": graph.restaurants, "products": graph.products,
@@ -138,23 +114,23 @@ def graph_queries() -> dict[str, Query]:
         lambda t: graph.label_counts({label: nodes(t) for label, nodes in graph.NODES.items()}))
     out["zone_routes"] = _on_tables(lambda t: graph.zone_routes(t.zones))
     out["copurchase_top5"] = _on_tables(lambda t: basket.copurchase(graph.lines_between(t), graph.products(t)))
-    out["influencers_degree"] = _on_tables(lambda t: influence.degree(_recommends(t), graph.users(t)))
-    out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(_recommends(t), graph.users(t)))
+    out["influencers_degree"] = _on_tables(lambda t: influence.degree(graph.recommendations(t), graph.users(t)))
+    out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(graph.recommendations(t), graph.users(t)))
     out["shortest_hops"] = _on_tables(_shortest_hops)
     out["shortest_weighted"] = _on_tables(_shortest_weighted)
     out["top3_per_category"] = _on_tables(lambda t: basket.top_products(_edges(t), graph.products(t)))
     out["courier_top_zone"] = _on_tables(
-        lambda t: basket.courier_top_zone(graph.assigned(t), graph.delivered_to(t), graph.couriers(t)))
+        lambda t: basket.courier_top_zone(graph.zones_of_couriers(t), graph.couriers(t)))
     return out
 
 
 def routing_queries() -> dict[str, Query]:
     return {
-        "routing_couriers": _on_tables(_fleet),
-        "routing_pending": _on_tables(_pending),
+        "routing_couriers": _on_tables(dispatch.fleet),
+        "routing_pending": _on_tables(dispatch.pending),
         "zone_distance": _on_tables(lambda t: zone_distances(t.zones)),
-        "route_assignment": _on_tables(_routes),
-        "route_summary": _on_tables(lambda t: routing.route_summary(_routes(t))),
+        "route_assignment": _on_tables(dispatch.routes),
+        "route_summary": _on_tables(lambda t: routing.route_summary(dispatch.routes(t))),
     }
 
 

@@ -61,6 +61,10 @@ class LazyStar:
     def orders(self, *columns: str) -> DataFrame:
         return facts.fact_orders(self.tables, self, columns or facts.FACT_ORDERS)
 
+    def orders_to_count(self, *columns: str) -> DataFrame:
+        """Orders whose customer and restaurant keys are only counted: any unique value will do."""
+        return facts.fact_orders(self.tables, self, columns, natural_keys=True)
+
     def items(self, *columns: str) -> DataFrame:
         return facts.fact_order_items(self.tables, self, columns or facts.FACT_ORDER_ITEMS)
 
@@ -85,5 +89,7 @@ class StoredStar:
     def orders(self, *columns: str) -> DataFrame:
         return self.table("fact_orders").select(*(columns or facts.FACT_ORDERS))
 
+    orders_to_count = orders
+
     def items(self, *columns: str) -> DataFrame:
         return self.table("fact_order_items").select(*(columns or facts.FACT_ORDER_ITEMS))

@@ -21,10 +21,14 @@ ZONES = [
     (4, "zona_10", "Zona 10", 14.5994, -90.5069),
     (5, "zona_11", "Zona 11", 14.6050, -90.5333),
     (6, "zona_13", "Zona 13", 14.5775, -90.5283),
-    (7, "antigua", "Antigua Guatemala", 14.5586, -90.7295),
+    (7, "antigua", "Antigua", 14.5586, -90.7295),
 ]
 
 
+# Fixed value: the one zone that the graph names differently.
+GRAPH_ZONE_NAMES = {"Antigua": "Antigua Guatemala"}
+
+
 def default_zones(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ZONES, "location_key int, zone string, zone_name string, lat double, lon double")
 

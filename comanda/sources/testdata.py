@@ -148,9 +148,13 @@ def _couriers(orders: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
+LINES_OF_AN_ORDER = 10_000_000  # more than any order has
+
+
 def _items_with_id(lineitem: DataFrame) -> DataFrame:
-    """Lines with a unique ``id`` in file order. It depends on how the files are split, so extract it once."""
-    return lineitem.select((F.monotonically_increasing_id() + 1).alias("id"), *_item_columns())
+    """Lines with a unique ``id`` that follows (order, product, quantity, amount); equal lines are interchangeable."""
+    place = F.row_number().over(W.partitionBy("order_id").orderBy("product_id", "quantity", "line_total"))
+    return lineitem.select(*_item_columns()).withColumn("id", F.col("order_id") * LINES_OF_AN_ORDER + place)
 
 
 def _item_columns():

@@ -128,8 +128,9 @@ fact_orders AS (
   LEFT JOIN dim_courier k ON k.courier_id=d.courier_id
   LEFT JOIN (SELECT order_id, count(*) AS item_count FROM items GROUP BY 1) n ON n.order_id=o.id),
 fact_order_items AS (
-  SELECT i.order_id, strftime(order_ts,'%Y%m%d')::INT AS date_key, hour(order_ts)::INT AS time_key, product_key,
-         category_key, restaurant_key, customer_key, i.quantity, i.unit_price, i.line_total,
+  SELECT row_number() OVER (ORDER BY i.order_id, i.product_id, i.quantity, i.line_total) AS item_key, i.order_id,
+         strftime(order_ts,'%Y%m%d')::INT AS date_key, hour(order_ts)::INT AS time_key, product_key, category_key,
+         restaurant_key, customer_key, i.quantity, i.unit_price, i.line_total,
          year(order_ts)::INT AS year, month(order_ts)::INT AS month
   FROM items i JOIN o_orders o ON o.id=i.order_id JOIN dim_product p USING (product_id)
   JOIN dim_restaurant r USING (restaurant_id) JOIN dim_customer c USING (user_id))
@@ -243,19 +244,19 @@ def warehouse_oracles() -> dict[str, str]:
     out["board_revenue_by_month_category"] = cube(
         f"SELECT year_month, category_name, {revenue} FROM {by_cat} GROUP BY 1,2")
     out["board_revenue_by_category"] = cube(
-        f"SELECT category_name, {revenue} FROM {by_cat} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")
+        f"SELECT category_name, {revenue} FROM {by_cat} GROUP BY 1")
     out["board_orders_units_by_month"] = cube(
         f"SELECT year_month, sum(order_count)::BIGINT AS orders, sum(units_sold)::BIGINT AS units "
         f"FROM {by_cat} GROUP BY 1")
     out["board_orders_by_zone"] = cube(
-        f"SELECT zone_name, sum(order_count)::BIGINT AS orders FROM {by_zone} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+        f"SELECT zone_name, sum(order_count)::BIGINT AS orders FROM {by_zone} GROUP BY 1")
     out["board_revenue_by_zone"] = cube(
         f"SELECT zone_name, sum(round(total_revenue*100)::HUGEINT)::DOUBLE/100 AS revenue "
-        f"FROM {by_zone} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+        f"FROM {by_zone} GROUP BY 1")
     out["board_delivery_by_zone"] = cube(
         f"SELECT zone_name, sum(round(avg_distance_km*100)::HUGEINT)::DOUBLE/(count(avg_distance_km)*100)::DOUBLE "
         f"AS avg_km, sum(round(avg_delivery_min*10)::HUGEINT)::DOUBLE/(count(avg_delivery_min)*10)::DOUBLE AS avg_min "
-        f"FROM {by_zone} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+        f"FROM {by_zone} GROUP BY 1")
     out["board_status_over_time"] = cube(
         f"SELECT year_month, status, sum(order_count)::BIGINT AS orders FROM {by_status} GROUP BY 1,2")
     out["board_status_distribution"] = cube(
@@ -280,11 +281,11 @@ delivered_to AS (
   SELECT order_id, dest_zone AS zone, distance_km, eta_min::DOUBLE AS eta_min, status
   FROM deliveries WHERE dest_zone IN (SELECT zone FROM zones)),
 visits AS (SELECT DISTINCT user_id, restaurant_id FROM o_orders WHERE restaurant_id IS NOT NULL),
-recommended AS (
-  SELECT DISTINCT a.user_id AS from_user, b.user_id AS to_user, a.restaurant_id AS via_restaurant
-  FROM visits a JOIN visits b ON a.restaurant_id=b.restaurant_id AND a.user_id<b.user_id
-  ORDER BY to_user, from_user, via_restaurant LIMIT 300),
-recommends AS (SELECT DISTINCT from_user, to_user FROM recommended)
+visitors AS (
+  SELECT user_id, restaurant_id AS via_restaurant,
+         row_number() OVER (PARTITION BY restaurant_id ORDER BY user_id)-1 AS recommended_by,
+         count(*) OVER (PARTITION BY restaurant_id)-row_number() OVER (PARTITION BY restaurant_id ORDER BY user_id) AS recommends
+  FROM visits)
 """
 
 NETWORK = f"""
@@ -318,14 +319,16 @@ levels AS (
 """
 
 PAGERANK = """
-weighted AS (
-  SELECT from_user AS src, to_user AS dst, 1.0::DOUBLE/count(*) OVER (PARTITION BY from_user) AS w FROM recommends
-  UNION ALL SELECT id, id, 0.0 FROM users),
+weights AS (SELECT user_id, sum(recommends)::DOUBLE AS edges FROM visitors GROUP BY user_id),
 pagerank AS (
-  SELECT id, 0.15::DOUBLE AS score, 0 AS k FROM users
+  SELECT user_id AS id, 0.15::DOUBLE AS score, 0 AS k FROM weights
   UNION ALL
-  SELECT e.dst, 0.15::DOUBLE+0.85::DOUBLE*sum(p.score*e.w), p.k+1
-  FROM pagerank p JOIN weighted e ON e.src=p.id WHERE p.k<20 GROUP BY e.dst, p.k)
+  SELECT id, 0.15::DOUBLE+0.85::DOUBLE*coalesce(sum(part),0), k+1
+  FROM (
+    SELECT v.user_id AS id, p.k, sum(CASE WHEN w.edges>0 THEN p.score/w.edges ELSE 0 END) OVER (
+             PARTITION BY v.via_restaurant ORDER BY v.user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS part
+    FROM pagerank p JOIN visitors v ON v.user_id=p.id JOIN weights w ON w.user_id=p.id WHERE p.k<20)
+  GROUP BY id, k)
 """
 
 DISPATCH = f"""
@@ -385,7 +388,7 @@ def graph_oracles() -> dict[str, str]:
         "graph_contains": graph("SELECT * FROM contains"),
         "graph_delivered_to": graph("SELECT * FROM delivered_to"),
         "graph_assigned": _sql("SELECT DISTINCT courier_id, order_id FROM deliveries WHERE courier_id IS NOT NULL"),
-        "graph_recommends": graph("SELECT * FROM recommended"),
+        "graph_recommends": graph("SELECT * FROM visitors"),
         "graph_label_counts": graph(
             "SELECT * FROM (SELECT 'User' AS label, count(*) AS nodes FROM users "
             "UNION ALL SELECT 'Restaurant', count(*) FROM restaurants "
@@ -401,11 +404,11 @@ def graph_oracles() -> dict[str, str]:
             "JOIN nodes_product a ON a.prod_id=x.prod_id JOIN nodes_product b ON b.prod_id=y.prod_id "
             "GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 5"),
         "influencers_degree": graph(
-            "SELECT u.name AS user_name, u.zone, count(DISTINCT to_user) AS recommended_users "
-            "FROM recommends JOIN users u ON u.id=from_user GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 10"),
+            "SELECT u.name AS user_name, u.zone, sum(recommends)::BIGINT AS recommended_users "
+            "FROM visitors JOIN users u ON u.id=user_id GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 10"),
         "influencers_pagerank": _sql(
-            "SELECT name AS user_name, zone, round(score,4) AS pagerank_score FROM pagerank JOIN users USING (id) "
-            "WHERE k=20 ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, PAGERANK),
+            "SELECT name AS user_name, zone, round(coalesce(score,0.15::DOUBLE),4) AS pagerank_score FROM users "
+            "LEFT JOIN (SELECT * FROM pagerank WHERE k=20) USING (id) ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, PAGERANK),
         "shortest_hops": _sql(
             "SELECT array_to_string(p.route,'>') AS route, "
             "array_to_string([printf('%.2f',x) FOR x IN p.legs],'>') AS legs_km, round(list_sum(p.legs),2) AS total_km "

@@ -23,8 +23,20 @@ def test_recommendations(spark, small):
     every = sorted(((a, b, r) for r, us in at.items() for a, b in itertools.combinations(sorted(us), 2)),
                    key=lambda e: (e[1], e[0], e[2]))
     for limit in (1, 7, 40, 300, len(every) + 5):
-        got = [tuple(row) for row in graph.recommendations(t, limit).collect()]
+        got = [tuple(row) for row in graph.first_recommendations(t, limit).collect()]
         assert got == every[:limit]
+    recommends, recommended_by = Counter(), Counter()
+    for a, b, r in every:
+        recommends[a, r] += 1
+        recommended_by[b, r] += 1
+    visits_ = graph.recommendations(t)
+    assert {(r.user_id, r.via_restaurant): (r.recommended_by, r.recommends) for r in visits_.collect()} == {
+        (u, r): (recommended_by[u, r], recommends[u, r]) for r, us in at.items() for u in us}
+    out = Counter(a for a, _, _ in every)
+    users = spark.createDataFrame([(u, f"u{u:03d}", "z") for u in range(120)], "user_id long, name string, zone string")
+    best = sorted(out.items(), key=lambda x: (-x[1], x[0]))[:10]
+    assert [(r.user_name, r.recommended_users) for r in influence.degree(visits_, users).collect()] == [
+        (f"u{u:03d}", n) for u, n in best]
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -62,34 +74,41 @@ def test_top_products(spark):
     assert [(r.category, [tuple(b) for b in r.best]) for r in row] == [("A", [("w", 9), ("x", 4), ("y", 3)])]
 
 
-def brute_pagerank(edges, rounds):
+def brute_pagerank(visits, rounds):
+    at = defaultdict(set)
+    for u, r in visits:
+        at[r].add(u)
+    edges = [(a, b) for us in at.values() for a, b in itertools.combinations(sorted(us), 2)]
     out = Counter(s for s, _ in edges)
-    nodes = {n for e in edges for n in e}
-    score = dict.fromkeys(nodes, 0.15)
+    score = {u: 0.15 for u, _ in visits}
     for _ in range(rounds):
-        new = dict.fromkeys(nodes, 0.15)
+        new = dict.fromkeys(score, 0.15)
         for s, d in edges:
             new[d] += 0.85 * score[s] / out[s]
         score = new
-    return {n: score[n] for n in nodes if any(d == n for _, d in edges)}
+    return score
 
 
-@pytest.mark.parametrize("rounds", [3, 20])
-def test_pagerank(spark, rounds):
+@pytest.mark.parametrize("rounds", [1, 3, 20])
+def test_pagerank(spark, small, rounds):
     rng = random.Random(11)
-    edges = {(0, d) for d in range(1, 20)} | {(s, 25) for s in range(1, 20)}  # a hub on each side
-    edges |= {(a, b) for a, b in ((rng.randrange(40), rng.randrange(40)) for _ in range(120)) if a != b}
-    df = spark.createDataFrame(sorted(edges), "src long, dst long")
-    got = {r.id: r.score for r in influence.pagerank(df, max_iterations=rounds, tolerance=0.0).collect()}
-    expected = brute_pagerank(edges, rounds)
-    assert got.keys() == expected.keys()
-    assert all(abs(got[n] - expected[n]) < 1e-9 for n in got)
+    visits = {(u, 0) for u in range(0, 400_000, 9_000)}  # one restaurant over several ranges of ids
+    visits |= {(9_000 * rng.randrange(45), rng.randrange(1, 6)) for _ in range(60)} | {(7, 9)}
+    rows = [(i, u, r, None, "completed", 1.0, "card") for i, (u, r) in enumerate(sorted(visits))]
+    recommendations = graph.recommendations(replace(small, orders=spark.createDataFrame(rows, small.orders.schema)))
+    got = {r.id: r.score for r in influence.pagerank(recommendations, max_iterations=rounds, tolerance=0.0).collect()}
+    expected = brute_pagerank(visits, rounds)
+    assert got.keys() == expected.keys() and all(abs(got[n] - expected[n]) < 1e-9 for n in got)
 
 
-def test_pagerank_stops_when_nothing_moves(spark):
-    df = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
-    got = {r.id: round(r.score, 6) for r in influence.pagerank(df).collect()}
-    assert got == {2: 0.2775, 3: 0.385875}
+def test_large_baskets_are_cut_into_blocks(spark):
+    """An order of 500 names: no key holds more than two blocks of names, and all pairs are counted."""
+    lines = spark.range(500).selectExpr("1L AS order_id", "id AS prod_id")
+    names = spark.range(500).selectExpr("id AS prod_id", "concat('n', lpad(id, 3, '0')) AS name")
+    top = basket.copurchase(lines, names, limit=200_000)
+    assert top.count() == 500 * 499 // 2
+    baskets = basket._names_in_orders(lines, names)
+    assert basket._pair_orders(baskets).agg({"orders_together": "max"}).first()[0] == 1
 
 
 def random_network(seed):
@@ -139,14 +158,16 @@ def test_lightest_paths(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_all_distances(spark, seed):
+def test_zone_distance(spark, seed):
+    """From some nodes only; without a path the distance is 999."""
     nodes, edges = random_network(seed)
     df = paths.both_ways(spark.createDataFrame([(a, b, km) for (a, b), km in edges.items()],
                                                "src string, dst string, km double"))
-    got = paths.all_distances(spark.createDataFrame([(n,) for n in nodes], "node string"), df).collect()
-    for n in nodes:
-        expected = {m: round(km, 2) for m, km in dijkstra(nodes, edges, n).items()}
-        assert {r.dst: r.km for r in got if r.src == n} == expected
+    pairs = [(a, b) for a in nodes[::3] for b in nodes]
+    got = paths.zone_distance(spark.createDataFrame(pairs, "from_zone string, to_zone string"), df).collect()
+    assert len(got) == len(pairs)
+    for r in got:
+        assert r.distance_km == round(dijkstra(nodes, edges, r.from_zone).get(r.to_zone, 999.0), 2)
 
 
 def test_fewest_hops(spark):

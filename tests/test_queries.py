@@ -1,13 +1,17 @@
 """Every registered query against its SQL on the smallest tables, and its plan."""
 
+import re
+
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from comanda.plans.registry import all_queries
+from oracles import all_oracles
 from tests.conftest import SF_DIR
 from tools.check_oracles import TABLES, compare
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +24,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def plan_of(df):
@@ -45,5 +50,23 @@ def test_scans_read_only_their_columns(spark):
 
 
 def test_group_limits_before_the_shuffle(spark):
-    for name in ("graph_recommends", "top3_per_category"):
-        assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, SF_DIR))
+    assert "WindowGroupLimit" in plan_of(QUERIES["top3_per_category"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(("name", "most"), [
+    ("mart_executive_summary", {"orders": 1, "customer": 1, "supplier": 1}),
+    ("mart_monthly_growth", {"customer": 1}),
+    ("courier_top_zone", {"orders": 3, "customer": 3}),
+])
+def test_tables_are_not_read_again(spark, name, most):
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    for table, times in most.items():
+        assert len(re.findall(rf"InMemoryFileIndex[^\n]*/{table}\.parquet", plan)) <= times, (table, plan)
+
+
+def test_rows_made_for_recommendations(spark):
+    """One row for each visit, not for each pair of visitors."""
+    visits = QUERIES["graph_recommends"](spark, SF_DIR)
+    assert visits.count() <= spark.read.parquet(f"{SF_DIR}/orders.parquet").count()

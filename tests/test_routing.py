@@ -15,9 +15,14 @@ def zones(spark):
 
 
 @pytest.fixture(scope="module")
-def distances(zones):
-    network = graph.zone_routes(zones).selectExpr("from_zone src", "to_zone dst", "distance_km km")
-    return paths.zone_distance(zones, network, graph.direct_distances(zones))
+def network(zones):
+    return graph.zone_routes(zones).selectExpr("from_zone src", "to_zone dst", "distance_km km")
+
+
+@pytest.fixture(scope="module")
+def distances(zones, network):
+    pairs = network.selectExpr("src from_zone", "dst to_zone").union(zones.selectExpr("zone", "zone"))
+    return paths.zone_distance(pairs, network)
 
 
 def test_zone_network(zones, distances):
@@ -44,10 +49,10 @@ def fleet(spark, rows, zones):
     return routing.couriers_at_base(df, zones)
 
 
-def test_known_dispatch(spark, zones, distances, tmp_path):
+def test_known_dispatch(spark, zones, network, tmp_path):
     orders = sorted((order, zone, 1) for *_, stops in ROUTES for order, zone, _ in stops)
     couriers = fleet(spark, [(c, f"c{c}", "moto", base) for c, base, _, _ in ROUTES], zones)
-    routes = routing.assign_routes(pending(spark, orders, zones), couriers, distances)
+    routes = routing.assign_routes(pending(spark, orders, zones), couriers, network)
     got = {}
     for r in routes.orderBy("courier_id", "seq").collect():
         got.setdefault(r.courier_id, []).append((r.order_id, r.dest_zone, round(r.distance_km, 2)))
@@ -79,7 +84,7 @@ def greedy(orders, couriers, position, km):
     return out
 
 
-def test_batches_are_independent(spark, zones, distances):
+def test_batches_are_independent(spark, zones, network, distances):
     import numpy as np
     import random
 
@@ -90,7 +95,7 @@ def test_batches_are_independent(spark, zones, distances):
     orders = [(i, rng.choice(names), i // 9) for i in range(60)]
     bases = [(1, "zona_9"), (2, "unknown"), (4, "antigua"), (7, "zona_1")]
     couriers = fleet(spark, [(c, "c", "moto", z) for c, z in bases], zones)
-    routes = routing.assign_routes(pending(spark, orders, zones), couriers, distances, batch_size=9)
+    routes = routing.assign_routes(pending(spark, orders, zones), couriers, network, batch_size=9)
     got = {}
     for r in routes.orderBy("batch", "courier_id", "seq").collect():
         got.setdefault(r.batch, []).append((r.courier_id, r.seq, r.order_id, r.dest_zone, round(r.distance_km, 6)))
@@ -99,16 +104,18 @@ def test_batches_are_independent(spark, zones, distances):
         assert got[batch] == greedy([(o, z) for o, z, b in orders if b == batch], start, position, km)
 
 
-def test_more_couriers_than_a_batch_holds(spark, zones, distances):
-    couriers = fleet(spark, [(c, "c", "moto", "zona_1") for c in range(1, 30)], zones)
-    orders = [(i, "zona_4", i // 5) for i in range(12)]
-    routes = routing.assign_routes(pending(spark, orders, zones), couriers, distances, batch_size=5).collect()
-    assert len(routes) == 12 and max(r.courier_id for r in routes) == 5 and {r.seq for r in routes} == {1}
+def test_more_couriers_than_a_batch_holds(spark, zones, network):
+    """A fleet of 70 takes turns: 150 orders in batches of 60 reach everybody."""
+    couriers = fleet(spark, [(10 * c, "c", "moto", "zona_1") for c in range(1, 71)], zones)
+    orders = [(i, "zona_4", i // 60 + 1) for i in range(150)]
+    routes = routing.assign_routes(pending(spark, orders, zones), couriers, network).collect()
+    assert len(routes) == 150 and {r.courier_id for r in routes} == {10 * c for c in range(1, 71)} and {r.seq for r in routes} == {1}
+    assert {r.courier_id for r in routes if r.batch == 1} == {10 * c for c in range(1, 61)}
 
 
-def test_nothing_to_dispatch(spark, zones, distances):
+def test_nothing_to_dispatch(spark, zones, network):
     orders = pending(spark, [(1, "zona_4", 1)], zones)
-    assert routing.assign_routes(orders, fleet(spark, [], zones), distances).isEmpty()
+    assert routing.assign_routes(orders, fleet(spark, [], zones), network).isEmpty()
 
 
 def test_pending_batches(spark, small):

@@ -9,15 +9,17 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
+from comanda.operators.facts import FACT_ORDER_ITEMS
+from comanda.plans.registry import all_queries, star
+from oracles import all_oracles
 from tests.conftest import SF_DIR
 from tools.check_oracles import TABLES, compare
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 NAMES = [
     "fact_orders", "fact_order_items", "items_per_order", "cube_revenue_month_category", "cube_orders_by_zone",
     "cube_product_ranking", "mart_monthly_growth", "mart_executive_summary", "graph_contains", "graph_recommends",
-    "copurchase_top5", "influencers_pagerank", "top3_per_category", "route_summary", "dq_referential",
+    "copurchase_top5", "influencers_degree", "influencers_pagerank", "top3_per_category", "route_summary", "dq_referential",
 ]
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -82,6 +84,6 @@ def test_one_partition(spark, skewed, con, name):
 def test_split_of_a_hot_partition(spark, skewed, con):
     """The join on the hot customer is split by the adaptive plan."""
     with settings(spark):
-        df = QUERIES["fact_order_items"](spark, skewed)
+        df = star(spark, skewed).items(*FACT_ORDER_ITEMS[1:])
         df.collect()
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()

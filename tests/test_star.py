@@ -142,3 +142,28 @@ def test_gate_lists_every_failure(spark):
     quality.gate(quality.all_checks(marts_, min_orders=10, max_nulls=2))
     with pytest.raises(quality.QualityError, match="null revenue"):
         quality.gate(quality.all_checks(marts_, min_orders=10))
+
+
+def test_zone_names(spark, small):
+    """The warehouse and the graph have a name of their own for one zone."""
+    from dataclasses import replace
+
+    from comanda.operators import dims, graph
+    from comanda.sources.operational import default_zones
+
+    zones = default_zones(spark)
+    assert {r.zone_name for r in dims.dim_location(zones).filter("zone = 'antigua'").collect()} == {"Antigua"}
+    named = graph.locations(replace(small, zones=zones))
+    assert {r.zone: r.zone_name for r in named.collect()}["antigua"] == "Antigua Guatemala"
+
+
+def test_last_line_with_large_quantities(spark, small):
+    """The last of repeated lines has the largest amount, whatever the quantities."""
+    from dataclasses import replace
+
+    from comanda.operators import graph
+    from comanda.plans.registry import _last_line
+
+    lines = spark.createDataFrame([(1, 100, 10, 1 << 25, 0.01, 5.0), (2, 100, 10, 1, 6.0, 6.0)],
+                                  "id long, order_id long, product_id long, quantity int, unit_price double, line_total double")
+    assert graph.contains(replace(small, order_items=lines), _last_line()).first().line_total == 6.0
