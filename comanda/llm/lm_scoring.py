@@ -290,7 +290,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     n, v = counted.filter("chunk is null").agg(F.sum("n"), F.sum("v")).first()
     n, v = n or 0, v or 0
     size = -(-min(MAX_BITS, max(1 << 12, 8 * n)) >> bits) // 64 * 64 or 64
-    parts = filter_segments(stored, bits, size).collect()  # MAX_BITS at most
+    # MAX_BITS at most, fetched some rows at a time so that the driver holds them once
+    parts = _written(filter_segments(stored, bits, size), "lm-filter").toLocalIterator()
     data = np.zeros(size << bits >> 3, np.uint8)
     for shard, part in parts:
         data[shard * size >> 3:(shard + 1) * size >> 3] = np.frombuffer(part, np.uint8)
