@@ -116,3 +116,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         F.col("doc_id").alias(found_id), F.col("text_hash").alias(found_text)).distinct())
     return docs.join(small(found, found.count()), F.col(doc_id).eqNullSafe(F.col(found_id))
                      & (F.xxhash64(text_col) == F.col(found_text)), "left_anti")
+
+
+def oracle_sql() -> str:
+    """The query over ``documents`` and ``benchmark`` in DuckDB's SQL, by plain joins of shingles."""
+    tokens = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, doc_id, w
+  FROM (SELECT DISTINCT doc_id, text FROM documents), LATERAL (SELECT {tokens} AS w)),
+items AS (
+  SELECT row_number() OVER () AS item, item_id, w, least({WIDTH}, len(w)) AS width
+  FROM (SELECT item_id, {tokens} AS w FROM benchmark) WHERE len(w) > 0),
+item_shingles AS (
+  SELECT DISTINCT item, item_id, width, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM items, LATERAL (SELECT unnest(range(1, len(w) - width + 2)) AS i)),
+doc_shingles AS (
+  SELECT DISTINCT doc, doc_id, width, array_to_string(w[i:i + width - 1], ' ') AS s
+  FROM docs, (SELECT DISTINCT width FROM items), LATERAL (SELECT unnest(range(1, len(w) - width + 2)) AS i)),
+sizes AS (SELECT item, count(*) AS n FROM item_shingles GROUP BY item),
+shared AS (
+  SELECT doc, doc_id, item, item_id, count(*) AS shared
+  FROM doc_shingles JOIN item_shingles USING (width, s) GROUP BY ALL)
+SELECT doc_id, item_id, max_by(shared, shared / n) AS shared, max_by(n, shared / n) AS item_shingles
+FROM shared JOIN sizes USING (item) WHERE shared * 100 >= n * {PERCENT} GROUP BY doc, doc_id, item_id"""

@@ -96,4 +96,5 @@ def all_queries() -> dict[str, Query]:
 def all_oracles() -> dict[str, str]:
     return {
         "op3_license_scan": license_scan.oracle_sql(),
+        "op7_decontaminate": decontaminate.oracle_sql(),
     }

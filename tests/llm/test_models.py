@@ -22,11 +22,13 @@ def test_registered():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 11)) and len(names) == 10
 
 
-def test_licence_query_against_sql(spark):
+@pytest.mark.parametrize("name", list(queries.all_oracles()))
+def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
-    theirs = con.execute(queries.all_oracles()["op3_license_scan"]).fetchall()
-    mine = [tuple(r) for r in queries.all_queries()["op3_license_scan"](spark, SMALL).collect()]
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
+    theirs = con.execute(queries.all_oracles()[name]).fetchall()
+    mine = [tuple(r) for r in queries.all_queries()[name](spark, SMALL).collect()]
     assert sorted(mine) == sorted(theirs) and mine
 
 
