@@ -56,14 +56,11 @@ def bag(texts: pa.Array) -> Bag:
     return Bag(starts, codes, by_word, np.stack([size_of, ratio_of], 1))
 
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(values, 0, dtype=np.float64)])
-    return total[starts[1:]] - total[starts[:-1]]
-
-
 def logits(b: Bag, weights: np.ndarray) -> np.ndarray:
     by_word = weights[b.by_word].sum(1)
-    return _sums(by_word[b.codes], b.starts) / np.sqrt(np.maximum(b.sizes, 1))[:, None] + weights[b.by_text].sum(1)
+    owner = np.repeat(np.arange(len(b.sizes)), b.sizes)
+    sums = np.stack([np.bincount(owner, by_word[b.codes, k], len(b.sizes)) for k in range(weights.shape[1])], 1)
+    return sums / np.sqrt(np.maximum(b.sizes, 1))[:, None] + weights[b.by_text].sum(1)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:

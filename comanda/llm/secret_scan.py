@@ -91,47 +91,44 @@ def _log_upper(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(F.log1p(-F.exp(tail)))
 
 
-def _evidence(token: Column, encoding: Encoding) -> Column:
+def _evidence(token: Column, e: Column) -> Column:
     """-ln of the combined p-value of a token in an encoding: how unlike an ordinary token it is."""
     n = F.length(token).cast("double")
-    size = len(encoding.alphabet)
-    letters = F.array(*(F.lit(c) for c in encoding.alphabet))
-    squares = F.aggregate(letters, F.lit(0.0), lambda a, c: a + F.pow(
+    counts = F.aggregate(F.split(e["alphabet"], ""), F.lit(0.0), lambda a, c: a + F.pow(
         (F.length(token) - F.length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0)))
-    chi = squares * size / n - n
-    usual = size * ((n - 1) * encoding.squares + 1) - n
-    spread = size / n * F.sqrt(
-        4 * n * (n - 1) * (n - 2) * max(encoding.cubes - encoding.squares**2, 0.0)
-        + 2 * n * (n - 1) * (encoding.squares - encoding.squares**2))
-    uniform = (usual - chi) / spread
+    usual = e["size"] * ((n - 1) * e["squares"] + 1) - n
+    spread = e["size"] / n * F.sqrt(
+        4 * n * (n - 1) * (n - 2) * F.greatest(e["cubes"] - e["squares"] * e["squares"], F.lit(0.0))
+        + 2 * n * (n - 1) * (e["squares"] - e["squares"] * e["squares"]))
+    uniform = (usual - (counts * e["size"] / n - n)) / spread
 
     kinds = F.regexp_count(token, F.lit("[A-Z]+|[a-z]+|[0-9]+|[+/]+")) - 1
     runs = (kinds - 0.5 - (n - 1) * SWITCH) / F.sqrt((n - 1) * SWITCH * (1 - SWITCH))
 
-    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(encoding.alphabet), c).cast("double"))
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(e["alphabet"], c).cast("double"))
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
     def drift(x: Column) -> Column:
-        mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
-        return let(F.transform(x, lambda v: v - mean), lambda d: F.try_divide(
-            F.aggregate(F.zip_with(F.slice(d, 1, F.size(d) - 1), F.slice(d, F.lit(2), F.size(d) - 1), lambda a, b: a * b),
-                        F.lit(0.0), lambda a, v: a + v),
-            F.aggregate(d, F.lit(0.0), lambda a, v: a + v * v)))
+        return let(total(x) / F.size(x), lambda mean: let(F.transform(x, lambda v: v - mean), lambda d: F.try_divide(
+            total(F.zip_with(F.slice(d, 1, F.size(d) - 1), F.slice(d, F.lit(2), F.size(d) - 1), lambda a, b: a * b)),
+            total(F.transform(d, lambda v: v * v)))))
 
     serial = (DRIFT - F.abs(F.coalesce(let(codes, drift), F.lit(1.0)))) * F.sqrt(n)
-    y = -(_log_upper(uniform) + _log_upper(runs) + _log_upper(serial))
+    y = -total(F.transform(F.array(uniform, runs, serial), _log_upper))
     return let(y, lambda v: v - F.log(1 + v + v * v / 2))  # Fisher: chi-squared with six degrees of freedom
 
 
 def _battery(token: Column) -> Column:
     """(encoding, evidence) of a token by the first alphabet that fits; null for a token without letters."""
     plain = F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/")
+    listed = F.array(*(F.struct(
+        F.lit(e.name).alias("name"), F.lit(e.alphabet).alias("alphabet"), F.lit(float(len(e.alphabet))).alias("size"),
+        F.lit(e.squares).alias("squares"), F.lit(e.cubes).alias("cubes")) for e in ENCODINGS))
 
     def choose(t: Column) -> Column:
-        out = F.lit(None).cast("struct<encoding:string,evidence:double>")
-        for e in reversed(ENCODINGS):
-            out = F.when(t.rlike(e.pattern), F.struct(
-                F.lit(e.name).alias("encoding"), _evidence(t, e).alias("evidence"))).otherwise(out)
-        return F.when(t.rlike("[A-Za-z]"), out)
+        first = reduce(lambda a, i: F.when(t.rlike(ENCODINGS[i].pattern), i).otherwise(a), reversed(range(len(ENCODINGS))), F.lit(None))
+        return F.when(t.rlike("[A-Za-z]"), let(F.get(listed, first), lambda e: F.when(e.isNotNull(), F.struct(
+            e["name"].alias("encoding"), _evidence(t, e).alias("evidence")))))
 
     return let(plain, choose)
 
@@ -149,9 +146,7 @@ def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FAL
     body = fresh(docs, "body")
     col = {k: F.col(n) for k, n in names.items()}
     text = F.col(body)
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    if keep_text:
-        keep = [F.col(f"`{c}`") for c in docs.columns]
+    keep = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col]
     found = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(body))
     all_of = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     found = found.withColumns({
