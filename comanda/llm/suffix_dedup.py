@@ -82,8 +82,9 @@ class Runs:
             length = np.diff(np.append(cut, len(valid)))
         first = valid[cut]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(word) * self.up[:size], dtype=np.uint64)])
+        # the smallest of many hashes is small: mixed again, its upper bits deal evenly
         content = (sums[first + length + LENGTH - 8] - sums[first]) * self.down[first] + length.astype(np.uint64) * _D
-        return first, length.astype(np.int32), text[cut].astype(np.int32), key[cut], _mix(content)
+        return first, length.astype(np.int32), text[cut].astype(np.int32), _mix(key[cut] * _D), _mix(content)
 
     @staticmethod
     def _pieces(word: np.ndarray) -> np.ndarray:
