@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but these ASCII white-space characters (the ones bytes.split() knows).
-SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
