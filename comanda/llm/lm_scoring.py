@@ -7,8 +7,8 @@ holds more than its part of the distinct entries. Exact counts of the words go b
 
 The model is a log-frequency Bloom filter (Talbot and Osborne, 2007): an n-gram with count c is stored once for every
 level 1..1 + floor(log2 c), and its count is read back by probing level after level until one is missing. The filter
-grows with the corpus up to ``MAX_BITS``; from there on each shard keeps its n-grams with the highest levels, so that
-the load, and with it the error of a probe, stays as it is. It is the only thing that is broadcast.
+grows with the corpus, so it is not broadcast: each shard makes the segment for its bigrams, with room for all of them,
+and answers the chunks that asked, as with the words. Words need no filter, their counts are exact.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from comanda.session import ensure_checkpoint_dir
 
 CHUNK_BYTES = 8 << 20  # of text in a chunk
 SHARD_BYTES = 16 << 20  # of text for each shard of the counts
-MAX_BITS = 1 << 29  # of the filter: 64 MB
 BITS_PER_ENTRY = 7.2  # with four probes about 3 % of unknown entries seem known
 PROBES = 4
 PRIOR = 10.0  # weight of the unigram probability in a bigram's
@@ -49,10 +48,6 @@ def _bigram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(before * _A + word)
 
 
-def _unigram(word: np.ndarray) -> np.ndarray:
-    return _mix(word ^ _C)
-
-
 def _training(doc_id: object) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 5 != 1
 
@@ -184,13 +179,21 @@ def _place(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
     return ((h & np.uint64(0xFFFFFFFF)) + np.uint64(probe) * step) % np.uint64(size)
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64), MAX_LEVEL)
+
+
+def segment_bits(counts: np.ndarray) -> int:
+    """Bits that hold n-grams with these counts at all their levels."""
+    return (int(_levels(counts).sum() * BITS_PER_ENTRY) // 64 + 1) * 64
+
+
 def segment(keys: np.ndarray, counts: np.ndarray, size: int) -> bytes:
     """A shard's part of the filter: its n-grams at every level up to that of their count.
 
-    If they are too many for ``size`` bits, those of the lowest level (the rarest) are left to the unigram part.
+    In ``segment_bits`` all have room; in less, those of the lowest level (the rarest) are left out.
     """
-    levels = 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
-    levels = np.minimum(levels, MAX_LEVEL)
+    levels = _levels(counts)
     by_level = np.bincount(levels, minlength=MAX_LEVEL + 1) * np.arange(MAX_LEVEL + 1)
     above = by_level[::-1].cumsum()[::-1]
     fits = np.flatnonzero(above <= size / BITS_PER_ENTRY)
@@ -205,13 +208,13 @@ def segment(keys: np.ndarray, counts: np.ndarray, size: int) -> bytes:
 
 
 class LogFrequencyFilter:
-    """All segments in one array of bytes; ``count`` reads quantised counts of n-gram hashes."""
+    """Segments in one array of bytes; ``count`` reads quantised counts of n-gram hashes."""
 
     def __init__(self, data: np.ndarray, bits: int, size: int):
         self.data, self.bits, self.size = data, bits, size
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """The middle of the range of counts of the highest level found; 0 for what isn't stored."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The highest level found; 0 for what isn't stored."""
         keys = _short(keys, self.bits)
         shard = keys >> np.uint64(64 - self.bits) if self.bits else np.zeros(len(keys), np.uint64)
         base = shard * np.uint64(self.size)
@@ -225,48 +228,65 @@ class LogFrequencyFilter:
             if not len(left):
                 break
             level[left] = at
-        return np.where(level > 0, 0.75 * 2.0**level - 0.5, 0.0)
+        return level
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        return quantised(self.levels(keys))
+
+
+def quantised(levels: np.ndarray) -> np.ndarray:
+    """The middle of the range of counts of a level; 0 for level 0."""
+    return np.where(levels > 0, 0.75 * 2.0**levels - 0.5, 0.0)
 
 
-def filter_segments(stored: DataFrame, bits: int, size: int) -> DataFrame:
-    """(shard, data): the parts of the filter, from the words and bigrams of all training texts."""
+def _pairs(tokens: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (token before, token) of a chunk as before * n_words + token, and the place of each token's pair."""
+    return np.unique(_before(tokens).astype(np.int64) * n_words + tokens, return_inverse=True)
+
+
+def pair_levels(stored: DataFrame, bits: int) -> DataFrame:
+    """The filter's answer for each chunk's distinct bigrams: (chunk, shard, answer: a level for each, 0 if unknown).
+
+    A shard builds its segment from the training counts, as large as its own entries need, and answers the chunks.
+    """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(_column(batch, c) for c in ("words", "counts", "sizes", "train", "tokens"))):
-                words, counts, sizes, train, tokens = (
-                    np.frombuffer(x.as_buffer(), t) for x, t in zip(row, (np.uint64, np.int64, np.int32, bool, np.int32)))
-                before = _before(tokens)
-                of_training = np.repeat(train, sizes)
-                pairs, often = np.unique(
-                    before[of_training].astype(np.int64) * len(words) + tokens[of_training], return_counts=True)
-                seen = counts > 0
-                keys = np.concatenate([
-                    _unigram(words[seen]), _bigram(words[pairs // len(words)], words[pairs % len(words)])])
-                counts = np.concatenate([counts[seen], often]).astype(np.int32)
+            for row in zip(*(_column(batch, c) for c in ("chunk", "words", "sizes", "train", "tokens"))):
+                words, sizes, train, tokens = (
+                    np.frombuffer(x.as_buffer(), t) for x, t in zip(row[1:], (np.uint64, np.int32, bool, np.int32)))
+                pairs, place = _pairs(tokens, len(words))
+                counts = np.bincount(place[np.repeat(train, sizes)], minlength=len(pairs)).astype(np.int32)
+                keys = _bigram(words[pairs // len(words)], words[pairs % len(words)])
                 order, first = _deal(keys, bits)
                 rows = [(s, order[first[s]:first[s + 1]]) for s in range(1 << bits) if first[s] < first[s + 1]]
                 low = keys.view(np.uint8).reshape(-1, 8)[:, :6]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([s for s, _ in rows], pa.int32()),
+                    pa.array([s for s, _ in rows], pa.int32()), pa.array([row[0].as_py()] * len(rows)),
                     pa.array([low[at].tobytes() for _, at in rows], pa.binary()),
                     pa.array([counts[at].tobytes() for _, at in rows], pa.binary()),
-                ], ["shard", "keys", "counts"])
+                ], ["shard", "chunk", "keys", "counts"])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, "shard"):
-            shard = group.column("shard")[0].as_py()
             low = np.concatenate([np.frombuffer(k.as_buffer(), np.uint8).reshape(-1, 6) for k in group.column("keys")])
             keys = np.zeros((len(low), 8), np.uint8)
             keys[:, :6] = low
-            keys = keys.view(np.uint64).ravel() | (np.uint64(shard) << np.uint64(64 - bits) if bits else np.uint64(0))
-            counts = np.concatenate([np.frombuffer(c.as_buffer(), np.int32) for c in group.column("counts")])
-            keys, place = np.unique(keys, return_inverse=True)
-            data = segment(keys, np.bincount(place, counts, len(keys)), size)
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data], pa.binary())], ["shard", "data"])
+            keys, place = np.unique(keys.view(np.uint64).ravel(), return_inverse=True)
+            parts = [np.frombuffer(c.as_buffer(), np.int32) for c in group.column("counts")]
+            total = np.bincount(place, np.concatenate(parts), len(keys)).astype(np.int64)
+            seen = total > 0
+            size = segment_bits(total[seen])
+            data = np.frombuffer(segment(keys[seen], total[seen], size), np.uint8)
+            levels = LogFrequencyFilter(data, 0, size).levels(keys).astype(np.uint8)
+            answers = np.split(levels[place], np.cumsum([len(p) for p in parts])[:-1])
+            yield pa.RecordBatch.from_arrays([
+                group.column("chunk").combine_chunks(), group.column("shard").combine_chunks(),
+                pa.array([a.tobytes() for a in answers], pa.binary())], ["chunk", "shard", "answer"])
 
-    dealt = stored.select("words", "counts", "sizes", "train", "tokens").mapInArrow(
-        send, "shard int, keys binary, counts binary")
-    return dealt.repartition(1 << bits, "shard").sortWithinPartitions("shard").mapInArrow(build, "shard int, data binary")
+    dealt = stored.select("chunk", "words", "sizes", "train", "tokens").mapInArrow(
+        send, "shard int, chunk string, keys binary, counts binary")
+    dealt = dealt.repartition(1 << bits, "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(answer, "chunk string, shard int, answer binary")
 
 
 def _before(tokens: np.ndarray) -> np.ndarray:
@@ -277,8 +297,8 @@ def _before(tokens: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
-    ``score`` is the log10 probability of the text, words and end: (c(v w) + PRIOR P(w)) / (c(v) + PRIOR), with the
-    counts from the filter and P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). Null and empty texts consist of their end.
+    ``score`` is the log10 probability of the text, words and end: (c(v w) + PRIOR P(w)) / (c(v) + PRIOR), with c(v w)
+    from the filter (at most c(v)), exact c(v) and c(w), and P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). Null and empty texts consist of their end.
     Repeated rows count as often as they are there, in training too; other columns don't matter; of an empty table
     the result is empty.
     """
@@ -289,44 +309,36 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counted = _written(word_counts(stored, bits), "lm-counts")
     n, v = counted.filter("chunk is null").agg(F.sum("n"), F.sum("v")).first()
     n, v = n or 0, v or 0
-    size = -(-min(MAX_BITS, max(1 << 12, 8 * n)) >> bits) // 64 * 64 or 64
-    # MAX_BITS at most, fetched some rows at a time so that the driver holds them once
-    parts = _written(filter_segments(stored, bits, size), "lm-filter").toLocalIterator()
-    data = np.zeros(size << bits >> 3, np.uint8)
-    for shard, part in parts:
-        data[shard * size >> 3:(shard + 1) * size >> 3] = np.frombuffer(part, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(data)
     divisor = n + 0.5 * (v + 1)
 
-    answers = counted.filter("chunk is not null").groupBy(F.col("chunk").alias("_chunk")).agg(
-        F.collect_list(F.struct("shard", "answer")).alias("answers"))
+    answers = counted.filter("chunk is not null").select("chunk", F.lit(False).alias("of_pairs"), "shard", "answer").unionAll(
+        pair_levels(stored, bits).select("chunk", F.lit(True).alias("of_pairs"), "shard", "answer"))
+    answers = answers.groupBy(F.col("chunk").alias("_chunk")).agg(
+        F.collect_list(F.struct("of_pairs", "shard", "answer")).alias("answers"))
     asked = stored.select("chunk", "ids", "words", "sizes", "train", "tokens").join(
         answers, F.col("chunk") == F.col("_chunk"))
     asked = asked.select("ids", "words", "sizes", "train", "tokens", "answers")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LogFrequencyFilter(shared.value, bits, size)
         for batch in batches:
             for at in range(batch.num_rows):
                 ids = _column(batch, "ids")[at].values
                 words, sizes, train, tokens = (
                     np.frombuffer(_column(batch, c)[at].as_buffer(), t)
                     for c, t in (("words", np.uint64), ("sizes", np.int32), ("train", bool), ("tokens", np.int32)))
-                counts = np.zeros(len(words), np.int64)
-                order, first = _deal(words, bits)
+                pairs, place = _pairs(tokens, len(words))
+                before, word = pairs // len(words), pairs % len(words)
+                counts, levels = np.zeros(len(words), np.int64), np.zeros(len(pairs), np.uint8)
+                dealt = {False: (*_deal(words, bits), counts), True: (*_deal(_bigram(words[before], words[word]), bits), levels)}
                 for answer in _column(batch, "answers")[at].values.to_pylist():
+                    order, first, into = dealt[answer["of_pairs"]]
                     s = answer["shard"]
-                    counts[order[first[s]:first[s + 1]]] = np.frombuffer(answer["answer"], np.int64)
+                    into[order[first[s]:first[s + 1]]] = np.frombuffer(answer["answer"], into.dtype)
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                base = np.log10((counts + 0.5) / divisor)[tokens]
-                singles = model.count(_unigram(words))
-                chance = (singles + 0.5) / divisor
-                before = _before(tokens)
-                logs = np.empty(len(tokens))
-                for a in range(0, len(tokens), 1 << 18):
-                    w, b = tokens[a:a + (1 << 18)], before[a:a + (1 << 18)]
-                    pairs = np.minimum(model.count(_bigram(words[b], words[w])), singles[b])
-                    logs[a:a + (1 << 18)] = np.log10((pairs + PRIOR * chance[w]) / (singles[b] + PRIOR))
+                chance = (counts + 0.5) / divisor
+                base = np.log10(chance)[tokens]
+                often = np.minimum(quantised(levels.astype(np.int64)), counts[before])
+                logs = np.log10((often + PRIOR * chance[word]) / (counts[before] + PRIOR))[place]
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array(~train), pa.array(sizes.astype(np.int64)),
                     pa.array(np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)),

@@ -151,6 +151,26 @@ def test_full_filter_leaves_out_the_rarest():
     assert (read[counts == 100] >= 95).all() and (read[counts == 1] > 0).mean() < 0.06
 
 
+@pytest.mark.parametrize("shard", [1 << 24, 1 << 12])
+def test_every_pair_is_kept(spark, monkeypatch, shard):
+    """New words all the time, so two entries a token; no pair is left out, and words count exactly."""
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", shard)
+    texts = {i: [f"w{i}x{j}" for j in range(60)] + ["\n"] for i in range(50)}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1}
+    n, ends = sum(len(t) for i, t in texts.items() if i not in held), len(texts) - len(held)
+    divisor = n + 0.5 * (ends * 60 + 1 + 1)
+    p = lambda c: (c + 0.5) / divisor
+    docs = spark.createDataFrame([(i, " ".join(t[:-1])) for i, t in texts.items()], "doc_id long, text string")
+    rows = lm_scoring.score(docs).collect()
+    assert held and len(rows) == len(texts)
+    for r in rows:
+        c = 0 if r["held_out"] else 1
+        least = math.log10((c + 10 * p(c)) / (ends + 10)) + 59 * math.log10((c + 10 * p(c)) / (c + 10)) + math.log10(
+            (c + 10 * p(ends)) / (c + 10))
+        # only the pair of the end and a first word can be read too high
+        assert least - 1e-6 <= r["score"] and (r["held_out"] or r["score"] < least + 1.3)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     now = docs
