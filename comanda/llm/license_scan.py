@@ -91,11 +91,33 @@ RULES = [
 ]
 MAX_GAP = 3  # other known sentences between two of a rule
 
+# Sentences and rules that the SQL does not have: parts of the long sentences above, as texts are cut inside them, and more.
+MORE_SENTENCES = {
+    "gpl-terms": [
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+        "foundation either version 3 of the license or at your option any later version"],
+    "gpl-hope": ["this program is distributed in the hope that it will be useful but without any warranty"],
+    "gpl-implied": ["without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "bsd-endorse": [
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission"],
+}
+MORE_RULES = [
+    ("GPL-3.0", ["gpl-terms", "gpl-hope", "gpl-implied"]),
+    ("GPL-3.0", ["gpl-terms", "gpl-copy"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+]
+UNLESS_NEXT = {"BSD-2-Clause": "bsd-endorse"}  # with this sentence next, a rule's end is that of a longer licence
+
 # A sentence ends with its line, or with one of these marks before a space (so that "Version 2.0" stays whole).
 MARK = r"([.!?;:])\x20+"
 # Licences are wrapped at will: a line that goes on with a small letter, perhaps behind comment signs, continues one.
 WRAP = r"[\x20\t]*\r?\n[\x20\t#*/;-]*(\p{Ll})"
 NOT_ALPHANUMERIC = r"[^\p{L}\p{N}]+"
+# In a paragraph every line goes on, whatever its first character, unless a known sentence starts there; "v. 2.0" stays whole.
+PARAGRAPH_MARK = r"((?<!\b[vV])\.|[!?;:])\x20+"
+PARAGRAPH_WRAP = r"[\x20\t]*\r?\n(?!{starts})[^\p{{L}}\p{{N}}\r\n]*(?=[\p{{L}}\p{{N}}])"
+START_WORDS = 3
 
 
 def normal(sentence: Column) -> Column:
@@ -103,26 +125,37 @@ def normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), NOT_ALPHANUMERIC, " "))
 
 
-def _sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, MARK, "$1\n"), r"\n+")
+def _sentences(text: Column, mark: str = MARK) -> Column:
+    return F.split(F.regexp_replace(text, mark, "$1\n"), r"\n+")
+
+
+def _paragraph_wrap(sentences: list[str]) -> str:
+    """Line ends inside a paragraph, but for those before a capital that starts a known sentence."""
+    starts = sorted({tuple(s.split()[:START_WORDS]) for s in sentences if len(s.split()) >= START_WORDS})
+    first = "|".join(
+        w[0][0].upper() + r"(?i:" + r"[^\p{L}\p{N}\r\n]+".join([w[0][1:], *w[1:]]) + r")\b" for w in starts)
+    return PARAGRAPH_WRAP.format(starts=rf"[^\p{{L}}\p{{N}}\r\n]*(?:{first or '(?!)'})")
 
 
 def sentence_ids(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, unwrapped, ids): the identifiers of the known sentences of each text, in order.
 
-    Texts are read line by line and, where lines go on, paragraph by paragraph (``unwrapped``). The sentences are looked
-    up where they are; only those that are known are dealt by document.
+    Texts are read line by line (``unwrapped`` 0), with lines that go on with a small letter joined (1), and paragraph by
+    paragraph (2). The sentences are looked up where they are; only those that are known are dealt by document.
     """
+    listed = [r[0] for r in known.select("sentence").distinct().collect()]  # a few dozen
     text = F.coalesce(F.col(text_col), F.lit(""))
     wrapped = text.rlike(WRAP)
+    none = F.array().cast("array<string>")
     readings = F.array(
-        F.struct(F.lit(False).alias("unwrapped"), _sentences(text).alias("parts")),
-        F.struct(F.lit(True).alias("unwrapped"), F.when(wrapped, _sentences(F.regexp_replace(text, WRAP, " $1"))).otherwise(
-            F.array().cast("array<string>")).alias("parts")))
+        F.struct(F.lit(0).alias("unwrapped"), _sentences(text).alias("parts")),
+        F.struct(F.lit(1).alias("unwrapped"), F.when(wrapped, _sentences(F.regexp_replace(text, WRAP, " $1"))).otherwise(none).alias("parts")),
+        F.struct(F.lit(2).alias("unwrapped"), _sentences(
+            F.regexp_replace(text, _paragraph_wrap(listed), " "), PARAGRAPH_MARK).alias("parts")))
     parts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.explode(readings).alias("r")).select(
         "id", "text_hash", "r.unwrapped", F.posexplode("r.parts").alias("place", "part"))
     # nothing shorter than the shortest known sentence is brought to normal form
-    shortest = known.agg(F.min(F.length("sentence"))).first()[0] or 0
+    shortest = min(map(len, listed), default=0)
     parts = parts.filter(F.length("part") >= shortest).select(
         "id", "text_hash", "unwrapped", "place", normal(F.col("part")).alias("sentence"))
     found = parts.join(small(known, known.count()), "sentence").select(
@@ -132,8 +165,11 @@ def sentence_ids(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text
         "id", "text_hash", "unwrapped", F.transform("s", lambda x: x["sentence_id"]).alias("ids"))
 
 
-def _follows(ids: Column, rule: list[str], max_gap: int) -> Column:
-    """Whether the rule's identifiers are in ``ids``, in order, each within ``max_gap`` others of the one before."""
+def _follows(ids: Column, rule: list[str], max_gap: int, unless_next: str | None = None) -> Column:
+    """Whether the rule's identifiers are in ``ids``, in order, each within ``max_gap`` others of the one before.
+
+    An end with ``unless_next`` next to it does not count.
+    """
     def places(name: str) -> Column:
         return F.filter(F.transform(ids, lambda x, i: F.when(x == name, i)), lambda i: i.isNotNull())
 
@@ -141,7 +177,10 @@ def _follows(ids: Column, rule: list[str], max_gap: int) -> Column:
         return let(reached, lambda r: F.filter(
             places(name), lambda i: F.exists(r, lambda j: (j < i) & (i <= j + 1 + max_gap))))
 
-    return F.size(reduce(after, rule[1:], places(rule[0]))) > 0
+    ends = reduce(after, rule[1:], places(rule[0]))
+    if unless_next is not None:
+        ends = F.filter(ends, lambda i: ~F.coalesce(F.get(ids, i + 1) == unless_next, F.lit(False)))
+    return F.size(ends) > 0
 
 
 def recognise(docs: DataFrame, known: DataFrame, rules: list[tuple[str, list[str]]] | None = None, id_col: str = "doc_id",
@@ -152,8 +191,9 @@ def recognise(docs: DataFrame, known: DataFrame, rules: list[tuple[str, list[str
     repeated rows change nothing; rows with a null id are put together too. Other columns don't matter; documents
     without a licence are not in the result. ``known`` has sentences in normal form; without any, nothing is found.
     """
-    listed = RULES if rules is None else rules
-    matches = F.filter(F.array(*(F.when(_follows(F.col("ids"), ids, max_gap), F.struct(
+    listed = RULES + MORE_RULES if rules is None else rules
+    unless = UNLESS_NEXT if rules is None else {}
+    matches = F.filter(F.array(*(F.when(_follows(F.col("ids"), ids, max_gap, unless.get(licence)), F.struct(
         F.lit(licence).alias("licence"), F.lit(i).alias("rule"))) for i, (licence, ids) in enumerate(listed))),
         lambda x: x.isNotNull())
     found = sentence_ids(docs, known, id_col, text_col).select("id", F.explode(matches).alias("m"))
@@ -164,7 +204,7 @@ def recognise(docs: DataFrame, known: DataFrame, rules: list[tuple[str, list[str
 def known_sentences(spark: SparkSession) -> DataFrame:
     """(sentence, sentence_id): a few dozen rows."""
     return spark.createDataFrame(
-        [(text, name) for name, texts in SENTENCES.items() for text in texts], "sentence string, sentence_id string")
+        [(text, name) for name, texts in (SENTENCES | MORE_SENTENCES).items() for text in texts], "sentence string, sentence_id string")
 
 
 def oracle_sql() -> str:

@@ -262,6 +262,94 @@ def test_messages_agree_with_enumeration():
     assert np.allclose(pii.beliefs(g, p), exact, atol=0.01)
 
 
+MIT_NOTICE = """The MIT License (MIT)
+Copyright (c) 2020 Someone
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+GPL_NOTICE = """    Copyright (C) 2020  Someone
+
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+GPL_COPY = """
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+MPL_NOTICE = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+BSD2_NOTICE = """Copyright (c) 2020, Someone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3_NOTICE = BSD2_NOTICE + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE_NOTICE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+ISC_NOTICE = """Copyright (c) 2020 Someone
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_standard_licence_notices(spark):
+    """The licences' own notices, wrapped, in comments, and on one line."""
+    notices = [
+        (MIT_NOTICE, {"MIT"}), (GPL_NOTICE, {"GPL-3.0"}), (GPL_NOTICE.split("This program is dist")[0] + GPL_COPY, {"GPL-3.0"}),
+        (MPL_NOTICE, {"MPL-2.0"}), (BSD2_NOTICE, {"BSD-2-Clause"}), (BSD3_NOTICE, {"BSD-3-Clause"}),
+        (BSD2_NOTICE + "\nSome code\n\n" + BSD3_NOTICE, {"BSD-2-Clause", "BSD-3-Clause"}), (APACHE_NOTICE, {"Apache-2.0"}),
+        (ISC_NOTICE, {"ISC"})]
+    forms = [str, lambda t: "".join(f" * {line}\r\n" for line in t.splitlines())]
+    docs = [(10 * i + j, form(text), licences) for i, (text, licences) in enumerate(notices) for j, form in enumerate(forms)]
+    for i, at in ((1, 1000), (3, 1001)):
+        docs.append((at, " ".join(line.strip(" /*") for line in notices[i][0].splitlines()).split("Someone")[-1], notices[i][1]))
+    table = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    found = {(r["doc_id"], r["licence"]) for r in license_scan.recognise(table, license_scan.known_sentences(spark)).collect()}
+    assert found == {(i, licence) for i, _, licences in docs for licence in licences}
+
+
 def test_licence_rules(spark):
     mit = license_scan.SENTENCES
     far = ". ".join(["All rights reserved"] * 5)
