@@ -125,6 +125,16 @@ def test_cutoffs_keep_the_good(spark):
     assert {(r["bad"], r["kept"]): r["count"] for r in judged} == {(True, False): 500, (False, True): 4000}
 
 
+def test_good_rows_beside_rejected_ones(spark, no_labels):
+    """A rejected row takes no other row with its id, or without one, along."""
+    good = lambda k: " ".join(f"w{k}n{j}" for j in range(60))
+    rows = [(None, good(1)), (None, "short"), (None, None), (7, good(2)), (7, "short"), (7, good(2)), (8, good(3)), (9, "short")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    kept = quality_rules.keep_good(docs, no_labels)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, good(1)), (7, good(2)), (7, good(2)), (8, good(3))]
+
+
 def test_secret_base(spark, texts):
     assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
