@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, license_scan, lm_scoring, mixing, pii, quality_rules, secret_scan, simhash_dedup, suffix_dedup, toxicity
+from comanda.llm import (
+    byte_bpe, conversation_repair, decontaminate, license_scan, lm_scoring, mixing, pii, quality_rules, secret_scan, simhash_dedup,
+    suffix_dedup, toxicity, whitening,
+)
 from comanda.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +81,34 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    report, repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    digests = conversation_repair.digests(repaired)
+    all_ids = conversations.select("conv_id").distinct()
+    found = all_ids.join(report.withColumnRenamed("conv_id", "_r"), F.col("conv_id").eqNullSafe(F.col("_r")), "left").join(
+        digests.withColumnRenamed("conv_id", "_d"), F.col("conv_id").eqNullSafe(F.col("_d")), "left")
+    return found.select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in (
+            "gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return byte_bpe.decode(encoded, vocabulary).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -90,6 +121,9 @@ def all_queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -97,4 +131,5 @@ def all_oracles() -> dict[str, str]:
     return {
         "op3_license_scan": license_scan.oracle_sql(),
         "op7_decontaminate": decontaminate.oracle_sql(),
+        "op11_conversation_repair": conversation_repair.oracle_sql(),
     }
