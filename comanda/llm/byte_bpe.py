@@ -4,7 +4,8 @@ Texts are cut into pre-tokens, and each pre-token is put down as the number of i
 for some megabytes of text: those numbers, and the block's distinct words dealt to shards by hash. A shard encodes
 each distinct word once, whatever the number of blocks it stands in, and answers the blocks that asked; a block puts the
 ids back in the places of its pre-tokens. A word that is everywhere is one entry per block, so no key is hot; what a task
-holds is one block, or the distinct words of one shard. Blocks are written once, so a lost executor costs only reading.
+holds is one block, or the distinct words of one shard. Blocks are written once, in buckets, so a lost executor costs only
+reading, and the answers are all that is shuffled to them.
 There are never more rows than (block, word) pairs, and as a rule one for each block and shard.
 
 The vocabulary is a file of ranks with a fixed number of entries (at most ``MAX_VOCABULARY``); it is broadcast.
@@ -28,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comanda.llm.text import groups_of
 from comanda.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 16 << 20  # of text in a block
-SHARD_BYTES = 64 << 20  # of text for each shard of the words
+BLOCK_BYTES = 8 << 20  # of text in a block
+BUCKET_BYTES = 64 << 20  # of text for each bucket of blocks
+SHARD_BYTES = 32 << 20  # of text for each shard of the words
 MAX_VOCABULARY = 1 << 20
 SHORT = 48  # bytes up to which a word's pairs are simply looked through again after each merge
 
@@ -45,7 +46,7 @@ NEW = regex.compile("[" + "".join(r"\U%08X-\U%08X" % (int(r.split("-")[0], 16),
 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
 """.split()) + "]")
-STAND_IN = "͸"
+STAND_IN = "\u0378"
 
 
 @dataclass(frozen=True)
@@ -67,8 +68,6 @@ class Vocabulary:
 
 def pieces(text: str, pattern: regex.Pattern) -> list[str]:
     """The pre-tokens of a text, in order; together they are the text."""
-    if not NEW.search(text):
-        return pattern.findall(text)
     cut = np.cumsum([0, *map(len, pattern.findall(NEW.sub(STAND_IN, text)))]).tolist()
     return [text[a:b] for a, b in zip(cut, cut[1:])]
 
@@ -80,11 +79,16 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     parts = [word[i:i + 1] for i in range(len(word))]
     if len(word) > SHORT:
         return [ranks[p] for p in _merged(parts, ranks)]
-    while len(parts) > 1:
-        best, at = min((ranks.get(a + b, MAX_VOCABULARY), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if best == MAX_VOCABULARY:
-            break
+    rank = lambda i: ranks.get(parts[i] + parts[i + 1], MAX_VOCABULARY)
+    pairs = [rank(i) for i in range(len(parts) - 1)]
+    while pairs and (best := min(pairs)) < MAX_VOCABULARY:
+        at = pairs.index(best)
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = rank(at)
+        if at:
+            pairs[at - 1] = rank(at - 1)
     return [ranks[p] for p in parts]
 
 
@@ -111,10 +115,14 @@ def _merged(parts: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class _Numbered(dict):
-    """Numbers words in the order in which they are asked for."""
+    """Numbers words in the order in which they are asked for, and notes whether one has a letter that is too new."""
+
+    new = False
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
+        if not word.isascii() and NEW.search(word):
+            self.new = True
         return number
 
 
@@ -138,11 +146,13 @@ def _block(texts: list[str | None], pattern: regex.Pattern, shards: int) -> tupl
     Words are numbered by their frequency's power of two, then by shard, then by their bytes: common words have small
     numbers, and the sizes of those runs suffice to find a shard's words again.
     """
-    numbered = _Numbered()
-    found = []
-    for text in texts:
-        cut = pieces(text or "", pattern)
-        found.append(np.fromiter(map(numbered.__getitem__, cut), np.uint32, len(cut)))
+    for split in (pattern.findall, lambda text: pieces(text, pattern)):
+        numbered, found = _Numbered(), []
+        for text in texts:
+            cut = split(text or "")
+            found.append(np.fromiter(map(numbered.__getitem__, cut), np.uint32, len(cut)))
+        if not numbered.new:  # else all is cut again, with care; rare, so texts are not looked through beforehand
+            break
     codes = np.concatenate(found)
     words = [w.encode("utf-8", "surrogatepass") for w in numbered]
     level = np.floor(np.log2(np.maximum(np.bincount(codes, minlength=len(words)), 1))).astype(np.int64)
@@ -233,70 +243,82 @@ def _answers(words: DataFrame, vocabulary, shards: int) -> DataFrame:
     return dealt.mapInArrow(encode, "block long, shard int, sizes binary, ids binary")
 
 
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """The rows as files in the shared folder, dealt by block: what is joined by block later finds them in their place."""
+    spark, name = rows.sparkSession, f"bpe_blocks_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(buckets, "block").option("compression", "uncompressed")
+    writer.option("path", f"{ensure_checkpoint_dir(spark)}/{name}").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # from the catalogue; the files stay
+    return stored
+
+
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of runs that begin at ``starts``, one after the other."""
     ends = np.cumsum(sizes)
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids: binary, little-endian unsigned 32-bit numbers) for every row of ``docs``.
-
-    A null text has no ids, like an empty one. Repeated rows, null and repeated ids are rows of their own; other columns
-    don't matter; of an empty table the result is empty. The vocabulary must have all 256 single bytes.
-    """
+def _reassembler(shards: int, id_col: str):
+    """From rows (ids, lengths, stream, runs, answers) to (id, ids of the text)."""
+    def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_ids, *packed, answers in zip(*batch.columns):
+                lengths, stream, runs = (_unpack(x.as_py()) for x in packed)
+                runs = runs.astype(np.int64).reshape(-1, shards)
+                first = (np.cumsum(runs) - runs.ravel()).reshape(runs.shape)
+                size, start = np.zeros(runs.sum(), np.int64), np.zeros(runs.sum(), np.int64)
+                flat, before = [], 0
+                for answer in answers.as_py() or []:  # none if all texts are empty
+                    own = _spread(first[:, answer["shard"]], runs[:, answer["shard"]])
+                    size[own] = _unpack(answer["sizes"])
+                    flat.append(_unpack(answer["ids"]))
+                    start[own] = before + np.cumsum(size[own]) - size[own]
+                    before += len(flat[-1])
+                tokens = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+                ends = np.cumsum(lengths).tolist()
+                out, held, done = [], 0, 0
+                for i, (a, b) in enumerate(zip([0, *ends], ends)):
+                    out.append(tokens[_spread(start[stream[a:b]], size[stream[a:b]])].tobytes())
+                    held += len(out[-1])
+                    if held >= 8 << 20 or i == len(ends) - 1:
+                        yield pa.RecordBatch.from_arrays(
+                            [doc_ids.values[done:i + 1], pa.array(out, pa.binary())], [id_col, "ids"])
+                        out, held, done = [], 0, i + 1
+
+    return reassemble
+
+
+def _asked(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """The blocks with the shards' answers, and the number of shards."""
     spark = docs.sparkSession
     volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = 1 + volume // SHARD_BYTES
-    path = f"{ensure_checkpoint_dir(spark)}/bpe-blocks-{uuid.uuid4().hex}"
-    blocks(docs, id_col, text_col, vocabulary.pattern, shards).write.option("compression", "uncompressed").parquet(path)
-    stored = spark.read.parquet(path)
+    buckets = max(1 + volume // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = _bucketed(blocks(docs, id_col, text_col, vocabulary.pattern, shards), buckets)
     words = stored.select("block", F.posexplode("words").alias("shard", "payload")).filter("payload is not null")
-    answers = _answers(words, spark.sparkContext.broadcast(vocabulary), shards)
-    asked = stored.select("block", F.lit(-1).alias("shard"), "ids", "lengths", "stream", "runs").unionByName(
-        answers.withColumnsRenamed({"sizes": "lengths", "ids": "stream"}), allowMissingColumns=True)
-    asked = asked.repartition("block").sortWithinPartitions("block", "shard")
+    answers = _answers(words, spark.sparkContext.broadcast(vocabulary), shards).repartition(buckets, "block")
+    answers = answers.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("shard", "sizes", "ids")).alias("answers"))
+    asked = stored.join(answers, F.col("block") == F.col("_block"), "left").select("ids", "lengths", "stream", "runs", "answers")
+    return asked, shards
 
-    def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups_of(batches, "block"):
-            place = {s: i for i, s in enumerate(group.column("shard").to_pylist())}  # the block's own row has shard -1
-            at = place.pop(-1)
-            of = lambda name, i: _unpack(group.column(name)[i].as_py())
-            lengths, stream = of("lengths", at), of("stream", at)
-            runs = of("runs", at).astype(np.int64).reshape(-1, shards)
-            first = (np.cumsum(runs) - runs.ravel()).reshape(runs.shape)
-            size, start = np.zeros(runs.sum(), np.int64), np.zeros(runs.sum(), np.int64)
-            flat, before = [], 0
-            for s, i in place.items():
-                own = _spread(first[:, s], runs[:, s])
-                size[own] = of("lengths", i)
-                flat.append(of("stream", i))
-                start[own] = before + np.cumsum(size[own]) - size[own]
-                before += len(flat[-1])
-            tokens = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-            doc_ids, ends = group.column("ids")[at].values, np.cumsum(lengths).tolist()
-            out, held, done = [], 0, 0
-            for i, (a, b) in enumerate(zip([0, *ends], ends)):
-                out.append(tokens[_spread(start[stream[a:b]], size[stream[a:b]])].tobytes())
-                held += len(out[-1])
-                if held >= 8 << 20 or i == len(ends) - 1:
-                    yield pa.RecordBatch.from_arrays([doc_ids[done:i + 1], pa.array(out, pa.binary())], [id_col, "ids"])
-                    out, held, done = [], 0, i + 1
 
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType())])
-    return asked.mapInArrow(reassemble, schema)
+def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids: binary, little-endian unsigned 32-bit numbers) for every row of ``docs``.
 
+    A null text has no ids, like an empty one. Repeated rows, null and repeated ids are rows of their own; other columns
+    don't matter; of an empty table the result is empty. The vocabulary must have all 256 single bytes.
+    """
+    asked, shards = _asked(docs, vocabulary, id_col, text_col)
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType())])
+    return asked.mapInArrow(_reassembler(shards, id_col), schema)
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """The columns of ``encoded`` and the bytes of its ids, by a join with the table of tokens (broadcast, in numpy).
 
-    Null ids decode to null. An id that isn't in the vocabulary is an error.
-    """
-    schema = T.StructType([*encoded.schema.fields, T.StructField(bytes_col, T.BinaryType())])
+def _decoder(spark, vocabulary: Vocabulary, at: int, bytes_col: str):
+    """Adds the bytes of the ids in column ``at``, by a join with the table of tokens (broadcast, in numpy)."""
     by_id = {rank: word for word, rank in vocabulary.ranks.items()}
     words = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
-    table = encoded.sparkSession.sparkContext.broadcast((b"".join(words), np.array([len(w) for w in words], np.int64)))
-    at = encoded.columns.index(ids_col)
+    table = spark.sparkContext.broadcast((b"".join(words), np.array([len(w) for w in words], np.int64)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, size = np.frombuffer(table.value[0], np.uint8), table.value[1]
@@ -313,4 +335,22 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", byt
                 out.append(data[_spread(start[ids], size[ids])].tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, bytes_col])
 
-    return encoded.mapInArrow(look_up, schema)
+    return look_up
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """The columns of ``encoded`` and the bytes of its ids.
+
+    Null ids decode to null. An id that isn't in the vocabulary is an error. Of an empty table the result is empty.
+    """
+    schema = T.StructType([*encoded.schema.fields, T.StructField(bytes_col, T.BinaryType())])
+    return encoded.mapInArrow(_decoder(encoded.sparkSession, vocabulary, encoded.columns.index(ids_col), bytes_col), schema)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, decoded): ``encode`` and then ``decode``, in the same tasks."""
+    asked, shards = _asked(docs, vocabulary, id_col, text_col)
+    there, back = _reassembler(shards, id_col), _decoder(docs.sparkSession, vocabulary, 1, "decoded")
+    schema = T.StructType([
+        T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    return asked.mapInArrow(lambda batches: back(there(batches)), schema)

@@ -99,8 +99,7 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
-    return byte_bpe.decode(encoded, vocabulary).select(
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -175,6 +175,8 @@ def test_ids_are_the_librarys(spark, vocabulary, library, awkward, clashing, mon
     for df in (strange, hot.repartition(5), awkward, clashing):
         want = [(r["doc_id"], library.encode_ordinary(r["text"] or ""), (r["text"] or "").encode()) for r in df.select("doc_id", "text").collect()]
         assert sorted(encoded(df, vocabulary), key=repr) == sorted(want, key=repr)
+        both = byte_bpe.round_trip(df, vocabulary).collect()
+        assert sorted(((r[0], np.frombuffer(r[1], "<u4").tolist(), bytes(r[2])) for r in both), key=repr) == sorted(want, key=repr)
 
 
 def test_bpe_of_nothing(spark, vocabulary, nothing):
