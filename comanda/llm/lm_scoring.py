@@ -189,16 +189,8 @@ def segment_bits(counts: np.ndarray) -> int:
 
 
 def segment(keys: np.ndarray, counts: np.ndarray, size: int) -> bytes:
-    """A shard's part of the filter: its n-grams at every level up to that of their count.
-
-    In ``segment_bits`` all have room; in less, those of the lowest level (the rarest) are left out.
-    """
+    """A shard's part of the filter: all its n-grams, at every level up to that of their count."""
     levels = _levels(counts)
-    by_level = np.bincount(levels, minlength=MAX_LEVEL + 1) * np.arange(MAX_LEVEL + 1)
-    above = by_level[::-1].cumsum()[::-1]
-    fits = np.flatnonzero(above <= size / BITS_PER_ENTRY)
-    least = int(fits[0]) if len(fits) else MAX_LEVEL + 1
-    keys, levels = keys[levels >= least], levels[levels >= least]
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         present = keys[levels >= level]
