@@ -19,13 +19,13 @@ SMALL = "/root/testdata/sf0.01"
 
 def test_registered():
     names = set(queries.all_queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 11)) and len(names) == 10
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 14)) and len(names) == 13
 
 
 @pytest.mark.parametrize("name", list(queries.all_oracles()))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     theirs = con.execute(queries.all_oracles()[name]).fetchall()
     mine = [tuple(r) for r in queries.all_queries()[name](spark, SMALL).collect()]
@@ -142,54 +142,6 @@ def test_filter_reads_back_counts():
     assert (model.count(unknown) > 0).mean() < 0.06
 
 
-@pytest.mark.parametrize("shard", [1 << 24, 1 << 17])
-def test_lm_scoring(spark, monkeypatch, shard):
-    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", shard)
-    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 200_000)
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
-    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    tokens = {i: [*re.findall("[^\x20\x09-\x0d]+", t.translate(lower)), "\n"] for i, t in texts.items()}
-    fold = lambda i: zlib.crc32(str(i).encode()) % 5
-    counts = Counter(w for i, t in tokens.items() if fold(i) != 1 for w in t)
-    n, v = sum(counts.values()), len(counts)
-    rows = lm_scoring.score(docs).collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        t = tokens[r["doc_id"]]
-        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (
-            fold(r["doc_id"]) == 1, len(t), sum(counts[w] > 0 for w in t), n)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9)
-        assert r["score"] < 0
-    trained = sum(r["score"] for r in rows if not r["held_out"]) / sum(r["base_score"] for r in rows if not r["held_out"])
-    assert trained < 1
-
-
-def test_filter_reads_back_counts():
-    rng = np.random.default_rng(8)
-    keys = lm_scoring._short(lm_scoring._mix(rng.integers(0, 1 << 62, 5000).astype(np.uint64)), 0)
-    counts = rng.integers(1, 400, 5000)
-    levels = 1 + np.floor(np.log2(counts)).astype(int)
-    size = int(levels.sum() * 9) // 64 * 64
-    data = np.frombuffer(lm_scoring.segment(keys, counts, size), np.uint8)
-    model = lm_scoring.LogFrequencyFilter(data, 0, size)
-    read = model.count(keys)
-    assert (read >= 0.75 * 2.0**levels - 0.5).all()  # never too low
-    assert (read == 0.75 * 2.0**levels - 0.5).mean() > 0.93
-    unknown = lm_scoring._mix(rng.integers(0, 1 << 62, 5000).astype(np.uint64) + np.uint64(1 << 62))
-    assert (model.count(unknown) > 0).mean() < 0.06
-
-
-def test_full_filter_leaves_out_the_rarest():
-    keys = lm_scoring._mix(np.arange(4000, dtype=np.uint64))
-    counts = np.where(np.arange(4000) % 10 == 0, 100, 1)
-    keys = lm_scoring._short(keys, 0)
-    data = np.frombuffer(lm_scoring.segment(keys, counts, 25_600), np.uint8)
-    read = lm_scoring.LogFrequencyFilter(data, 0, 25_600).count(keys)
-    assert (read[counts == 100] >= 95).all() and (read[counts == 1] > 0).mean() < 0.06
-
-
 @pytest.mark.parametrize("shard", [1 << 24, 1 << 12])
 def test_every_pair_is_kept(spark, monkeypatch, shard):
     """New words all the time, so two entries a token; no pair is left out, and words count exactly."""
