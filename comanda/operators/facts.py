@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.calendar import date_key, minutes_between
 from comanda.operators import dims as D
-from comanda.operators.keys import dense_key
-from comanda.session import cut_lineage
+from comanda.operators.keys import ordered_key
 from comanda.sources.operational import Tables
 
 FACT_ORDERS = (
@@ -119,7 +118,7 @@ def fact_order_items(t: Tables, dims, columns: Sequence[str] = FACT_ORDER_ITEMS)
 
     lines = t.order_items.join(orders, "order_id").join(product, "product_id")
     if "item_key" in want:
-        lines = dense_key(cut_lineage(lines), "id", "item_key")  # read twice: for the numbers and their offsets
+        lines = ordered_key(lines, list(t.line_order), "item_key")
     values = {
         "date_key": date_key(ts),
         "time_key": F.hour(ts),

@@ -1,25 +1,27 @@
-"""Influential users: out-degree and PageRank, over visits instead of pairs of visitors."""
+"""Influential users: out-degree and PageRank on merged recommendations, without listing the pairs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from comanda.operators.keys import running_sum
+from comanda.operators import recommend
 from comanda.session import cut_lineage
 
 DAMPING = 0.85
 MAX_ITERATIONS = 20
 TOLERANCE = 1e-7
-ROUNDS_PER_CHECKPOINT = 2
+ROUNDS_PER_LOOK = 5  # after so many rounds it is looked whether scores still change
+PIECE_BITS = 17  # visits of a restaurant in a piece
 
 
-def degree(recommendations: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
-    """Users who recommend most often, ties by name and zone. Two users are counted once for each shared restaurant."""
+def degree(visits: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
+    """Users who recommend most others, ties by name and zone. A user counts once, however many restaurants are shared."""
     named = users.select("user_id", F.col("name").alias("user_name"), "zone")
-    by_user = recommendations.groupBy("user_id").agg(F.sum("recommends").alias("recommends"))
     return (
-        by_user.join(named, "user_id")
+        recommend.degrees(visits)
+        .join(named, "user_id")
         .groupBy("user_name", "zone")
         .agg(F.sum("recommends").alias("recommended_users"))
         .orderBy(F.desc("recommended_users"), "user_name", "zone")
@@ -35,32 +37,46 @@ def pagerank(
 ) -> DataFrame:
     """(id, score) of every visitor; score = 1-d + d * sum(score/degree) over those who recommend the user.
 
-    What a user gets over a restaurant is what all visitors with smaller ids give each, which is a running sum over the
-    restaurant's visits. So a round costs a sum over the visits, not over their pairs, and a restaurant with very many
-    visitors is summed by ranges of ids.
+    ``recommendations`` has a row for each visit, as ``graph.recommendations`` gives them. What a user gets at a restaurant
+    is a running sum over its visitors with smaller ids, by pieces of at most 2^17 of them. That counts a pair once for
+    each restaurant it shares; a table of the pairs that share two or more takes the surplus off again, from sums and from
+    degrees. A round moves one row for each user and task: gains, corrections and the users themselves meet in one
+    aggregate. Visits lie by restaurant and pairs by the giving user, as stored, for all rounds.
     """
     base = 1 - damping
-    visits = cut_lineage(recommendations.select("user_id", "via_restaurant"))  # read in every round
-    gives = cut_lineage(
-        recommendations.groupBy(F.col("user_id").alias("id")).agg(F.sum("recommends").alias("edges")).select(
-            "id", F.when(F.col("edges") > 0, 1 / F.col("edges")).otherwise(0.0).alias("weight")))
-    scores = gives.withColumn("score", F.lit(base))
+    visits = cut_lineage(recommendations)
+    pairs = recommend.sharing(visits).select(
+        "from_user", "to_user", (F.col("shared") - 1).cast("double").alias("surplus"))
+    pairs = cut_lineage(recommend.spread(pairs, "from_user"))
+    edges = visits.select("user_id", F.col("recommends").cast("double").alias("n")).unionByName(
+        pairs.select(F.col("from_user").alias("user_id"), (-F.col("surplus")).alias("n"))).groupBy("user_id").agg(F.sum("n").alias("n"))
+    users = edges.select(F.col("user_id").alias("id"), F.when(F.col("n") > 0, 1 / F.col("n")).otherwise(0.0).alias("weight"))
+    pieces = visits.select("user_id", "via_restaurant", F.shiftright("recommended_by", PIECE_BITS).alias("piece"))
+    pieces = recommend.spread(pieces, "via_restaurant", "piece").sortWithinPartitions("via_restaurant", "piece", "user_id")
+    pieces = cut_lineage(pieces)
+    several = not pieces.filter(F.col("piece") > 0).isEmpty()
+    before = W.partitionBy("via_restaurant", "piece").orderBy("user_id").rowsBetween(W.unboundedPreceding, -1)
 
-    done = 0
-    while done < max_iterations:
-        rounds = min(ROUNDS_PER_CHECKPOINT, max_iterations - done)
-        before = scores
-        for _ in range(rounds):
-            before = scores
-            sent = visits.join(
-                scores.select(F.col("id").alias("user_id"), (F.col("score") * F.col("weight")).alias("part")), "user_id")
-            got = running_sum(sent, "via_restaurant", "user_id", "part", "got").groupBy(
-                F.col("user_id").alias("id")).agg(F.sum("got").alias("got"))
-            scores = gives.join(got, "id").select("id", "weight", (F.lit(base) + F.lit(damping) * F.col("got")).alias("score"))
-        done += rounds
-        step = cut_lineage(scores.join(before.select("id", F.col("score").alias("old")), "id"))
-        scores = step.select("id", "weight", "score")
-        if step.filter(F.abs(F.col("score") - F.col("old")) >= tolerance).isEmpty():
+    scores = cut_lineage(users.withColumn("score", F.lit(base)))
+    sent_to_all = F.broadcast if scores.count() <= recommend.BROADCAST_VISITS else lambda df: df  # else joined by shuffle
+    for done in range(1, max_iterations + 1):
+        parts = sent_to_all(scores.select("id", (F.col("score") * F.col("weight")).alias("part")))
+        sent = pieces.join(parts, F.col("user_id") == F.col("id")).drop("id")
+        gains = [sent.select(F.col("user_id").alias("id"), F.coalesce(F.sum("part").over(before), F.lit(0.0)).alias("got"))]
+        if several:  # what the pieces before give to everybody in a piece
+            sums = sent.groupBy("via_restaurant", "piece").agg(F.sum("part").alias("part"))
+            below = F.sum("part").over(W.partitionBy("via_restaurant").orderBy("piece").rowsBetween(W.unboundedPreceding, -1))
+            gains.append(pieces.join(sums.select("via_restaurant", "piece", below.alias("got")), ["via_restaurant", "piece"]).select(
+                F.col("user_id").alias("id"), F.coalesce("got", F.lit(0.0)).alias("got")))
+        gains.append(pairs.join(parts, F.col("from_user") == F.col("id")).select(
+            F.col("to_user").alias("id"), (-F.col("surplus") * F.col("part")).alias("got")))
+        met = scores.select("id", F.lit(0.0).alias("got"), "weight", F.col("score").alias("old"))
+        for part in gains:
+            met = met.unionByName(part, allowMissingColumns=True)
+        scores = cut_lineage(met.groupBy("id").agg(
+            F.sum("got").alias("got"), F.max("weight").alias("weight"), F.max("old").alias("old")).select(
+            "id", "weight", "old", (F.lit(base) + F.lit(damping) * F.col("got")).alias("score")))
+        if done % ROUNDS_PER_LOOK == 0 and scores.filter(F.abs(F.col("score") - F.col("old")) >= tolerance).isEmpty():
             break
     return scores.select("id", "score")
 

@@ -101,9 +101,9 @@ def _dispatch(batch: pd.DataFrame, fleet: pd.DataFrame, fleet_size: int) -> pd.D
 def assign_stops(pending: DataFrame, couriers: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Each batch on its own: quota = orders / couriers rounded up, couriers in turn, then the nearest order each time.
 
-    A batch has at most ``batch_size`` orders, and each courier in turn takes at least one while there are any, so no
-    more than ``batch_size`` couriers can get one. A larger fleet takes turns: a batch starts with the courier after the
-    last one that the batch before could use, so everybody gets work. Only a batch's couriers meet its orders.
+    A full batch uses as many couriers as its quota leaves work for, and the next one starts with the courier after the
+    last of them, so over the batches everybody gets work, whatever the size of the fleet. Only a batch's couriers meet its
+    orders: no more than ``batch_size`` can get one.
     """
     legs = "batch long, order_id long, dest_zone string, customer string, total double, " \
            "courier_id long, seq int, from_zone string"
@@ -112,7 +112,8 @@ def assign_stops(pending: DataFrame, couriers: DataFrame, batch_size: int = BATC
         return pending.sparkSession.createDataFrame([], legs)
     numbered = dense_key(couriers.select("courier_id", "base_zone", "base_lat", "base_lon"), "courier_id", "no")
     turns = min(fleet_size, batch_size)
-    first = F.lit(0) if fleet_size <= batch_size else (F.col("of_batch") - 1) * batch_size
+    used = math.ceil(batch_size / math.ceil(batch_size / fleet_size))  # by a full batch
+    first = (F.col("of_batch") - 1) * used
     slots = pending.select(F.col("batch").alias("of_batch")).distinct().withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
     fleets = slots.withColumn("no", F.pmod(first + F.col("turn"), F.lit(fleet_size)) + 1).join(numbered, "no").drop("no")
 

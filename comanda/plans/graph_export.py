@@ -10,19 +10,19 @@ from comanda.sinks.files import write_csv
 from comanda.sources.graph_csv import GRAPH_FILES, read_graph_file
 from comanda.sources.operational import Tables
 
-# Fixed value: pairs in the file of recommendations. The file is a listing; analyses use graph.recommendations.
-LISTED_RECOMMENDATIONS = 300
-
 # What makes a row of a file the same node or edge.
 MERGE_KEYS = {
     "users": ["user_id"], "restaurants": ["rest_id"], "products": ["prod_id"], "couriers": ["courier_id"],
     "locations": ["zone"], "orders": ["order_id"], "order_items": ["order_id", "prod_id"], "deliveries": ["order_id"],
-    "user_recommendations": ["from_user", "to_user"], "zone_routes": ["from_zone", "to_zone"],
+    "user_recommendations": ["user_id", "via_restaurant"], "zone_routes": ["from_zone", "to_zone"],
 }
 
 
 def extracts(t: Tables) -> dict[str, DataFrame]:
-    """The ten files of the graph. Orders, lines and deliveries carry the ends of several relationship types."""
+    """The ten files of the graph. Orders, lines and deliveries carry the ends of several relationship types.
+
+    Recommendations are all there, as visits: a user of a restaurant recommends its users with larger ids.
+    """
     orders = t.orders.select(
         F.col("id").alias("order_id"), "user_id", F.col("restaurant_id").alias("rest_id"), "status",
         F.col("total").cast("double").alias("total"), "payment_method",
@@ -43,7 +43,7 @@ def extracts(t: Tables) -> dict[str, DataFrame]:
         "orders": orders,
         "order_items": lines,
         "deliveries": deliveries,
-        "user_recommendations": graph.first_recommendations(t, LISTED_RECOMMENDATIONS),
+        "user_recommendations": graph.recommendations(t),
         "zone_routes": graph.zone_routes(t.zones),
     }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.operators import basket, boards, catalog, cubes, facts, graph, influence, marts, paths, quality, routing
+from comanda.operators import basket, boards, catalog, cubes, facts, graph, influence, marts, paths, quality, recommend, routing
 from comanda.plans import dispatch
 from comanda.plans.star import LazyStar
 from comanda.session import cut_lineage
@@ -17,8 +17,8 @@ from comanda.sources.testdata import operational_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def star(spark: SparkSession, sf_dir: str, item_ids: bool = False) -> LazyStar:
-    return LazyStar(spark, operational_tables(spark, sf_dir, item_ids))
+def star(spark: SparkSession, sf_dir: str) -> LazyStar:
+    return LazyStar(spark, operational_tables(spark, sf_dir))
 
 
 def _on_star(function) -> Query:
@@ -40,7 +40,7 @@ def warehouse_queries() -> dict[str, Query]:
         "dim_courier": _on_star(lambda s: s.dim_courier),
         "items_per_order": _on_star(lambda s: facts.items_per_order(s.tables.order_items)),
         "fact_orders": _on_star(lambda s: s.orders()),
-        "fact_order_items": lambda spark, sf_dir: star(spark, sf_dir, item_ids=True).items(),
+        "fact_order_items": _on_star(lambda s: s.items()),
     }
     out |= {name: _on_star(function) for name, function in cubes.CUBES.items()}
     out |= {name: _on_star(function) for name, function in marts.MARTS.items()}
@@ -114,7 +114,9 @@ def graph_queries() -> dict[str, Query]:
         lambda t: graph.label_counts({label: nodes(t) for label, nodes in graph.NODES.items()}))
     out["zone_routes"] = _on_tables(lambda t: graph.zone_routes(t.zones))
     out["copurchase_top5"] = _on_tables(lambda t: basket.copurchase(graph.lines_between(t), graph.products(t)))
-    out["influencers_degree"] = _on_tables(lambda t: influence.degree(graph.recommendations(t), graph.users(t)))
+    out["recommendation_degrees"] = _on_tables(lambda t: recommend.degrees(graph.visits(t)))
+    out["recommendations_top5"] = _on_tables(lambda t: recommend.top_recommendations(graph.visits(t)))
+    out["influencers_degree"] = _on_tables(lambda t: influence.degree(graph.visits(t), graph.users(t)))
     out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(graph.recommendations(t), graph.users(t)))
     out["shortest_hops"] = _on_tables(_shortest_hops)
     out["shortest_weighted"] = _on_tables(_shortest_weighted)

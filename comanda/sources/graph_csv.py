@@ -17,7 +17,7 @@ GRAPH_FILES = {
     "order_items": "order_id long, prod_id long, quantity int, unit_price double, line_total double",
     "deliveries": "order_id long, courier_id long, dest_zone string, distance_km double, eta_min double, "
                   "status string",
-    "user_recommendations": "from_user long, to_user long, via_restaurant long",
+    "user_recommendations": "user_id long, via_restaurant long, recommended_by long, recommends long",
     "zone_routes": "from_zone string, to_zone string, distance_km double, time_min double",
 }
 

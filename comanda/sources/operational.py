@@ -44,6 +44,7 @@ class Tables:
     order_items: DataFrame
     deliveries: DataFrame
     zones: DataFrame
+    line_order: tuple[str, ...] = ("id",)  # what the keys of lines follow
 
 
 def staged_path(staging_dir: str, table: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.geo import haversine_km
+from comanda.operators.keys import ordered_key
 
 
 # Columns of the test tables. Stated here, so that opening a table starts no job.
@@ -148,13 +149,12 @@ def _couriers(orders: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-LINES_OF_AN_ORDER = 10_000_000  # more than any order has
+LINE_ORDER = ["order_id", "product_id", "quantity", "line_total"]
 
 
 def _items_with_id(lineitem: DataFrame) -> DataFrame:
-    """Lines with a unique ``id`` that follows (order, product, quantity, amount); equal lines are interchangeable."""
-    place = F.row_number().over(W.partitionBy("order_id").orderBy("product_id", "quantity", "line_total"))
-    return lineitem.select(*_item_columns()).withColumn("id", F.col("order_id") * LINES_OF_AN_ORDER + place)
+    """Lines with a unique ``id`` that follows LINE_ORDER; equal lines are interchangeable."""
+    return ordered_key(lineitem.select(*_item_columns()), LINE_ORDER, "id")
 
 
 def _item_columns():
@@ -170,12 +170,13 @@ def _item_columns():
 class MappedTables:
     """The mapped tables by name, with the attributes of ``Tables``; a table is set up when it is first used.
 
-    The lines of the test tables have no id; one is made up on request only.
+    The lines of the test tables have no id; one is made up on request only, and else ``line_order`` tells their order.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, item_ids: bool = False):
         self._read = lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
         self._item_ids = item_ids
+        self.line_order = ["id"] if item_ids else LINE_ORDER
 
     @cached_property
     def places(self) -> DataFrame:

@@ -318,16 +318,25 @@ levels AS (
   FROM levels s JOIN steps e ON e.node=s.node WHERE s.k<24 GROUP BY e.nxt, s.k)
 """
 
+# Merged recommendations: a pair of users has one edge, from the smaller id, with the restaurants that the two share.
+MERGED = """
+merged AS (
+  SELECT a.user_id AS src, b.user_id AS dst, count(*) AS shared
+  FROM visits a JOIN visits b ON a.restaurant_id=b.restaurant_id AND a.user_id<b.user_id GROUP BY 1,2),
+degrees AS (
+  SELECT user_id, coalesce(n,0)::BIGINT AS recommends FROM (SELECT DISTINCT user_id FROM visits)
+  LEFT JOIN (SELECT src AS user_id, count(*) AS n FROM merged GROUP BY 1) USING (user_id))
+"""
+
 PAGERANK = """
-weights AS (SELECT user_id, sum(recommends)::DOUBLE AS edges FROM visitors GROUP BY user_id),
 pagerank AS (
-  SELECT user_id AS id, 0.15::DOUBLE AS score, 0 AS k FROM weights
+  SELECT user_id AS id, 0.15::DOUBLE AS score, 0 AS k FROM degrees
   UNION ALL
-  SELECT id, 0.15::DOUBLE+0.85::DOUBLE*coalesce(sum(part),0), k+1
+  SELECT id, 0.15::DOUBLE+0.85::DOUBLE*sum(part), k+1
   FROM (
-    SELECT v.user_id AS id, p.k, sum(CASE WHEN w.edges>0 THEN p.score/w.edges ELSE 0 END) OVER (
-             PARTITION BY v.via_restaurant ORDER BY v.user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS part
-    FROM pagerank p JOIN visitors v ON v.user_id=p.id JOIN weights w ON w.user_id=p.id WHERE p.k<20)
+    SELECT m.dst AS id, p.k, p.score/w.recommends AS part
+    FROM pagerank p JOIN merged m ON m.src=p.id JOIN degrees w ON w.user_id=p.id WHERE p.k<20
+    UNION ALL SELECT id, k, 0 FROM pagerank WHERE k<20)
   GROUP BY id, k)
 """
 
@@ -358,7 +367,7 @@ walk AS (
                                   "CASE WHEN w.step%w.quota=0 THEN t.base_lon ELSE w.stop.lon END",
                                   "p.dest_lat", "p.dest_lon")},
                 'order_id': p.order_id, 'zone': p.dest_zone, 'lat': p.dest_lat, 'lon': p.dest_lon}}) AS m
-    FROM walk w JOIN turns t ON t.turn=w.step//w.quota
+    FROM walk w JOIN turns t ON t.turn=(w.step//w.quota+(w.batch-1)*ceil(60/ceil(60.0/t.size))::BIGINT)%t.size
     JOIN pending p ON p.batch=w.batch AND NOT list_contains(w.used, p.order_id)
     GROUP BY ALL)),
 routes AS (
@@ -403,12 +412,17 @@ def graph_oracles() -> dict[str, str]:
             "FROM contains x JOIN contains y ON x.order_id=y.order_id AND x.prod_id<y.prod_id "
             "JOIN nodes_product a ON a.prod_id=x.prod_id JOIN nodes_product b ON b.prod_id=y.prod_id "
             "GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 5"),
-        "influencers_degree": graph(
+        "recommendation_degrees": _sql("SELECT * FROM degrees", CONTAINS, MERGED),
+        "recommendations_top5": _sql(
+            "SELECT src AS from_user, dst AS to_user, shared, place FROM (SELECT *, "
+            "row_number() OVER (PARTITION BY src ORDER BY shared DESC, dst)::INT AS place FROM merged WHERE shared>=2) "
+            "WHERE place<=5", CONTAINS, MERGED),
+        "influencers_degree": _sql(
             "SELECT u.name AS user_name, u.zone, sum(recommends)::BIGINT AS recommended_users "
-            "FROM visitors JOIN users u ON u.id=user_id GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 10"),
+            "FROM degrees JOIN users u ON u.id=user_id GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, MERGED),
         "influencers_pagerank": _sql(
             "SELECT name AS user_name, zone, round(coalesce(score,0.15::DOUBLE),4) AS pagerank_score FROM users "
-            "LEFT JOIN (SELECT * FROM pagerank WHERE k=20) USING (id) ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, PAGERANK),
+            "LEFT JOIN (SELECT * FROM pagerank WHERE k=20) USING (id) ORDER BY 3 DESC,1,2 LIMIT 10", CONTAINS, MERGED, PAGERANK),
         "shortest_hops": _sql(
             "SELECT array_to_string(p.route,'>') AS route, "
             "array_to_string([printf('%.2f',x) FOR x IN p.legs],'>') AS legs_km, round(list_sum(p.legs),2) AS total_km "

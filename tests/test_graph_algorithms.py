@@ -8,7 +8,7 @@ from dataclasses import replace
 
 import pytest
 
-from comanda.operators import basket, graph, influence, paths
+from comanda.operators import basket, graph, influence, paths, recommend
 
 
 def test_recommendations(spark, small):
@@ -32,13 +32,68 @@ def test_recommendations(spark, small):
     visits_ = graph.recommendations(t)
     assert {(r.user_id, r.via_restaurant): (r.recommended_by, r.recommends) for r in visits_.collect()} == {
         (u, r): (recommended_by[u, r], recommends[u, r]) for r, us in at.items() for u in us}
-    out = Counter(a for a, _, _ in every)
+    merged = Counter((a, b) for a, b, _ in every)  # a pair has one edge
+    out = Counter(a for a, _ in merged)
+    assert {r.user_id: r.recommends for r in recommend.degrees(graph.visits(t)).collect()} == {
+        u: out[u] for u in {u for u, _ in visits}}
     users = spark.createDataFrame([(u, f"u{u:03d}", "z") for u in range(120)], "user_id long, name string, zone string")
     best = sorted(out.items(), key=lambda x: (-x[1], x[0]))[:10]
-    assert [(r.user_name, r.recommended_users) for r in influence.degree(visits_, users).collect()] == [
+    assert [(r.user_name, r.recommended_users) for r in influence.degree(graph.visits(t), users).collect()] == [
         (f"u{u:03d}", n) for u, n in best]
 
 
+def shared_counts(visits):
+    at = defaultdict(set)
+    for u, r in visits:
+        at[r].add(u)
+    return Counter((a, b) for us in at.values() for a, b in itertools.combinations(sorted(us), 2))
+
+
+def random_visits(seed):
+    """A restaurant that nearly everybody knows, one with a third of all visits, and small ones; ids far apart."""
+    rng = random.Random(seed)
+    ids = sorted(rng.sample(range(-10**12, 10**12), 90))
+    visits = {(u, 1) for u in ids[5:]} | {(u, -7) for u in ids[::2]}
+    return visits | {(rng.choice(ids), 10 ** rng.randrange(9)) for _ in range(120)} | {(ids[0], 77)}
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 4])
+def test_pairs_that_share_restaurants(spark, least):
+    visits = random_visits(least)
+    df = spark.createDataFrame(sorted(visits), "user_id long, via_restaurant long")
+    expected = {pair: n for pair, n in shared_counts(visits).items() if n >= least}
+    assert {(r.from_user, r.to_user): r.shared for r in recommend.sharing(df, least).collect()} == expected
+    best = defaultdict(list)
+    for (a, b), n in expected.items():
+        best[a].append((-n, b))
+    assert {(r.from_user, r.place): (r.to_user, r.shared) for r in recommend.top_recommendations(df, least, 3).collect()} == {
+        (a, i + 1): (b, -n) for a, others in best.items() for i, (n, b) in enumerate(sorted(others)[:3])}
+
+
+def test_a_restaurant_of_all_makes_no_pairs(spark):
+    """Everybody's most visited restaurant is left out before pairs are formed."""
+    visits = [(u, 1) for u in range(3000)] + [(u, 2 + u // 2) for u in range(3000)]
+    df = spark.createDataFrame(visits, "user_id long, via_restaurant long")
+    found = recommend.sharing(df)
+    assert found.count() == 1500 and found.filter("to_user <> from_user + 1 OR shared <> 2").isEmpty()
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()
+    assert "CartesianProduct" not in plan.toString()
+
+
+def test_degrees_over_several_bitmaps(spark):
+    """70,000 users: three blocks of bitmaps; a restaurant of all, and one restaurant for each ten users."""
+    visits = spark.range(70_000).selectExpr("id * 3 AS user_id", "explode(array(-1L, id div 10)) AS via_restaurant").filter(
+        "user_id <> 30 OR via_restaurant >= 0")
+    found = {r.user_id: r.recommends for r in recommend.degrees(visits).filter("user_id < 100 OR user_id > 209900").collect()}
+    assert found[0] == 69_999 - 1 and found[3] == 69_998 - 1 and found[30] == 9 and found[33] == 70_000 - 12
+    assert found[209_997] == 0 and found[209_994] == 1 and len(found) == 34 + 33
+    same = spark.createDataFrame([(u, r) for u in range(5) for r in (1, 2)] + [(9, 3)], "user_id long, via_restaurant long")
+    assert {r.user_id: r.recommends for r in recommend.degrees(same).collect()} == {0: 4, 1: 3, 2: 2, 3: 1, 4: 0, 9: 0}
+    nobody = spark.createDataFrame([], "user_id long, via_restaurant long")
+    assert recommend.degrees(nobody).collect() == recommend.sharing(nobody).collect() == []
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_copurchase(spark, seed):
     rng = random.Random(seed)
@@ -78,7 +133,7 @@ def brute_pagerank(visits, rounds):
     at = defaultdict(set)
     for u, r in visits:
         at[r].add(u)
-    edges = [(a, b) for us in at.values() for a, b in itertools.combinations(sorted(us), 2)]
+    edges = {(a, b) for us in at.values() for a, b in itertools.combinations(sorted(us), 2)}
     out = Counter(s for s, _ in edges)
     score = {u: 0.15 for u, _ in visits}
     for _ in range(rounds):
@@ -89,8 +144,9 @@ def brute_pagerank(visits, rounds):
     return score
 
 
-@pytest.mark.parametrize("rounds", [1, 3, 20])
-def test_pagerank(spark, small, rounds):
+@pytest.mark.parametrize(("rounds", "bits"), [(1, 17), (3, 2), (20, 4)])
+def test_pagerank(spark, small, rounds, bits, monkeypatch):
+    monkeypatch.setattr(influence, "PIECE_BITS", bits)  # restaurants of one or of many pieces
     rng = random.Random(11)
     visits = {(u, 0) for u in range(0, 400_000, 9_000)}  # one restaurant over several ranges of ids
     visits |= {(9_000 * rng.randrange(45), rng.randrange(1, 6)) for _ in range(60)} | {(7, 9)}

@@ -57,6 +57,8 @@ def test_group_limits_before_the_shuffle(spark):
     ("mart_executive_summary", {"orders": 1, "customer": 1, "supplier": 1}),
     ("mart_monthly_growth", {"customer": 1}),
     ("courier_top_zone", {"orders": 3, "customer": 3}),
+    ("fact_orders", {"orders": 3, "customer": 3, "supplier": 2}),  # deliveries and couriers are made from orders
+    ("cube_product_ranking", {"part": 3, "orders": 1, "lineitem": 2}),
 ])
 def test_tables_are_not_read_again(spark, name, most):
     df = QUERIES[name](spark, SF_DIR)

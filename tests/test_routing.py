@@ -92,7 +92,7 @@ def test_batches_are_independent(spark, zones, network, distances):
     names = [zone for _, zone, *_ in ZONES]
     position = {zone: (np.float64(lat), np.float64(lon)) for _, zone, _, lat, lon in ZONES}
     km = {(r.from_zone, r.to_zone): r.distance_km for r in distances.collect()}
-    orders = [(i, rng.choice(names), i // 9) for i in range(60)]
+    orders = [(i, rng.choice(names), i // 9 + 1) for i in range(60)]
     bases = [(1, "zona_9"), (2, "unknown"), (4, "antigua"), (7, "zona_1")]
     couriers = fleet(spark, [(c, "c", "moto", z) for c, z in bases], zones)
     routes = routing.assign_routes(pending(spark, orders, zones), couriers, network, batch_size=9)
@@ -100,8 +100,10 @@ def test_batches_are_independent(spark, zones, network, distances):
     for r in routes.orderBy("batch", "courier_id", "seq").collect():
         got.setdefault(r.batch, []).append((r.courier_id, r.seq, r.order_id, r.dest_zone, round(r.distance_km, 6)))
     start = [(c, z, *position.get(z, (routing.DEFAULT_LAT, routing.DEFAULT_LON))) for c, z in bases]
-    for batch in range(7):
-        assert got[batch] == greedy([(o, z) for o, z, b in orders if b == batch], start, position, km)
+    for batch in range(1, 8):  # a full batch uses three of the four couriers, and the next one begins after them
+        turn = (batch - 1) * 3 % 4
+        expected = greedy([(o, z) for o, z, b in orders if b == batch], start[turn:] + start[:turn], position, km)
+        assert got[batch] == sorted(expected)
 
 
 def test_more_couriers_than_a_batch_holds(spark, zones, network):
@@ -113,6 +115,20 @@ def test_more_couriers_than_a_batch_holds(spark, zones, network):
     assert {r.courier_id for r in routes if r.batch == 1} == {10 * c for c in range(1, 61)}
 
 
+@pytest.mark.parametrize("size", [7, 28, 40, 60, 70])
+def test_every_courier_gets_work(spark, zones, size):
+    """Ten full batches of 60: whatever the size of the fleet, batches go on where the one before stopped."""
+    names = [zone for _, zone, *_ in ZONES]
+    orders = [(600 * b + i, names[(b + i) % 7], b + 1) for b in range(10) for i in range(60)]
+    couriers = fleet(spark, [(c, f"c{c}", "moto", names[c % 7]) for c in range(1, size + 1)], zones)
+    stops = routing.assign_stops(pending(spark, orders, zones), couriers).collect()
+    assert len(stops) == 600 and {r.courier_id for r in stops} == set(range(1, size + 1))
+    quota = math.ceil(60 / size)
+    assert max(r.seq for r in stops) == quota
+    by_batch = [{r.courier_id for r in stops if r.batch == b} for b in range(1, 11)]
+    assert all(len(used) == math.ceil(60 / quota) for used in by_batch)
+
+
 def test_nothing_to_dispatch(spark, zones, network):
     orders = pending(spark, [(1, "zona_4", 1)], zones)
     assert routing.assign_routes(orders, fleet(spark, [], zones), network).isEmpty()

@@ -19,7 +19,7 @@ QUERIES, ORACLES = all_queries(), all_oracles()
 NAMES = [
     "fact_orders", "fact_order_items", "items_per_order", "cube_revenue_month_category", "cube_orders_by_zone",
     "cube_product_ranking", "mart_monthly_growth", "mart_executive_summary", "graph_contains", "graph_recommends",
-    "copurchase_top5", "influencers_degree", "influencers_pagerank", "top3_per_category", "route_summary", "dq_referential",
+    "copurchase_top5", "influencers_degree", "influencers_pagerank", "recommendation_degrees", "recommendations_top5", "top3_per_category", "route_summary", "dq_referential",
 ]
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
