@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators import catalog, cubes, dims, facts, marts, quality
+from comanda.operators.cube_views import create_cube_views
 from comanda.plans.star import LazyStar, StoredStar
 from comanda.plans.dispatch import export_routes
 from comanda.sinks.files import write_json, write_parquet
@@ -102,9 +103,10 @@ def _write_all(plans: dict[str, DataFrame], config: PipelineConfig) -> dict[str,
 
 
 def register_cubes(spark: SparkSession, config: PipelineConfig) -> None:
-    """The cubes as session views over the stored tables, for use from SQL."""
+    """The cubes as views of the catalogue, and under their bare names in this session."""
+    create_cube_views(spark, config.database)
     star = StoredStar(spark, config.database)
-    create_views({name: build(star) for name, build in cubes.CUBES.items()})
+    create_views({name: star.table(name) for name in cubes.CUBES})
 
 
 def build_marts(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
@@ -129,10 +131,10 @@ def refresh_documents(spark: SparkSession, config: PipelineConfig) -> bool:
 
 
 def exports(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
-    """What goes to the serving store: stored marts, cubes under their export names, the summary."""
+    """What goes to the serving store: stored marts, the cubes' views under their export names, the summary."""
     star = StoredStar(spark, config.database)
     out = {name: star.table(name) for name in marts.MARTS}
-    out |= {CUBE_EXPORTS[name]: build(star) for name, build in cubes.CUBES.items()}
+    out |= {CUBE_EXPORTS[name]: star.table(name) for name in cubes.CUBES}
     out["mart_executive_summary"] = marts.executive_summary(star)
     return out
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 
 from comanda.operators import catalog, cubes, marts, quality
 from comanda.plans import graph_export
@@ -106,6 +107,24 @@ def test_cubes_are_views_for_sql(spark, run):
     assert spark.sql("SELECT * FROM cube_peak_hours WHERE hour = 9").count() == 7
 
 
+@pytest.mark.parametrize("name", list(cubes.CUBES))
+def test_catalogue_views_give_the_cubes_rows(spark, run, name):
+    """Another session reads the views; their rows, names and types are those of the cubes."""
+    other = spark.newSession()
+    view, cube = other.table(f"dw.{name}"), cubes.CUBES[name](StoredStar(spark, "dw"))
+    assert view.columns == cube.columns and [t for _, t in view.dtypes] == [t for _, t in cube.dtypes]
+    assert rows(view) == rows(cube) and view.count() > 0
+    assert other.sql(f"SHOW CREATE TABLE dw.{name}").first()[0].startswith("CREATE VIEW")
+
+
+def test_views_follow_the_tables_and_prune_them(spark, run):
+    view = spark.newSession().sql("SELECT * FROM dw.cube_order_status WHERE year = 1996 AND month = 5")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "= 1996" in plan.split("PartitionFilters")[1]
+    with pytest.raises(AnalysisException, match="TABLE_OR_VIEW_NOT_FOUND"):
+        spark.newSession().table("cube_order_status")  # the bare names are the session's
+
+
 def test_quality_runs_after_a_failure(spark, small, tmp_path):
     conf = config(spark, small, str(tmp_path), database="dw_small", min_orders=1000)
     with pytest.raises(quality.QualityError, match="fewer than 1000 orders"):
