@@ -88,6 +88,9 @@ def flat_path(route: DataFrame, km_list: str, km: str) -> DataFrame:
 # The two zones whose connection is asked for: from the first to the second.
 HOPS_BETWEEN = ("NATION_1", "NATION_7")
 KM_BETWEEN = ("NATION_1", "NATION_13")
+# In the sparse network: edges of at most so many km, and the ends of a way with many hops.
+NEIGHBOUR_KM = 6.5
+FAR_BETWEEN = ("NATION_7", "NATION_9")
 
 
 def _shortest_hops(t: Tables) -> DataFrame:
@@ -96,11 +99,13 @@ def _shortest_hops(t: Tables) -> DataFrame:
 
 
 def _shortest_weighted(t: Tables) -> DataFrame:
-    start, end = KM_BETWEEN
-    zones = cut_lineage(t.zones)
-    sources = zones.filter(F.col("zone") == start).select(F.col("zone").alias("src"))
-    best = paths.lightest_paths(dispatch.network_of(graph.direct_distances(zones)), sources)
-    return flat_path(best.filter(F.col("dst") == end), "costs", "km")
+    network = dispatch.network_of(graph.direct_distances(cut_lineage(t.zones)))
+    return flat_path(paths.lightest_path(network, *KM_BETWEEN), "costs", "km")
+
+
+def _neighbours(t: Tables) -> DataFrame:
+    """The zone network without its long edges: ways lead over the zones in between."""
+    return dispatch.network_of(graph.direct_distances(cut_lineage(t.zones))).filter(F.col("km") <= NEIGHBOUR_KM)
 
 
 def graph_queries() -> dict[str, Query]:
@@ -120,6 +125,8 @@ def graph_queries() -> dict[str, Query]:
     out["influencers_pagerank"] = _on_tables(lambda t: influence.top_pagerank(graph.recommendations(t), graph.users(t)))
     out["shortest_hops"] = _on_tables(_shortest_hops)
     out["shortest_weighted"] = _on_tables(_shortest_weighted)
+    out["far_hops"] = _on_tables(lambda t: flat_path(paths.fewest_hops(_neighbours(t), *FAR_BETWEEN), "legs_km", "total_km"))
+    out["far_weighted"] = _on_tables(lambda t: flat_path(paths.lightest_path(_neighbours(t), *FAR_BETWEEN), "costs", "km"))
     out["top3_per_category"] = _on_tables(lambda t: basket.top_products(_edges(t), graph.products(t)))
     out["courier_top_zone"] = _on_tables(
         lambda t: basket.courier_top_zone(graph.zones_of_couriers(t), graph.couriers(t)))

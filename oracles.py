@@ -318,6 +318,10 @@ levels AS (
   FROM levels s JOIN steps e ON e.node=s.node WHERE s.k<24 GROUP BY e.nxt, s.k)
 """
 
+# The zone network without its long edges.
+SPARSE = NETWORK.replace("network AS (", "everywhere AS (", 1).replace(
+    "steps AS (", "network AS (SELECT * FROM everywhere WHERE km<=6.5),\nsteps AS (", 1)
+
 # Merged recommendations: a pair of users has one edge, from the smaller id, with the restaurants that the two share.
 MERGED = """
 merged AS (
@@ -431,6 +435,14 @@ def graph_oracles() -> dict[str, str]:
             "SELECT array_to_string(p.route,'>') AS route, "
             "array_to_string([printf('%.2f',x) FOR x IN p.costs],'>') AS costs, round(p.km,2) AS total_km "
             "FROM best WHERE src='NATION_1' AND dst='NATION_13'", NETWORK),
+        "far_hops": _sql(
+            "SELECT array_to_string(p.route,'>') AS route, "
+            "array_to_string([printf('%.2f',x) FOR x IN p.legs],'>') AS legs_km, round(list_sum(p.legs),2) AS total_km "
+            "FROM levels WHERE k=24 AND node='NATION_9'", SPARSE, HOPS.replace("NATION_1", "NATION_7")),
+        "far_weighted": _sql(
+            "SELECT array_to_string(p.route,'>') AS route, "
+            "array_to_string([printf('%.2f',x) FOR x IN p.costs],'>') AS costs, round(p.km,2) AS total_km "
+            "FROM best WHERE src='NATION_7' AND dst='NATION_9'", SPARSE),
         "top3_per_category": graph(
             "SELECT * FROM (SELECT category, product, units, orders, "
             "row_number() OVER (PARTITION BY category ORDER BY units DESC, product)::INT AS place FROM "

@@ -233,3 +233,82 @@ def test_fewest_hops(spark):
     assert row.route == ["a", "b", "d", "e"] and row.legs_km == [1.0, 1.0, 2.0] and row.total_km == 4.0
     assert paths.fewest_hops(df, "a", "y").isEmpty()
     assert paths.fewest_hops(df, "a", "a").first().route == ["a"]
+
+
+def every_path(edges, start, end, most):
+    """All simple paths of at most ``most`` edges, in a graph of edges for both directions: (hundredths, hops, route)."""
+    near = defaultdict(dict)
+    for (a, b), km in edges.items():
+        near[a][b] = near[b][a] = min(km, near[a].get(b, km))
+    stack, out = [(0, (start,))], []
+    while stack:
+        length, route = stack.pop()
+        if route[-1] == end:
+            out.append((length, len(route) - 1, route))
+        elif len(route) <= most:
+            stack += [(length + round(km * 100), (*route, n)) for n, km in near[route[-1]].items() if n not in route]
+    return out
+
+
+def as_edges(spark, edges):
+    return spark.createDataFrame([(a, b, km) for (a, b), km in edges.items()], "src string, dst string, km double")
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_ways_between_two_nodes(spark, seed):
+    """A sparse network with many equal legs, so that ties decide; and two nodes without a way."""
+    rng = random.Random(seed)
+    nodes = [f"n{i:02d}" for i in rng.sample(range(100), 16)]
+    edges = {(nodes[i - 1], nodes[i]): rng.choice([1.0, 2.0, 0.5]) for i in range(1, 14)}
+    for _ in range(7):
+        a, b = rng.sample(nodes[:14], 2)
+        edges.setdefault((a, b), rng.choice([1.0, 2.0, 3.5]))
+    edges[nodes[14], nodes[15]] = 1.0
+    df = as_edges(spark, edges)
+    for start, end in [(nodes[0], nodes[13]), (nodes[13], nodes[2]), (nodes[5], nodes[5])]:
+        ways = every_path(edges, start, end, 14)
+        hops = paths.fewest_hops(df, start, end).collect()[0]
+        length, n, route = min(ways, key=lambda w: (w[1], w[2]))
+        assert tuple(hops.route) == route and len(hops.legs_km) == n and abs(hops.total_km - length / 100) < 1e-9
+        best = paths.lightest_path(paths.both_ways(df), start, end).collect()[0]
+        length, n, route = min(ways)
+        assert (best.src, best.dst, tuple(best.route), round(best.km * 100)) == (start, end, route, length)
+        assert best.costs[0] == 0 and best.costs[-1] == best.km and best.costs == sorted(best.costs)
+    assert paths.fewest_hops(df, nodes[0], nodes[15]).collect() == []
+    assert paths.lightest_path(paths.both_ways(df), nodes[0], nodes[15]).collect() == []
+
+
+def test_one_way_streets(spark):
+    df = as_edges(spark, {("a", "b"): 1.0, ("b", "c"): 1.0, ("c", "a"): 5.0})
+    assert paths.lightest_path(df, "a", "c").first().route == ["a", "b", "c"]
+    assert paths.lightest_path(df, "c", "b").first().route == ["c", "a", "b"]
+
+
+def test_a_long_chain_has_the_plan_of_a_short_one(spark, monkeypatch):
+    """Twelve levels from either side: no stored table's plan grows with its depth."""
+    sizes = []
+    cut = paths.cut_lineage
+
+    def measured(df):
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+        return cut(df)
+
+    monkeypatch.setattr(paths, "cut_lineage", measured)
+    chain = as_edges(spark, {(f"n{i:02d}", f"n{i + 1:02d}"): 1.5 for i in range(24)})
+    found = paths.fewest_hops(chain, "n00", "n24").collect()[0]
+    assert found.route == [f"n{i:02d}" for i in range(25)] and found.total_km == 36.0
+    assert max(sizes[10:]) <= 1.2 * max(sizes[:6])
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_lengths_by_buckets(spark, seed):
+    """Legs of very different lengths, from several sources; zero legs too."""
+    rng = random.Random(seed)
+    nodes = [f"n{i:02d}" for i in range(30)]
+    edges = {tuple(rng.sample(nodes, 2)): rng.choice([0.0, 0.01, 0.5, 3.0, 90.0]) for _ in range(70)}
+    df = paths.both_ways(as_edges(spark, edges))
+    got = paths.settled(df, spark.createDataFrame([(n,) for n in nodes[:3]], "src string")).collect()
+    assert len(got) == len({(r.src, r.dst) for r in got})
+    for n in nodes[:3]:
+        expected = dijkstra(nodes, {p: round(km * 100) for p, km in edges.items()}, n)
+        assert {r.dst: r.length for r in got if r.src == n} == expected
