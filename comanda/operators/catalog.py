@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.money import units
+from comanda.session import cut_lineage
+from comanda.sinks.parts import PART, PartStore
 
 
 def search_documents(products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -37,27 +38,45 @@ def fingerprint(products: DataFrame) -> DataFrame:
     rows = products.select("id", "name", units("price").alias("price"), "category_id", "available")
     digest = F.md5(F.concat(*[_text(c) for c in rows.columns]))
 
-    def half(start: int) -> Column:
-        return F.sum(F.conv(F.substring("row_digest", start, 15), 16, 10).cast("decimal(20,0)"))
-
     sums = rows.select(digest.alias("row_digest")).agg(
-        F.count(F.lit(1)).alias("products"), half(1).alias("head"), half(17).alias("tail")
+        F.count(F.lit(1)).alias("products"), _half_sum(1).alias("head"), _half_sum(17).alias("tail")
     )
     text = F.concat_ws("|", F.col("products").cast("string"), F.col("head").cast("string"),
                        F.col("tail").cast("string"))
     return sums.select("products", F.md5(text).alias("digest"))
 
 
-def stored_digest(spark: SparkSession, state_path: str) -> str | None:
-    """The digest kept by the run before; None when there is none."""
-    try:
-        row = spark.read.schema("digest string").parquet(state_path).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return row["digest"] if row else None
+RANGE_BITS = 12  # ids of a range: 4,096
+
+
+def _half_sum(start: int) -> Column:
+    return F.sum(F.conv(F.substring("row_digest", start, 15), 16, 10).cast("decimal(20,0)"))
 
 
-def keep_digest(spark: SparkSession, digest: str, state_path: str) -> None:
-    spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.mode("overwrite").parquet(state_path)
+def range_digests(documents: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """(id_range, documents, head, tail): sums of the row hashes for each range of ids, the leaves of a tree of digests.
+
+    Sums add up, so the digest of any range of ranges, up to the whole catalogue, is the sum of its leaves.
+    """
+    priced = documents.withColumn("price", units("price")).select("id", "name", "price", "available", "category")
+    hashed = priced.select(
+        F.shiftright(F.col("id").cast("bigint"), bits).alias("id_range"), F.md5(F.concat(*[_text(c) for c in priced.columns])).alias("row_digest"))
+    return hashed.groupBy("id_range").agg(
+        F.count(F.lit(1)).alias("documents"), _half_sum(1).alias("head"), _half_sum(17).alias("tail"))
+
+
+def refresh(documents: DataFrame, store: PartStore, bits: int = RANGE_BITS) -> int:
+    """Write the ranges of search documents that changed since the last version of the store, and drop those that are gone;
+    how many ranges. Unchanged ranges are neither written nor, beyond their digest, looked at."""
+    leaves = range_digests(documents, bits).select(
+        F.col("id_range").alias(PART), F.col("documents").alias("rows"), 
+        F.concat_ws("|", F.col("head").cast("string"), F.col("tail").cast("string")).alias("digest"))
+    now, before = cut_lineage(leaves), store.manifest()
+    known = before.select(PART, "rows", "digest")
+    changed = cut_lineage(now.join(known, [PART, "rows", "digest"], "left_anti"))
+    gone = cut_lineage(before.select(PART).join(now, PART, "left_anti"))
+    touched = changed.count() + gone.count()
+    if touched:
+        rows = as_documents(documents).withColumn(PART, F.shiftright(F.col("_id").cast("bigint"), bits))
+        store.replace(rows.join(changed.select(PART), PART, "left_semi"), changed, gone)
+    return touched

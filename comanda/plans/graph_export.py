@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from comanda.operators import graph
 from comanda.sinks.files import write_csv
+from comanda.sinks.parts import PartStore
 from comanda.sources.graph_csv import GRAPH_FILES, read_graph_file
 from comanda.sources.operational import Tables
 
@@ -67,3 +68,20 @@ def load_graph(spark: SparkSession, folder: str, existing: dict[str, DataFrame]
                             [c for c in updates.columns if c not in keys])
 
     return {name: merged(name) for name in GRAPH_FILES}
+
+
+GRAPH_PARTS = 64  # of each stored table
+
+
+def stored_graph(spark: SparkSession, store: str, parts: int = GRAPH_PARTS) -> dict[str, PartStore]:
+    """The stored tables of the graph, by the name of their file."""
+    return {name: PartStore(spark, f"{store.rstrip('/')}/{name}", parts=parts) for name in GRAPH_FILES}
+
+
+def merge_graph(spark: SparkSession, folder: str, store: str, parts: int = GRAPH_PARTS) -> dict[str, list[int]]:
+    """Merge the graph's files into its stored tables, as ``load_graph`` does; the parts of each table that were rewritten."""
+    def merged(name: str, table: PartStore) -> list[int]:
+        updates, keys = read_graph_file(spark, folder, name), MERGE_KEYS[name]
+        return table.merge(updates, keys, [c for c in updates.columns if c not in keys])
+
+    return {name: merged(name, table) for name, table in stored_graph(spark, store, parts).items()}

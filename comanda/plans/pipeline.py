@@ -12,8 +12,9 @@ from comanda.operators import catalog, cubes, dims, facts, marts, quality
 from comanda.operators.cube_views import create_cube_views
 from comanda.plans.star import LazyStar, StoredStar
 from comanda.plans.dispatch import export_routes
-from comanda.sinks.files import write_json, write_parquet
+from comanda.sinks.files import write_parquet
 from comanda.sinks.jdbc import write_mart
+from comanda.sinks.parts import PartStore
 from comanda.sinks.tables import create_views, write_table
 from comanda.sources.jdbc import JdbcConfig, read_jdbc, read_table_by_id
 from comanda.sources.operational import OPERATIONAL_TABLES, staged_path, staged_tables
@@ -114,20 +115,17 @@ def build_marts(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
     return _write_all({name: build(star) for name, build in marts.MARTS.items()}, config)
 
 
-def refresh_documents(spark: SparkSession, config: PipelineConfig) -> bool:
-    """Write the search documents again when the catalogue is not the one of the run before.
+def document_store(spark: SparkSession, config: PipelineConfig) -> PartStore:
+    return PartStore(spark, f"{config.state_dir.rstrip('/')}/search_documents", "json")
 
-    The digest is kept after the documents, so a run that fails in between is repeated.
+
+def refresh_documents(spark: SparkSession, config: PipelineConfig) -> int:
+    """Write the search documents of the id ranges that changed since the run before; how many ranges.
+
+    Digests go into the same version as the documents, so a run that fails in between is repeated.
     """
     tables = staged_tables(spark, config.staging_dir, config.zones)
-    state = f"{config.state_dir.rstrip('/')}/catalog_digest"
-    digest = catalog.fingerprint(tables.products).first()["digest"]
-    if digest == catalog.stored_digest(spark, state):
-        return False
-    documents = catalog.as_documents(catalog.search_documents(tables.products, tables.categories))
-    write_json(documents, f"{config.state_dir.rstrip('/')}/search_documents")
-    catalog.keep_digest(spark, digest, state)
-    return True
+    return catalog.refresh(catalog.search_documents(tables.products, tables.categories), document_store(spark, config))
 
 
 def exports(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:

@@ -143,6 +143,10 @@ def routing_queries() -> dict[str, Query]:
     }
 
 
+def _as_text(digests: DataFrame) -> DataFrame:
+    return digests.select("id_range", "documents", F.concat_ws("|", F.col("head").cast("string"), F.col("tail").cast("string")).alias("digest"))
+
+
 def quality_queries() -> dict[str, Query]:
     return {
         "dq_row_counts": _on_star(lambda s: quality.report(
@@ -151,6 +155,8 @@ def quality_queries() -> dict[str, Query]:
         "dq_null_revenue": _on_star(lambda s: quality.report([quality.null_revenue_check(marts.trends(s))])),
         "dq_referential": _on_tables(quality.referential),
         "catalog_fingerprint": _on_tables(lambda t: catalog.fingerprint(t.products)),
+        "catalog_range_digests": _on_tables(lambda t: _as_text(
+            catalog.range_digests(catalog.search_documents(t.products, t.categories), bits=6))),
         "search_documents": _on_tables(lambda t: catalog.search_documents(t.products, t.categories)),
         "orders_per_status": _on_tables(lambda t: quality.orders_per_status(t.orders)),
         "orders_per_month": _on_tables(lambda t: quality.orders_per_month(t.orders)),

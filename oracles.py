@@ -513,6 +513,12 @@ def quality_oracles() -> dict[str, str]:
         "catalog_fingerprint": _sql(
             "SELECT count(*) AS products, md5(concat_ws('|', count(*), sum(('0x'||substr(h,1,15))::BIGINT)::HUGEINT, "
             f"sum(('0x'||substr(h,17,15))::BIGINT)::HUGEINT)) AS digest FROM ({hashed})"),
+        "catalog_range_digests": _sql(
+            "SELECT id>>6 AS id_range, count(*) AS documents, concat_ws('|', sum(('0x'||substr(h,1,15))::BIGINT)::HUGEINT, "
+            "sum(('0x'||substr(h,17,15))::BIGINT)::HUGEINT) AS digest FROM (SELECT prod_id AS id, "
+            "md5(length(prod_id::VARCHAR)||':'||prod_id||length(name)||':'||name||length(cents)||':'||cents"
+            "||length(available::VARCHAR)||':'||available::VARCHAR||length(category)||':'||category) AS h "
+            "FROM (SELECT *, (round(price*100)::BIGINT)::VARCHAR AS cents FROM nodes_product)) GROUP BY 1", CONTAINS),
         "search_documents": _sql("SELECT prod_id AS id, name, price, available, category FROM nodes_product", CONTAINS),
         "orders_per_status": _sql("SELECT status, count(*) AS orders FROM o_orders GROUP BY 1"),
         "orders_per_month": _sql("SELECT date_trunc('month', order_ts)::DATE AS month, count(*) AS orders "

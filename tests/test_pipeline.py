@@ -1,14 +1,16 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from comanda.operators import catalog, cubes, marts, quality
 from comanda.plans import graph_export
-from comanda.plans.pipeline import PipelineConfig, run_pipeline
+from comanda.plans.pipeline import PipelineConfig, document_store, run_pipeline
 from comanda.plans.registry import star
 from comanda.plans.star import StoredStar
 from comanda.sinks import tables as sink
 from comanda.sinks.files import write_parquet
 from comanda.sinks.jdbc import write_options
+from comanda.sinks.parts import PartStore
 from comanda.sources.graph_csv import read_graph_file, to_typed
 from comanda.sources.jdbc import JdbcConfig, read_options
 from comanda.sources.testdata import operational_tables
@@ -45,7 +47,7 @@ def run(spark, tmp_path_factory):
 
 def test_second_run_gives_the_same_tables(spark, run):
     conf, first, second, before = run
-    assert first["documents_refreshed"] is True and second["documents_refreshed"] is False
+    assert first["documents_refreshed"] == 1 and second["documents_refreshed"] == 0  # 200 products are one range of ids
     assert {k: v for k, v in first.items() if k in ("extracted", "warehouse", "marts")} == \
         {k: v for k, v in second.items() if k in ("extracted", "warehouse", "marts")}
     star_ = StoredStar(spark, "dw")
@@ -64,8 +66,8 @@ def test_served_marts(spark, run):
     conf, *_ = run
     served = conf.read_serving("mart_revenue_by_cat")
     assert rows(served) == rows(cubes.revenue_month_category(StoredStar(spark, "dw")).select(*served.columns))
-    documents = spark.read.json(f"{conf.state_dir}/search_documents")
-    assert documents.select("_source.name").count() == 200
+    documents = document_store(spark, conf).read()
+    assert documents.select("_source.id").distinct().count() == documents.count() == 200
 
 
 def test_filter_on_a_cube_prunes_partitions(spark, run):
@@ -138,18 +140,95 @@ def test_quality_runs_after_a_failure(spark, small, tmp_path):
         run_pipeline(spark, PipelineConfig(**{**conf.__dict__, "read_source": broken}))
 
 
-def test_catalogue_digest(spark, small, tmp_path):
-    state = str(tmp_path / "digest")
+def test_catalogue_digest(spark, small):
     digest = catalog.fingerprint(small.products).first().digest
     assert catalog.fingerprint(small.products.repartition(3)).first().digest == digest
-    assert catalog.stored_digest(spark, state) is None
-    catalog.keep_digest(spark, digest, state)
-    assert catalog.stored_digest(spark, state) == digest
     for change in ("price + 0.01", "NULL"):
         dearer = small.products.selectExpr("id", "name", f"CAST({change} AS DOUBLE) price", "available", "category_id")
         assert catalog.fingerprint(dearer).first().digest != digest
 
 
+def files(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*") if p.is_file() and p.name[0] not in "._"}
+
+
+def test_one_price_rewrites_one_range(spark, tmp_path):
+    """Documents of ids 0 to 99 in ranges of 16; one price changes, a range goes, another comes."""
+    store = PartStore(spark, str(tmp_path), "json")
+    documents = spark.range(100).selectExpr("id", "concat('p', id) AS name", "id / 4 AS price", "true AS available", "'c' AS category")
+    assert store.version() == 0 and store.manifest().count() == 0
+    assert catalog.refresh(documents, store, bits=4) == 7 and store.read().count() == 100
+    before = files(tmp_path)
+    assert catalog.refresh(documents.repartition(3), store, bits=4) == 0 and files(tmp_path) == before
+
+    dearer = documents.withColumn("price", F.when(F.col("id") == 37, 99.0).otherwise(F.col("price")))
+    assert catalog.refresh(dearer, store, bits=4) == 1 and store.version() == 2
+    after = files(tmp_path)
+    assert before.items() <= after.items()
+    assert {name.split("/")[2] for name in after.keys() - before.keys() if name.startswith("data/")} == {"_part=2"}
+    assert store.manifest().filter("version = 2").count() == 1
+    assert rows(store.read().select("_id", "_source.price")) == rows(dearer.selectExpr("id AS _id", "price"))
+
+    moved = dearer.filter("id < 80 OR id >= 96").union(dearer.filter("id = 5").withColumn("id", F.lit(200).cast("long")))
+    assert catalog.refresh(moved, store, bits=4) == 2  # ids 80 to 95 are gone, 200 is new
+    assert rows(store.read().select("_id")) == rows(moved.selectExpr("id AS _id"))
+    assert catalog.refresh(moved.limit(0), store, bits=4) == 7 and store.read().count() == 0
+
+
+def test_digests_add_up(spark, small):
+    """The leaves of the tree, at any width, add up to the same root."""
+    documents = catalog.search_documents(small.products, small.categories)
+    total = lambda bits: catalog.range_digests(documents, bits).agg(
+        F.sum("documents"), F.sum("head"), F.sum("tail")).first()
+    assert total(0) == total(4) == total(60) and total(0)[0] == 3
+
+
+def test_merge_rewrites_only_touched_parts(spark, tmp_path):
+    store = PartStore(spark, str(tmp_path), parts=8)
+    assert store.merge(spark.createDataFrame([], "src long, dst long, km double, at int"), ["src", "dst"], ["at"]) == []
+    first = spark.range(200).selectExpr("id AS src", "id % 7 AS dst", "0.5D AS km", "1 AS at")
+    assert store.merge(first, ["src", "dst"], ["at"]) == list(range(8)) and store.read().count() == 200
+    before = files(tmp_path)
+    news = spark.createDataFrame([(3, 3, 7.0, 2), (3, 3, 9.0, 1), (999, 1, 1.0, 1)], "src long, dst long, km double, at int")
+    touched = store.merge(news, ["src", "dst"], ["at"])
+    after = files(tmp_path)
+    assert 1 <= len(touched) <= 2 and before.items() <= after.items()
+    assert {int(name.split("/")[2][6:]) for name in after.keys() - before.keys() if name.startswith("data/")} == set(touched)
+    merged = {(r.src, r.dst): r.km for r in store.read().collect()}
+    assert len(merged) == 201 and merged[3, 3] == 7.0 and merged[999, 1] == 1.0 and merged[4, 4] == 0.5
+    read = store.read(parts=touched)
+    assert read.count() == store.manifest().filter(F.col("_part").isin(touched)).agg(F.sum("rows")).first()[0]
+    assert "PartitionFilters" in read._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="another number of parts"):
+        PartStore(spark, str(tmp_path), parts=9).merge(news, ["src", "dst"], ["at"])
+
+
+def test_a_failed_merge_changes_nothing(spark, tmp_path, monkeypatch):
+    store = PartStore(spark, str(tmp_path), parts=4)
+    store.merge(spark.createDataFrame([(1, 1)], "k long, v long"), ["k"], ["v"])
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", broken)  # the version is written last
+        with pytest.raises(RuntimeError, match="lost"):
+            store.merge(spark.createDataFrame([(1, 2), (2, 2)], "k long, v long"), ["k"], ["v"])
+    assert store.version() == 1 and [tuple(r) for r in store.read().collect()] == [(1, 1)]
+    store.merge(spark.createDataFrame([(1, 3)], "k long, v long"), ["k"], ["v"])
+    assert store.version() == 2 and [tuple(r) for r in store.read().collect()] == [(1, 3)]
+
+
+def test_graph_merged_into_stored_tables(spark, small, tmp_path):
+    folder, store = str(tmp_path / "files"), str(tmp_path / "graph")
+    graph_export.export_graph(small, folder)
+    graph_export.merge_graph(spark, folder, store, parts=4)
+    loaded = graph_export.load_graph(spark, folder)
+    stored = graph_export.stored_graph(spark, store, parts=4)
+    for name, df in loaded.items():
+        assert rows(stored[name].read().select(*df.columns)) == rows(df), name
+
+
 def test_graph_files(spark, small, tmp_path):
     folder = str(tmp_path / "graph")
     written = graph_export.export_graph(small, folder)
