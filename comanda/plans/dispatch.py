@@ -32,6 +32,15 @@ def routes(t: Tables) -> DataFrame:
     return routing.assign_routes(pending(t), fleet(t), network_of(graph.direct_distances(cut_lineage(t.zones))))
 
 
+def routes_by_place(t: Tables, period: str = "day", batch_size: int = routing.BATCH_SIZE) -> DataFrame:
+    """Routes in batches by the period of the order and the neighbourhood of its destination."""
+    orders = graph.orders(t).withColumn("ordered_at", F.to_timestamp("order_ts"))
+    waiting = routing.waiting_orders(orders, graph.placed(t), graph.delivered_to(t), graph.users(t), graph.locations(t), "ordered_at")
+    batched = cut_lineage(routing.batches_by_place(waiting, F.date_trunc(period, "ordered_at").cast("date"), batch_size))
+    stops = routing.assign_by_place(batched, fleet(t), network_of(graph.direct_distances(cut_lineage(t.zones))))
+    return stops.join(batched.select("order_id", "period"), "order_id").select("period", *stops.columns)
+
+
 def export_routes(t: Tables, path: str) -> int:
     """One record per batch and courier with its stops in order; the number of records."""
     return write_json(routing.routes_nested(routes(t), fleet(t)), path)

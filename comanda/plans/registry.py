@@ -139,6 +139,7 @@ def routing_queries() -> dict[str, Query]:
         "routing_pending": _on_tables(dispatch.pending),
         "zone_distance": _on_tables(lambda t: zone_distances(t.zones)),
         "route_assignment": _on_tables(dispatch.routes),
+        "route_by_place": _on_tables(lambda t: dispatch.routes_by_place(t, "month", 12)),
         "route_summary": _on_tables(lambda t: routing.route_summary(dispatch.routes(t))),
     }
 

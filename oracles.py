@@ -383,6 +383,37 @@ routes AS (
 """
 
 
+def _on_curve(lat: str, lon: str) -> str:
+    """Bits of the cell of a place, those of its latitude and longitude in turn."""
+    cell = lambda x, span: f"least(floor(({x}+{span / 2}::DOUBLE)/{span}*65536), 65535)::BIGINT"
+    return "(" + "+".join(
+        f"((({cell(x, span)})>>{i})&1)*{1 << (2 * i + shift)}" for x, span, shift in ((lat, 180, 1), (lon, 360, 0)) for i in range(16)) + ")"
+
+
+# Batches of twelve by month and neighbourhood, and couriers dealt to them along the same curve.
+PLACE = DISPATCH.split("turns AS")[0] + f"""
+lined AS (
+  SELECT o.id AS order_id, z.zone AS dest_zone, z.lat AS dest_lat, z.lon AS dest_lon, u.name AS customer, o.total,
+         date_trunc('month', o.order_ts)::DATE AS period, row_number() OVER (
+           PARTITION BY date_trunc('month', o.order_ts) ORDER BY {_on_curve('z.lat', 'z.lon')}, o.id)-1 AS place
+  FROM o_orders o JOIN deliveries d ON d.order_id=o.id JOIN zones z ON z.zone=d.dest_zone JOIN users u ON u.id=o.user_id
+  WHERE o.status IN ('pending','preparing','delivering')),
+periods AS (
+  SELECT period, ceil(count(*)/12.0)::BIGINT AS parts, coalesce(sum(ceil(count(*)/12.0)::BIGINT) OVER (
+    ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM lined GROUP BY period),
+pending AS (SELECT *, place//12 AS part, before+place//12+1 AS batch FROM lined JOIN periods USING (period)),
+couriers_lined AS (
+  SELECT *, row_number() OVER (ORDER BY {_on_curve('base_lat', 'base_lon')}, courier_id)-1 AS no, count(*) OVER () AS size FROM fleet),
+turns AS (
+  SELECT c.*, b.batch, row_number() OVER (PARTITION BY b.batch ORDER BY c.courier_id)-1 AS turn
+  FROM (SELECT DISTINCT batch, part, parts FROM pending) b JOIN couriers_lined c
+  ON c.no>=b.part*c.size//b.parts AND c.no<greatest((b.part+1)*c.size//b.parts, b.part*c.size//b.parts+1)),
+quotas AS (
+  SELECT batch, ceil(count(*)::DOUBLE/(SELECT count(*) FROM turns t WHERE t.batch=p.batch))::BIGINT AS quota FROM pending p GROUP BY batch),
+walk AS""" + DISPATCH.split("walk AS")[1].replace(
+    "t.turn=(w.step//w.quota+(w.batch-1)*ceil(60/ceil(60.0/t.size))::BIGINT)%t.size", "t.batch=w.batch AND t.turn=w.step//w.quota")
+
+
 def graph_oracles() -> dict[str, str]:
     graph = lambda body: _sql(body, CONTAINS)
     out = {
@@ -467,6 +498,7 @@ def routing_oracles() -> dict[str, str]:
         "routing_pending": routes("SELECT * FROM pending"),
         "zone_distance": _sql("SELECT src AS from_zone, dst AS to_zone, round(p.km*100)/100 AS distance_km FROM best", NETWORK),
         "route_assignment": routes("SELECT * FROM routes"),
+        "route_by_place": _sql("SELECT p.period, r.* FROM routes r JOIN pending p USING (order_id)", NETWORK, PLACE),
         "route_summary": routes(
             "SELECT batch, courier_id, count(*) AS orders, round(sum(distance_km),2) AS total_km, "
             "(sum(count(*)) OVER (PARTITION BY batch))::BIGINT AS batch_orders FROM routes GROUP BY batch, courier_id"),

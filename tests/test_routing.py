@@ -129,6 +129,45 @@ def test_every_courier_gets_work(spark, zones, size):
     assert all(len(used) == math.ceil(60 / quota) for used in by_batch)
 
 
+def test_one_neighbourhood_is_the_known_dispatch(spark, zones, network):
+    """All orders of one day, not more than a batch holds: the known routes."""
+    orders = sorted((order, zone, 1) for *_, stops in ROUTES for order, zone, _ in stops)
+    couriers = fleet(spark, [(c, f"c{c}", "moto", base) for c, base, _, _ in ROUTES], zones)
+    batched = routing.batches_by_place(pending(spark, orders, zones).drop("batch"), F.lit("2025-01-01").cast("date"))
+    got = {}
+    for r in routing.assign_by_place(batched, couriers, network).orderBy("courier_id", "seq").collect():
+        got.setdefault(r.courier_id, []).append((r.order_id, r.dest_zone, round(r.distance_km, 2)))
+    assert got == {c: stops for c, _, _, stops in ROUTES}
+
+
+@pytest.mark.parametrize(("size", "batch_size"), [(5, 8), (30, 8), (2, 20)])
+def test_batches_by_place(spark, zones, network, size, batch_size):
+    """A zone with a third of all orders, days of very different size: batches are bounded and near, everybody is used."""
+    import random
+
+    rng = random.Random(size)
+    names = [zone for _, zone, *_ in ZONES]
+    orders = [(i, "antigua" if i % 3 == 0 else rng.choice(names), 1) for i in range(150)]
+    waiting = pending(spark, orders, zones).drop("batch").withColumn("day", F.expr("date_add(DATE'2025-01-01', cast(sqrt(order_id) / 3 AS int))"))
+    batched = routing.batches_by_place(waiting, F.col("day"), batch_size)
+    found = batched.collect()
+    assert sorted(r.order_id for r in found) == list(range(150))
+    batches = {}
+    for r in found:
+        batches.setdefault(r.batch, []).append(r)
+    assert sorted(batches) == list(range(1, len(batches) + 1))
+    days = {}
+    for b, rows in batches.items():
+        assert len({r.period for r in rows}) == 1 and len(rows) <= batch_size and {r.part for r in rows} == {rows[0].part}
+        days.setdefault(rows[0].period, []).append((b, len(rows), rows[0].parts))
+    for own in days.values():  # all but a day's last batch are full
+        assert [n for _, n, _ in sorted(own)][:-1] == [batch_size] * (len(own) - 1) and {p for *_, p in own} == {len(own)}
+    couriers = fleet(spark, [(c, "c", "moto", names[c % 7]) for c in range(size)], zones)
+    stops = routing.assign_by_place(batched, couriers, network).collect()
+    assert sorted(r.order_id for r in stops) == list(range(150)) and {r.courier_id for r in stops} == set(range(size))
+    assert routing.assign_by_place(batched, couriers.limit(0), network).collect() == []
+
+
 def test_nothing_to_dispatch(spark, zones, network):
     orders = pending(spark, [(1, "zona_4", 1)], zones)
     assert routing.assign_routes(orders, fleet(spark, [], zones), network).isEmpty()
