@@ -133,6 +133,28 @@ def _battery(token: Column) -> Column:
     return let(plain, choose)
 
 
+def _merged(spans: Column) -> Column:
+    """(start, end) of sorted spans, overlapping ones as one."""
+    def merge(a: Column, s: Column) -> Column:
+        last = F.try_element_at(a, F.lit(-1))
+        joined = F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(a) > 0) & (s["start"] < F.try_element_at(a, F.lit(-1))["end"]), joined).otherwise(
+            F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), merge)
+
+
+def _replaced(text: Column, merged: Column, by) -> Column:
+    """The text with ``by(span)`` in place of each of its ``merged`` spans, of which there is at least one."""
+    pieces = F.transform(merged, lambda s, i: F.concat(
+        text.substr((F.coalesce(F.get(merged, i - 1)["end"], F.lit(0)) + 1).cast("int"),
+                    (s["start"] - F.coalesce(F.get(merged, i - 1)["end"], F.lit(0))).cast("int")),
+        by(s)))
+    rest = text.substr((F.element_at(merged, -1)["end"] + 1).cast("int"), F.length(text))
+    return F.concat(F.array_join(pieces, ""), rest)
+
+
 def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FALSE_DISCOVERIES,
          keep_text: bool = False, spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans_col``: array of (start, kind, end, encoding) in code points, by start and kind.
@@ -140,7 +162,9 @@ def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FAL
     Without the text, what each row's tests gave is stored between the two passes; with it, nothing is stored and the
     tests run again, so that no text is written.
     ``kind`` is an index into ``KINDS``. Null and empty texts have no spans; every row is scanned on its own, so
-    repeated rows, null ids and other columns don't matter. Tokens that a base pattern covers are not reported again.
+    repeated rows, null ids and other columns don't matter. Tokens are what the base patterns leave of a text: of a token
+    that they cover in part, the rest on either side is tested. Tokens without letters are not tested: digits alone can't
+    be told from ordinary numbers, which are as even as random ones.
     """
     names = {k: fresh(docs, f"m_{k}") for k in ("assign", "value", "access", "hex", "token")}
     body = fresh(docs, "body")
@@ -149,10 +173,7 @@ def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FAL
     keep = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col]
     found = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(body))
     all_of = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    found = found.withColumns({
-        names["assign"]: all_of(ASSIGN), names["access"]: all_of(ACCESS), names["hex"]: all_of(HEX),
-        names["token"]: all_of(TOKEN),
-    })
+    found = found.withColumns({names["assign"]: all_of(ASSIGN), names["access"]: all_of(ACCESS), names["hex"]: all_of(HEX)})
     found = found.withColumn(names["value"], F.when(F.size(col["assign"]) > 0, all_of(ASSIGN, 2)))
 
     def spans(kind: str, pattern: str) -> Column:
@@ -163,12 +184,17 @@ def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FAL
     long_enough = F.when(F.size(col["assign"]) > 0, let(spans("assign", ASSIGN), lambda s: F.filter(
         s, lambda x, i: F.length(F.get(col["value"], i)) >= ASSIGN_CHARS))).otherwise(spans("assign", ASSIGN))
     base = F.sort_array(F.concat(long_enough, spans("access", ACCESS), spans("hex", HEX)))
+    out_base, out_tested = fresh(docs, "base_spans"), fresh(docs, "tested")
+    # what base spans cover is blanked out, so the tokens are what they leave, on either side too
+    found = found.select(*keep, F.col(body), base.alias(out_base))
+    blank = lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int"))
+    left = F.when(F.size(out_base) > 0, let(_merged(F.col(out_base)), lambda m: _replaced(text, m, blank))).otherwise(text)
+    found = found.withColumn(body, left).withColumn(names["token"], all_of(TOKEN))
     tested = F.when(F.size(col["token"]) > 0, let(F.transform(col["token"], _battery), lambda b: F.zip_with(
         _places(text, col["token"], TOKEN), b, lambda s, x: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), x["encoding"].alias("encoding"),
             x["evidence"].alias("evidence")))))
-    out_base, out_tested = fresh(docs, "base_spans"), fresh(docs, "tested")
-    narrow = found.select(*keep, base.alias(out_base), F.filter(
+    narrow = found.select(*keep, F.col(out_base), F.filter(
         F.coalesce(tested, F.array().cast("array<struct<start:bigint,end:bigint,encoding:string,evidence:double>>")),
         lambda x: x["evidence"].isNotNull()).alias(out_tested))
     if not keep_text:
@@ -180,9 +206,7 @@ def scan(docs: DataFrame, text_col: str = "text", false_discoveries: float = FAL
     needed = F.create_map(*(F.lit(x) for kv in limits.items() for x in kv)) if limits else None
 
     def discovered(s: Column) -> Column:
-        enough = F.lit(False) if needed is None else F.coalesce(
-            s["evidence"] >= F.element_at(needed, band(s)), F.lit(False))
-        return enough & ~F.exists(F.col(out_base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return F.lit(False) if needed is None else F.coalesce(s["evidence"] >= F.element_at(needed, band(s)), F.lit(False))
 
     added = F.transform(F.filter(F.col(out_tested), discovered), lambda s: F.struct(
         s["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), s["end"].alias("end"),
@@ -215,25 +239,8 @@ def span_text(spans: Column) -> Column:
 def mask(docs: DataFrame, text_col: str = "text", by: str = "<secret>") -> DataFrame:
     """``docs`` with every secret in its text replaced; overlapping spans become one. Other rows stay as they are."""
     spans_col = fresh(docs, "spans")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def merge(a: Column, s: Column) -> Column:
-        last = F.try_element_at(a, F.lit(-1))
-        joined = F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
-        return F.when((F.size(a) > 0) & (s["start"] < F.try_element_at(a, F.lit(-1))["end"]), joined).otherwise(
-            F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
-
     text = F.col(text_col)
-
-    def cut(merged: Column) -> Column:
-        pieces = F.transform(merged, lambda s, i: F.concat(
-            text.substr((F.coalesce(F.get(merged, i - 1)["end"], F.lit(0)) + 1).cast("int"),
-                        (s["start"] - F.coalesce(F.get(merged, i - 1)["end"], F.lit(0))).cast("int")),
-            F.lit(by)))
-        rest = text.substr((F.element_at(merged, -1)["end"] + 1).cast("int"), F.length(text))
-        return F.concat(F.array_join(pieces, ""), rest)
-
-    masked = F.when(F.size(spans_col) > 0, let(F.aggregate(F.col(spans_col), empty, merge), cut)).otherwise(text)
+    masked = F.when(F.size(spans_col) > 0, let(_merged(F.col(spans_col)), lambda m: _replaced(
+        text, m, lambda s: F.lit(by)))).otherwise(text)
     return scan(docs, text_col, keep_text=True, spans_col=spans_col).select(
         *(masked.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
