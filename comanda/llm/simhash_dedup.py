@@ -21,6 +21,8 @@ RADIUS = 2
 SEED = 42
 BLOCKS = 4  # a tile holds the fingerprints with equal population counts in each 16-bit quarter
 TILE_ROWS = 4096  # larger tiles are cut into chunks, and chunk is compared with chunk
+GUEST_ROWS = 1 << 16  # more guests of a tile are cut into parts
+PLACE_BITS = 21  # for the number of a chunk, and of a part
 
 
 def fingerprint_of(text: str | None, width: int) -> int:
@@ -58,11 +60,11 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "finger
     return docs.mapInArrow(add, schema)
 
 
-def _roots(nodes: np.ndarray, homes: int, radius: int, tile: int = 1024) -> np.ndarray:
+def _roots(nodes: np.ndarray, homes: int, radius: int, inside: bool = True, tile: int = 1024) -> np.ndarray:
     """For each node the index of a linked node it hangs on, so that linked nodes share a tree.
 
-    Homes are compared with each other and with the visitors behind them, tile by tile; tile pairs whose total
-    population counts lie further apart than the radius are skipped.
+    Homes are compared with each other (if ``inside``) and with the guests behind them, tile by tile; tile pairs whose
+    total population counts lie further apart than the radius are skipped.
     """
     counts = np.bitwise_count(nodes).astype(np.int64)
     order = np.concatenate([np.argsort(counts[:homes], kind="stable"),
@@ -76,7 +78,7 @@ def _roots(nodes: np.ndarray, homes: int, radius: int, tile: int = 1024) -> np.n
         if a >= homes:
             break
         for c, d in spans[i:]:
-            if counts[c] - counts[b - 1] > radius or counts[a] - counts[d - 1] > radius:
+            if c < homes and not inside or counts[c] - counts[b - 1] > radius or counts[a] - counts[d - 1] > radius:
                 continue
             near = np.bitwise_count(nodes[a:b, None] ^ nodes[None, c:d]) <= radius
             x, y = np.nonzero(near)
@@ -97,12 +99,11 @@ def _roots(nodes: np.ndarray, homes: int, radius: int, tile: int = 1024) -> np.n
     return out
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints (column ``fp``) that join everything within ``radius`` bits.
+def _dealt(distinct: DataFrame, radius: int) -> DataFrame:
+    """(place, guest, fp): what is compared in one place, at most about TILE_ROWS homes with GUEST_ROWS guests.
 
-    Two fingerprints within the radius differ by at most the radius in the sum of their quarters' population
-    counts. So a fingerprint lives in the tile of its four counts and visits the (larger) neighbouring tiles. Each
-    tile gives a forest over its linked nodes, never all pairs; no link is lost for connectivity.
+    A tile's own fingerprints are cut into chunks by hash, its guests (visitors, and for a chunk the fingerprints of the
+    chunks before it) into parts. Each chunk meets each part; with many guests a home is sent once for each part.
     """
     bits = 64 // BLOCKS
     step = 32
@@ -111,25 +112,44 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     homes = distinct.select("fp", tile.alias("tile"))
     moves = [d for d in product(range(-radius, radius + 1), repeat=BLOCKS) if sum(map(abs, d)) <= radius]
     shifts = sorted({sum(d * step**i for i, d in enumerate(m)) for m in moves})
-    forward = [s for s in shifts if s > 0]
+    forward = F.explode(F.array(*(F.col("tile") + s for s in shifts if s > 0))).alias("tile")
     # one row per tile: at most 17^4 = 83,521 whatever the input, so it may be broadcast
-    tiles = homes.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("chunks"))
-    tiles = F.broadcast(tiles)
+    sizes = cut_lineage(homes.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")))
+    visitors = sizes.select(forward, "rows").groupBy("tile").agg(F.sum("rows").alias("visitors"))
+    chunks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
+    guests = F.coalesce("visitors", F.lit(0)) + F.when(chunks > 1, F.col("rows")).otherwise(0)
+    tiles = F.broadcast(sizes.join(visitors, "tile", "left").select(
+        "tile", chunks.alias("chunks"), F.greatest(F.lit(1), F.ceil(guests / GUEST_ROWS)).cast("int").alias("parts")))
+
     own = homes.join(tiles, "tile").withColumn("at", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    inside = own.select(
-        "fp", "tile", F.explode(F.sequence("at", F.col("chunks") - 1)).alias("chunk"), "at",
-    ).select("fp", "tile", "chunk", (F.col("at") != F.col("chunk")).alias("guest"))
-    visits = homes.select("fp", F.explode(F.array(*(F.col("tile") + s for s in forward))).alias("tile")).join(
-        tiles, "tile").select("fp", "tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-                              F.lit(True).alias("guest"))
-    dealt = inside.unionByName(visits).withColumn("place", F.col("tile").cast("long") * 2**31 + F.col("chunk"))
-    dealt = dealt.select("place", "guest", "fp").repartition("place").sortWithinPartitions("place", "guest")
+    part = F.pmod(F.xxhash64("fp", F.lit("guest")), F.col("parts")).cast("int").alias("part")
+    at_home = own.select(
+        "fp", "tile", F.col("at").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(False).alias("guest"))
+    next_door = own.filter(F.col("at") + 1 < F.col("chunks")).select(
+        "fp", "tile", F.explode(F.sequence(F.col("at") + 1, F.col("chunks") - 1)).alias("chunk"), part, F.lit(True).alias("guest"))
+    visits = homes.select("fp", forward).join(tiles, "tile").select(
+        "fp", "tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), part, F.lit(True).alias("guest"))
+    place = F.col("tile").cast("long") * 2 ** (2 * PLACE_BITS) + F.col("chunk").cast("long") * 2**PLACE_BITS + F.col("part")
+    dealt = at_home.unionByName(next_door).unionByName(visits).select(place.alias("place"), "guest", "fp")
+    return dealt.repartition("place").sortWithinPartitions("place", "guest")
+
+
+def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints (column ``fp``) that join everything within ``radius`` bits.
+
+    Two fingerprints within the radius differ by at most the radius in the sum of their quarters' population
+    counts. So a fingerprint lives in the tile of its four counts and visits the (larger) neighbouring tiles. Each
+    tile gives a forest over its linked nodes, never all pairs; no link is lost for connectivity.
+    """
+    dealt = _dealt(distinct, radius)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, "place"):
             nodes = group.column("fp").to_numpy().astype(np.int64)
             homes_here = int((~group.column("guest").to_numpy()).sum())
-            root = _roots(nodes.view(np.uint64), homes_here, radius)
+            inside = group.column("place")[0].as_py() % (1 << PLACE_BITS) == 0  # homes meet each other once
+            root = _roots(nodes.view(np.uint64), homes_here, radius, inside)
             linked = np.flatnonzero(root != np.arange(len(nodes)))
             if len(linked):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], ["u", "v"])
