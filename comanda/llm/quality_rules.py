@@ -163,16 +163,24 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str, stratum_col: st
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          stratum_col: str = "lang", risk: Risk = Risk(), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Id, stratum and ``carry`` of each row of ``docs``, with counts, signals, ``base_failed``, ``rejected_by``, ``kept``.
+          stratum_col: str = "lang", risk: Risk = Risk()) -> DataFrame:
+    """Id and stratum of each row of ``docs``, with counts, signals, ``base_failed``, ``rejected_by``, ``kept``.
 
     Repeated rows are judged each on their own; rows labelled both good and bad, or not at all, teach nothing; with an
     empty label table only the base rule rejects. A null stratum is the stratum ''.
     """
-    measured = cut_lineage(signals(docs.select(id_col, text_col, stratum_col, *carry), text_col))
-    rules = cut_lineage(cutoffs(measured, labels, id_col, stratum_col, risk).groupBy(
+    measured = cut_lineage(signals(docs.select(id_col, text_col, stratum_col), text_col))
+    return _verdict(measured, _rules(measured, labels, id_col, stratum_col, risk), stratum_col)
+
+
+def _rules(measured: DataFrame, labels: DataFrame, id_col: str, stratum_col: str, risk: Risk) -> DataFrame:
+    """(_stratum, _cutoffs: by signal), stored: a row for each stratum."""
+    return cut_lineage(cutoffs(measured, labels, id_col, stratum_col, risk).groupBy(
         F.col("stratum").alias("_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("signal", "cutoff"))).alias("_cutoffs")))
+
+
+def _verdict(measured: DataFrame, rules: DataFrame, stratum_col: str) -> DataFrame:
     value = {name: F.col(name) if bad == "high" else -F.col(name) for name, bad in SIGNALS.items()}
     broken = F.filter(F.array(*(
         F.when(value[name] > F.element_at(F.col("_cutoffs"), name), F.lit(name)) for name in SIGNALS)),
@@ -188,13 +196,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stratum_col: str = "lang", risk: Risk = Risk()) -> DataFrame:
-    """The documents that ``judge`` keeps, with their own columns. Rows are matched by id, stratum and a hash of the
-    text, on which the verdict rests, so rows that only share an id, or have none, are kept or rejected each on their own."""
-    text_hash = fresh(docs, "text_hash")
-    mark = {c: fresh(docs, f"rejected_{c}") for c in ("id", "stratum", "text")}
-    hashed = docs.withColumn(text_hash, F.xxhash64(text_col))
-    rejected = judge(hashed, labels, id_col, text_col, stratum_col, risk, (text_hash,)).filter("not kept").select(
-        F.col(id_col).alias(mark["id"]), F.col(stratum_col).alias(mark["stratum"]), F.col(text_hash).alias(mark["text"])).distinct()
-    return docs.join(
-        rejected, F.col(id_col).eqNullSafe(F.col(mark["id"])) & F.col(stratum_col).eqNullSafe(F.col(mark["stratum"]))
-        & (F.xxhash64(text_col) == F.col(mark["text"])), "left_anti")
+    """The documents that ``judge`` keeps, with their own columns. Each row is judged where it is, on its own text: the cutoffs
+    are learned from stored counts, and the signals are computed again beside the row, so no text is moved. Of an empty
+    table the result is empty."""
+    measured = cut_lineage(signals(docs.select(id_col, text_col, stratum_col), text_col))
+    rules = _rules(measured, labels, id_col, stratum_col, risk)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"),
+                        F.col(stratum_col).alias("_of"))
+    return _verdict(signals(whole, "_text"), rules, "_of").filter("kept").select("_row.*")
