@@ -47,6 +47,21 @@ def test_empty_tables(spark, nothing, no_labels, name):
     assert operators(spark, no_labels)[name](nothing).collect() == []
 
 
+def test_filters_on_empty_tables(spark, nothing, no_labels):
+    items = spark.createDataFrame([], "item_id long, text string")
+    for kept in (quality_rules.keep_good(nothing, no_labels), simhash_dedup.deduplicate(nothing),
+                 decontaminate.decontaminate(nothing, items), secret_scan.mask(nothing)):
+        assert kept.collect() == [] and kept.columns == nothing.columns
+
+
+def test_kept_rows_have_their_own_columns(clashing, odd_labels):
+    """Rows that share an id, or have none, are judged each on their own; other columns pass, whatever their names."""
+    kept = quality_rules.keep_good(clashing, odd_labels)
+    assert kept.columns == clashing.columns
+    judged = quality_rules.judge(clashing, odd_labels)
+    assert kept.count() == judged.filter("kept").count()
+
+
 @pytest.mark.parametrize("name", ["quality", "mixing", "toxicity"])
 def test_no_labels(spark, awkward, no_labels, name):
     assert operators(spark, no_labels)[name](awkward).count() == 12

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -153,6 +154,60 @@ def test_secret_base(spark, texts):
         assert got[i] == spans(text)
 
 
+def test_what_base_patterns_leave_of_a_token(spark):
+    """A base span inside a longer token: the random rest is found on either side, and masked with it."""
+    spare, digest = "xK9fQ2mZp7Lw3RtV8bNcYd4HsT6gJ1eAuW5oXq0z", "0123456789abcdef0123456789abcdef"
+    texts = [f"see /files/{digest}/{spare} there", f"{spare}/{digest}/{spare}", f"token={spare} {digest}", f"/internationalization/{digest}/"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [(secret_scan.KINDS[s["kind"]], texts[r["doc_id"]][s["start"]:s["end"]]) for s in r["spans"]]
+             for r in secret_scan.scan(docs, keep_text=True).collect()}
+    assert [k for k, _ in found[0]] == ["hex", "random"] and found[0][1][1].strip("/") == spare
+    assert [(k, t.strip("/")) for k, t in found[1]] == [("random", spare), ("hex", digest), ("random", spare)]
+    assert [k for k, _ in found[2]] == ["assign", "hex"] and [k for k, _ in found[3]] == ["hex"]
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask(docs).collect()}
+    assert spare not in masked[0] + masked[1] and masked[3] == "/internationalization/<secret>/"
+
+
+def test_one_large_tile(spark):
+    """100,000 fingerprints with equal population counts: places stay bounded, and no link is lost."""
+    rng = np.random.default_rng(8)
+    quarters = np.array([x for x in range(1 << 16) if x.bit_count() == 8], np.uint64)
+    nodes = np.zeros(100_000, np.uint64)
+    for i in range(4):
+        nodes |= quarters[rng.integers(0, len(quarters), len(nodes))] << np.uint64(16 * i)
+    nodes[1::50] = nodes[::50] ^ np.uint64(1 << 3)  # one bit away, mostly in the next tile
+    nodes[2::50] = nodes[::50] ^ np.uint64((1 << 20) | (1 << 41))
+    nodes = np.unique(nodes)
+    distinct = spark.createDataFrame(pd.DataFrame({"fp": nodes.view(np.int64)}))
+    sizes = simhash_dedup._dealt(distinct, 2).groupBy("place").agg(
+        F.count_if(~F.col("guest")).alias("homes"), F.count_if(F.col("guest")).alias("guests")).collect()
+    assert max(r.homes for r in sizes) < 1.3 * simhash_dedup.TILE_ROWS and max(r.guests for r in sizes) < 1.3 * simhash_dedup.GUEST_ROWS
+    found = simhash_dedup.links(distinct).collect()
+    groups = components_of(found)
+    pairs = 0
+    for bits in [1 << i for i in range(64)] + [(1 << i) | (1 << j) for i in range(64) for j in range(i)]:
+        other = nodes ^ np.uint64(bits)
+        at = np.minimum(np.searchsorted(nodes, other), len(nodes) - 1)
+        for a in np.flatnonzero((nodes[at] == other) & (nodes < other)):
+            u, v = int(nodes[a].astype(np.int64)), int(other[a].astype(np.int64))
+            assert groups.get(u, u) == groups.get(v, v)
+            pairs += 1
+    assert pairs >= 4000
+
+
+def components_of(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for e in edges:
+        root[find(e["u"])] = find(e["v"])
+    return {x: find(x) for x in list(root)}
+
+
 def test_secret_battery(spark):
     secrets = ["xK9fQ2mZp7Lw3RtV8bNcYd4H", "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpX", "GEZDGNBVGY3TQOJQX5ZA2KLM"]
     plain = ["internationalization", "supercalifragilistic", "WWWWWWWWWWWWWWWWWWWWWWW", "getElementsByClassName", "20240131120000000000"]
