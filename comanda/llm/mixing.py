@@ -16,6 +16,7 @@ from comanda.session import cut_lineage
 
 #: Domains of the label table, and the share of all tokens that each is to have.
 DOMAINS = ("clean", "poor", "toxic")
+PART_ROWS = 200  # texts that a worker takes apart at once
 TARGETS = (0.90, 0.08, 0.02)
 
 SAMPLE_ROWS = 2500  # labelled documents that the classifier learns from
@@ -51,8 +52,8 @@ def posteriors(docs: DataFrame, weights: np.ndarray, text_col: str, tokens_col:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(at, PART_ROWS)
                 words = classifier.bag(part.column(part.schema.get_field_index(text_col)))
                 shares = classifier.softmax(classifier.logits(words, weights)).astype(np.float64)
                 lists = pa.ListArray.from_arrays(np.arange(0, shares.size + 1, shares.shape[1], dtype=np.int32), shares.ravel())
