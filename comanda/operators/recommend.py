@@ -1,19 +1,20 @@
 """Recommendations between users as merged edges: one edge for a pair, however many restaurants the two share.
 
 The pairs grow with the square of a restaurant's visitors, so they are never listed. What is asked about them comes from
-visits, from bitmaps of visitors, and from the few pairs that share more than their most visited restaurants.
+visits, from blocks of users that meet (``visitors``), and from the few pairs that share more than their most visited restaurants.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from comanda.operators.keys import dense_key
+from comanda.operators import visitors
 from comanda.session import cut_lineage
 
-BLOCK_BITS = 15  # users in a bitmap: fixed by Spark's bitmap functions
 BROADCAST_VISITS = 1_000_000  # rows of a few numbers each: some tens of MB
 
 
@@ -22,46 +23,19 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
-def _signature() -> list[Column]:
-    """A set of restaurants in fixed space, the same for equal sets: its size, ends, and two combined hashes."""
-    r = F.col("via_restaurant")
-    return [
-        F.count(F.lit(1)).alias("_n"), F.min(r).alias("_lo"), F.max(r).alias("_hi"), F.bit_xor(F.xxhash64(r)).alias("_h1"),
-        F.bit_xor(F.xxhash64(r, F.lit("recommend"))).alias("_h2")]
-
-
-def _above(bitmap: str, position: str) -> Column:
-    """Number of bits of a bitmap that stand above a position."""
-    own = f"cast(conv(hex(substring({bitmap}, shiftright({position}, 3) + 1, 1)), 16, 10) AS int)"  # its byte
-    rest = f"bitmap_count(substring({bitmap}, shiftright({position}, 3) + 2))"
-    return F.expr(f"{rest} + bit_count(shiftright({own}, {position} % 8 + 1))")
-
-
 def degrees(visits: DataFrame) -> DataFrame:
     """(user_id, recommends): how many users with larger ids share a restaurant with the user, each counted once.
 
-    ``visits`` has distinct (user_id, via_restaurant). Users are numbered by id, and a restaurant's visitors are a bitmap for
-    each block of 2^15 numbers. The users that a user knows are the union of its restaurants' bitmaps; users with the
-    same restaurants share one union. Bits above the user's own are counted.
+    ``visits`` has distinct (user_id, via_restaurant). Every two blocks of users tell how many users of the second each
+    user of the first knows; these counts are added up.
     """
-    visits = cut_lineage(visits.select("user_id", "via_restaurant"))
-    numbers = dense_key(visits.select("user_id").distinct(), "user_id", "no")
-    numbers = numbers.select(
-        "user_id", F.expr(f"shiftright(no - 1, {BLOCK_BITS})").alias("block"), ((F.col("no") - 1) % (1 << BLOCK_BITS)).cast("int").alias("place"))
-    sets = visits.groupBy("user_id").agg(*_signature())
-    keys = ["_n", "_lo", "_hi", "_h1", "_h2"]
-    of_set = sets.groupBy(*keys).agg(F.min("user_id").alias("like"))  # the user that stands for all with its restaurants
-    users = cut_lineage(numbers.join(sets, "user_id").join(of_set, keys).select("user_id", "block", "place", "like"))
-
-    known = visits.join(users.select("user_id", "block", "place"), "user_id")
-    bitmaps = known.groupBy("via_restaurant", "block").agg(F.bitmap_construct_agg("place").alias("bits"))
-    asking = visits.join(users.filter(F.col("user_id") == F.col("like")).select("user_id", "like"), "user_id")
-    union = cut_lineage(asking.select("like", "via_restaurant").join(bitmaps, "via_restaurant").groupBy("like", "block").agg(
-        F.bitmap_or_agg("bits").alias("bits")))
-    later = F.coalesce(F.sum(F.bitmap_count("bits")).over(
-        W.partitionBy("like").orderBy(F.desc("block")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return users.join(union.withColumn("later", later), ["like", "block"]).select(
-        "user_id", (F.col("later") + _above("bits", "place")).cast("bigint").alias("recommends"))
+    blocks = visitors.blocks(cut_lineage(visits.select("user_id", "via_restaurant")))
+
+    def ask(lo: int, hi: int, one: tuple, two: tuple) -> Iterator[dict]:
+        yield {"user_id": one[0], "n": visitors.known(one, two, lo == hi)}
+
+    counts = visitors.over_pairs(blocks, ask, "user_id long, n long")
+    return counts.groupBy("user_id").agg(F.sum("n").alias("recommends"))
 
 
 def sharing(visits: DataFrame, min_shared: int = 2) -> DataFrame:
