@@ -41,3 +41,7 @@ def test_known_by_bitmaps_and_by_matches(monkeypatch, dense, matches):
     for two, same in ((1, False), (0, True)):
         expected = [len({v for v, r in sides[two] if (u, r) in sides[0] and (v > u or not same)}) for u in range(40)]
         assert visitors.known(packed[0], packed[two], same).tolist() == expected
+
+
+def test_degrees_store_visits_only(spark, each_its_own):
+    assert stored_bytes(spark, lambda: recommend.degrees(each_its_own).count()) < 2_000_000
