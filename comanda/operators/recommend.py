@@ -1,7 +1,7 @@
 """Recommendations between users as merged edges: one edge for a pair, however many restaurants the two share.
 
-The pairs grow with the square of a restaurant's visitors, so they are never listed. What is asked about them comes from
-visits, from blocks of users that meet (``visitors``), and from the few pairs that share more than their most visited restaurants.
+The pairs grow with the square of a restaurant's visitors, so they are never moved. What is asked about them is found where two
+blocks of users meet (``visitors``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from comanda.operators import visitors
 from comanda.session import cut_lineage
 
 BROADCAST_VISITS = 1_000_000  # rows of a few numbers each: some tens of MB
+PAIRS = "from_user long, to_user long, shared long"
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
@@ -38,6 +39,16 @@ def degrees(visits: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg(F.sum("n").alias("recommends"))
 
 
+def _shared(visits: DataFrame, min_shared: int, best: int | None = None) -> DataFrame:
+    blocks = visitors.blocks(cut_lineage(visits.select("user_id", "via_restaurant")), min_shared - 1)
+
+    def ask(lo: int, hi: int, one: tuple, two: tuple) -> Iterator[dict]:
+        for row, other, shared in visitors.sharing(one, two, lo == hi, min_shared, best):
+            yield {"from_user": one[0][row], "to_user": two[0][other], "shared": shared}
+
+    return visitors.over_pairs(blocks, ask, PAIRS)
+
+
 def sharing(visits: DataFrame, min_shared: int = 2) -> DataFrame:
     """(from_user, to_user, shared): pairs, smaller id first, that have at least ``min_shared`` restaurants in common.
 
@@ -45,33 +56,11 @@ def sharing(visits: DataFrame, min_shared: int = 2) -> DataFrame:
     that is among them for both sides are left out before pairs are formed, and counted from the few that each side carries
     along. So a restaurant that is everybody's most visited makes no pair at all, and exact counts need no second look.
     """
-    tops = min_shared - 1
-    frequency = visits.groupBy("via_restaurant").agg(F.count(F.lit(1)).alias("_visitors"))
-    by_visitors = W.partitionBy("user_id").orderBy(F.desc("_visitors"), "via_restaurant")
-    names = [f"top{i}" for i in range(tops)]
-    marked = visits.select("user_id", "via_restaurant")
-    if tops:
-        ranked = visits.join(frequency, "via_restaurant").withColumn("_rank", F.row_number().over(by_visitors)).filter(
-            F.col("_rank") <= tops)
-        carried = ranked.groupBy("user_id").agg(*(
-            F.max(F.when(F.col("_rank") == i + 1, F.col("via_restaurant"))).alias(n) for i, n in enumerate(names)))
-        marked = marked.join(carried, "user_id")
-    marked = cut_lineage(marked)
-    is_top = lambda side: F.coalesce(
-        F.greatest(F.lit(False), *(F.col(f"{side}.{n}") == F.col(f"{side}.via_restaurant") for n in names)), F.lit(False)
-    ) if names else F.lit(False)
-    few = marked.count() <= BROADCAST_VISITS  # then pairs are counted where their smaller id lies, and don't move
-    a, b = spread(marked, "user_id").alias("a"), (F.broadcast(marked) if few else marked).alias("b")
-    pairs = a.join(b, (F.col("a.via_restaurant") == F.col("b.via_restaurant")) & (F.col("a.user_id") < F.col("b.user_id"))).filter(
-        ~(is_top("a") & is_top("b")))
-    both = sum((F.coalesce((F.col(f"a.{m}") == F.col(f"b.{n}")).cast("int"), F.lit(0)) for m in names for n in names), F.lit(0))
-    counted = pairs.groupBy(F.col("a.user_id").alias("from_user"), F.col("b.user_id").alias("to_user")).agg(
-        (F.count(F.lit(1)) + F.max(both)).alias("shared"))
-    return counted.filter(F.col("shared") >= min_shared)
+    return _shared(visits, min_shared)
 
 
 def top_recommendations(visits: DataFrame, min_shared: int = 2, best: int = 5) -> DataFrame:
     """(from_user, to_user, shared, place): for each user the ``best`` it shares most restaurants with, at least
     ``min_shared``; ties by id. A user recommends those with larger ids. Cut to the best before rows are moved."""
     most = W.partitionBy("from_user").orderBy(F.desc("shared"), "to_user")
-    return sharing(visits, min_shared).withColumn("place", F.row_number().over(most)).filter(F.col("place") <= best)
+    return _shared(visits, min_shared, best).withColumn("place", F.row_number().over(most)).filter(F.col("place") <= best)

@@ -2,12 +2,14 @@
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from comanda.operators import influence, recommend, visitors
 from comanda.session import ensure_checkpoint_dir
+from tests.test_graph_algorithms import random_visits, shared_counts
 
 
 def stored_bytes(spark, run):
@@ -45,3 +47,21 @@ def test_known_by_bitmaps_and_by_matches(monkeypatch, dense, matches):
 
 def test_degrees_store_visits_only(spark, each_its_own):
     assert stored_bytes(spark, lambda: recommend.degrees(each_its_own).count()) < 2_000_000
+
+
+def test_pairs_are_not_moved(spark):
+    """Pairs are counted where two blocks meet: no join or exchange above them but that of the best."""
+    df = spark.createDataFrame(sorted(random_visits(7)), "user_id long, via_restaurant long")
+    plan = recommend.top_recommendations(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hash") <= 2
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(visitors, "BLOCK_BITS", 4)
+    visits = random_visits(9)
+    df = spark.createDataFrame(sorted(visits) + [(None, 1), (3, None)], "user_id long, via_restaurant long").localCheckpoint()
+    assert visitors.blocks(df).count == 6
+    pairs = shared_counts(visits)
+    assert {(r.from_user, r.to_user): r.shared for r in recommend.sharing(df).collect()} == {p: n for p, n in pairs.items() if n >= 2}
+    out = Counter(a for a, _ in pairs)
+    assert {r.user_id: r.recommends for r in recommend.degrees(df).collect()} == {u: out[u] for u, _ in visits}
