@@ -15,15 +15,9 @@ from pyspark.sql import functions as F
 from comanda.operators import visitors
 from comanda.session import cut_lineage
 
-BROADCAST_VISITS = 1_000_000  # rows of a few numbers each: some tens of MB
 PAIRS = "from_user long, to_user long, shared long"
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Dealt by columns to as many partitions as a shuffle has: few rows, that make much work, are not put together."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
-
-
 def degrees(visits: DataFrame) -> DataFrame:
     """(user_id, recommends): how many users with larger ids share a restaurant with the user, each counted once.
 

@@ -9,7 +9,7 @@ import pytest
 
 from comanda.operators import influence, recommend, visitors
 from comanda.session import ensure_checkpoint_dir
-from tests.test_graph_algorithms import random_visits, shared_counts
+from tests.test_graph_algorithms import brute_pagerank, random_visits, shared_counts
 
 
 def stored_bytes(spark, run):
@@ -65,3 +65,24 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert {(r.from_user, r.to_user): r.shared for r in recommend.sharing(df).collect()} == {p: n for p, n in pairs.items() if n >= 2}
     out = Counter(a for a, _ in pairs)
     assert {r.user_id: r.recommends for r in recommend.degrees(df).collect()} == {u: out[u] for u, _ in visits}
+
+
+def test_pagerank_stores_pairs_packed(spark):
+    """500 users of four restaurants: 124,750 pairs, some numbers each; and the same scores without broadcasts."""
+    visits = [(u, r) for u in range(500) for r in range(4)]
+    df = spark.createDataFrame([(u, r, u, 499 - u) for u, r in visits], "user_id long, via_restaurant long, recommended_by long, recommends long")
+    got = {}
+    assert stored_bytes(spark, lambda: got.update((r.id, r.score) for r in influence.pagerank(df, 1).collect())) < 2_500_000
+    expected = brute_pagerank(visits, 1)
+    assert got.keys() == expected.keys() and all(abs(got[u] - expected[u]) < 1e-9 for u in got)
+
+
+def test_pagerank_in_blocks_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(influence, "BROADCAST_USERS", 0)
+    monkeypatch.setattr(influence, "PIECE_BITS", 4)
+    visits = sorted(random_visits(5))
+    at = {r: sorted(u for u, s in visits if s == r) for _, r in visits}
+    rows = [(u, r, at[r].index(u), len(at[r]) - 1 - at[r].index(u)) for u, r in visits]
+    df = spark.createDataFrame(rows, "user_id long, via_restaurant long, recommended_by long, recommends long")
+    got, expected = {r.id: r.score for r in influence.pagerank(df, 3).collect()}, brute_pagerank(visits, 3)
+    assert got.keys() == expected.keys() and all(abs(got[u] - expected[u]) < 1e-9 for u in got)
