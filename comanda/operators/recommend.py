@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,12 +23,14 @@ def degrees(visits: DataFrame) -> DataFrame:
     """(user_id, recommends): how many users with larger ids share a restaurant with the user, each counted once.
 
     ``visits`` has distinct (user_id, via_restaurant). Every two blocks of users tell how many users of the second each
-    user of the first knows; these counts are added up.
+    user of the first knows; these counts are added up. Who knows nobody there is told by the block with itself only.
     """
     blocks = visitors.blocks(cut_lineage(visits.select("user_id", "via_restaurant")))
 
     def ask(lo: int, hi: int, one: tuple, two: tuple) -> Iterator[dict]:
-        yield {"user_id": one[0], "n": visitors.known(one, two, lo == hi)}
+        n = visitors.known(one, two, lo == hi)
+        told = n > 0 if lo < hi else np.ones(len(n), bool)
+        yield {"user_id": one[0][told], "n": n[told]}
 
     counts = visitors.over_pairs(blocks, ask, "user_id long, n long")
     return counts.groupBy("user_id").agg(F.sum("n").alias("recommends"))

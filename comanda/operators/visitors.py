@@ -3,11 +3,12 @@
 The pairs of a restaurant's visitors grow with their square, so they are neither shuffled nor stored. Users are numbered by id
 and cut into blocks; visits go, packed as whole numbers, to one task for every two blocks. Such a task has all that its users
 share, forms the pairs of some users at a time, and hands on what is asked about them. Moved are visits times blocks, whose number
-does not grow until a block would be too large for a task.
+does not grow until a block would be too large for a task; on the way the numbers are gaps, deflated once for all blocks.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -68,11 +69,28 @@ def blocks(visits: DataFrame, tops: int = 0, bits: int | None = None) -> Blocks:
         cut_lineage(packed(coded, "code", "block", "part").toDF("block", "part", "codes")))
 
 
+def deflated(numbers: np.ndarray) -> bytes:
+    """Whole numbers in order as their gaps, byte by byte: the high bytes are nearly all equal."""
+    return zlib.compress(np.diff(numbers, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def inflated(packed: bytes) -> np.ndarray:
+    gaps = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view(np.int64).ravel())
+
+
+def _deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = [deflated(row.values.to_numpy(zero_copy_only=False)) for row in batch.column("codes")]
+        yield pa.RecordBatch.from_pydict(
+            {"block": batch.column("block"), "part": batch.column("part"), "codes": pa.array(codes, pa.binary())})
+
+
 def over_pairs(found: Blocks, ask: Callable[..., Iterator[dict]], schema: str) -> DataFrame:
     """What ``ask`` yields for every two blocks, a block with itself too: it gets (lo, hi) and of each the ids and the codes."""
     rows = found.visits.unionByName(found.users.select("block", F.lit(-1).alias("part"), F.col("ids").alias("codes")))
     other = F.explode(F.sequence(F.lit(0), F.lit(found.count - 1))).alias("other")
-    rows = rows.select("block", "part", "codes", other).select(
+    rows = rows.mapInArrow(_deflate, "block int, part int, codes binary").select("block", "part", "codes", other).select(
         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "part", "codes")
 
     def of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +98,7 @@ def over_pairs(found: Blocks, ask: Callable[..., Iterator[dict]], schema: str) -
         for batch in batches:
             lo, hi = batch.column("lo")[0].as_py(), batch.column("hi")[0].as_py()
             for block, part, codes in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("codes")):
-                got[block, part] = codes.values.to_numpy(zero_copy_only=False)
+                got[block, part] = inflated(codes.as_py())
         side = lambda block: (
             got[block, -1], np.concatenate([got[key] for key in sorted(got) if key[0] == block and key[1] >= 0]))
         for columns in ask(lo, hi, side(lo), side(hi)):

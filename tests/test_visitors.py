@@ -49,6 +49,52 @@ def test_degrees_store_visits_only(spark, each_its_own):
     assert stored_bytes(spark, lambda: recommend.degrees(each_its_own).count()) < 2_000_000
 
 
+def shuffled_bytes(df):
+    """What the exchanges of the plan have written, once its rows are collected."""
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        metric = node.metrics().get("shuffleBytesWritten")
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        return (metric.get().value() if metric.isDefined() else 0) + sum(map(walk, below))
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_degrees_move_few_bytes(spark, monkeypatch):
+    """16 blocks of 500 users who visit at random: two bytes for each visit and block, and a little for the counts."""
+    monkeypatch.setattr(visitors, "BLOCK_BITS", 9)
+    visits = spark.range(8000).selectExpr("id AS user_id", "explode(array_distinct(transform("
+        "sequence(1, 20), x -> xxhash64(id, x) & 255))) AS via_restaurant").localCheckpoint()
+    assert shuffled_bytes(recommend.degrees(visits)) < 2.5 * 16 * visits.count()
+
+
+def test_users_without_acquaintances_are_told_once(spark, monkeypatch):
+    """Users of two blocks who share nothing: no rows but those of a block with itself."""
+    monkeypatch.setattr(visitors, "BLOCK_BITS", 4)
+    rows, over_pairs = [], visitors.over_pairs
+
+    def counted(*args):
+        out = over_pairs(*args)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(visitors, "over_pairs", counted)
+    df = spark.range(64).selectExpr("id AS user_id", "id div 4 AS via_restaurant").localCheckpoint()
+    got = {r.user_id: r.recommends for r in recommend.degrees(df).collect()}
+    assert rows == [64] and got == {u: 3 - u % 4 for u in range(64)}
+
+
+@pytest.mark.parametrize("numbers", [[], [7], [-(2**63), -1, 0, 5, 5, 2**63 - 1], [r << 32 | u for r in range(9) for u in range(r, 99, 7)]])
+def test_deflated_numbers_come_back(numbers):
+    numbers = np.array(numbers, np.int64)
+    assert visitors.inflated(visitors.deflated(numbers)).tolist() == numbers.tolist()
+
+
 def test_pairs_are_not_moved(spark):
     """Pairs are counted where two blocks meet: no join or exchange above them but that of the best."""
     df = spark.createDataFrame(sorted(random_visits(7)), "user_id long, via_restaurant long")
